@@ -45,14 +45,16 @@ REVIEW_ASPECTS = {
 }
 
 
-def _strings(values: Sequence[Column]) -> Column:
-    return F.array_compact(F.array(*values)) if values else F.array().cast("array<string>")
+def _found(candidates: Sequence[Column]) -> Column:
+    """The candidates that are not NULL. array_except stays in generated code,
+    where `lower(text)` is computed once; array_compact would not."""
+    return F.array_except(F.array(*candidates), F.array(F.lit(None).cast("string")))
 
 
 def keywords(text: Column, lexicon: Lexicon) -> Column:
     """Every lexicon word found anywhere in the text, in lexicon order, once each."""
     lowered = F.lower(text)
-    return _strings([F.when(F.contains(lowered, F.lit(w)), F.lit(w)) for w in lexicon.words])
+    return _found([F.when(F.contains(lowered, F.lit(w)), F.lit(w)) for w in lexicon.words])
 
 
 def keyword_sentiment(found: Column, lexicon: Lexicon) -> Column:
@@ -78,7 +80,7 @@ def aspects(text: Column, words: Mapping[str, Sequence[str]]) -> Column:
         for term in terms[1:]:
             hit = hit | F.contains(lowered, F.lit(term))
         named.append(F.when(hit, F.lit(aspect)))
-    return _strings(named)
+    return _found(named)
 
 
 def first_keyword(text: Column, lexicon: Lexicon) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,17 +34,26 @@ def threshold_alerts(counts: DataFrame, limits: Thresholds = Thresholds()) -> Da
     return labelled.filter(F.col("anomaly_type").isNotNull()).select(*ALERT_COLUMNS)
 
 
-def fill_empty_windows(counts: DataFrame, size_seconds: int) -> DataFrame:
+def fill_empty_windows(
+    counts: DataFrame, size_seconds: int, first: str | None = None, last: str | None = None
+) -> DataFrame:
     """Add a zero row for each window between the first and the last that has no events.
 
-    The calendar is built day by day, so that no task holds more than a day of it.
+    Without bounds the counts are read once more for their first and last
+    window. The calendar is built day by day, so that no task holds more than a
+    day of it.
     """
     stretch = DAY_SECONDS - DAY_SECONDS % size_seconds
-    span = counts.agg(
-        F.min(F.unix_seconds("window_start")).alias("first"),
-        F.max(F.unix_seconds("window_start")).alias("last"),
-    ).filter(F.col("first").isNotNull())
-    days = span.select("last", F.explode(F.sequence("first", "last", F.lit(stretch).cast("long"))).alias("from"))
+    if first is None or last is None:
+        ends = (F.min("window_start"), F.max("window_start"))
+        span = counts.agg(*[F.unix_seconds(e).alias(c) for e, c in zip(ends, ("first", "last"))])
+    else:
+        ends = (F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))
+        one = counts.sparkSession.range(1)
+        span = one.select(*[F.unix_seconds(e).alias(c) for e, c in zip(ends, ("first", "last"))])
+    days = span.filter(F.col("first").isNotNull()).select(
+        "last", F.explode(F.sequence("first", "last", F.lit(stretch).cast("long"))).alias("from")
+    )
     until = F.least(F.col("last"), F.col("from") + stretch - size_seconds)
     calendar = days.repartition("from").select(
         F.explode(F.sequence("from", until, F.lit(size_seconds).cast("long"))).alias("s")

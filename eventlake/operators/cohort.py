@@ -13,7 +13,8 @@ from eventlake.config import EventRoles
 
 def _active(events: DataFrame, roles: EventRoles, as_of: str | None) -> DataFrame:
     active = events.filter(
-        F.col("event_type").isin(roles.view, roles.purchase) & F.col("user_id").isNotNull()
+        F.col("event_type").isin(roles.view, roles.purchase)
+        & F.col("user_id").isNotNull() & F.col("event_date").isNotNull()
     )
     return active.filter(F.col("event_date") <= F.lit(as_of).cast("date")) if as_of else active
 
@@ -51,16 +52,13 @@ def cohort_sizes(weeks: DataFrame) -> DataFrame:
     return first_visits(weeks).groupBy("cohort_week").agg(F.count("user_id").alias("cohort_size"))
 
 
-def cohort_retention(
-    events: DataFrame, roles: EventRoles = EventRoles(), as_of: str | None = None
-) -> DataFrame:
+def retention(weeks: DataFrame) -> DataFrame:
     """Distinct users of each cohort active in each later week, and their share.
 
     All users of a cohort are active in its week 0, so that row is the cohort
     size and needs no second pass or join.
     """
-    activity = cohort_activity(user_weeks(events, roles, as_of))
-    kept = activity.groupBy("cohort_week", "period_week").agg(F.count("*").alias("retained_users"))
+    kept = cohort_activity(weeks).groupBy("cohort_week", "period_week").agg(F.count("*").alias("retained_users"))
     week_zero = F.max(F.when(F.col("period_week") == 0, F.col("retained_users")))
     sized = kept.withColumn("cohort_size", week_zero.over(W.partitionBy("cohort_week")))
     return sized.select(
@@ -69,7 +67,13 @@ def cohort_retention(
     )
 
 
-def retention_matrix(retention: DataFrame, periods: Sequence[int]) -> DataFrame:
+def cohort_retention(
+    events: DataFrame, roles: EventRoles = EventRoles(), as_of: str | None = None
+) -> DataFrame:
+    return retention(user_weeks(events, roles, as_of))
+
+
+def retention_matrix(cohorts: DataFrame, periods: Sequence[int]) -> DataFrame:
     """Cohorts down, weeks since the first visit across."""
-    wide = retention.groupBy("cohort_week").pivot("period_week", list(periods)).agg(F.first("retention_rate"))
+    wide = cohorts.groupBy("cohort_week").pivot("period_week", list(periods)).agg(F.first("retention_rate"))
     return wide.select("cohort_week", *[F.col(str(p)).alias(f"week_{p}") for p in periods])

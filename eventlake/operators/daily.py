@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlake.config import EventRoles
+from eventlake.functions.days import with_previous_day
 from eventlake.functions.numbers import amount_where, percent, ratio
 
 PRODUCT_KEYS = ("product_id", "product_name", "category")
@@ -120,20 +121,10 @@ def repurchase_rate(events: DataFrame, roles: EventRoles = EventRoles()) -> Data
 
 def volume_change(events: DataFrame) -> DataFrame:
     """Events per day against the calendar day before, in percent."""
-    counts = events.groupBy("event_date").agg(F.count("*").alias("n"))
-    both = counts.select(
-        F.explode(F.array(
-            F.struct(F.col("event_date").alias("report_date"), F.col("n").alias("events")),
-            F.struct(F.date_add("event_date", 1).alias("report_date"), F.lit(None).cast("long").alias("events")),
-        )).alias("d"),
-        "n",
-    )
-    paired = both.groupBy("d.report_date").agg(
-        F.sum("d.events").alias("events"),
-        F.sum(F.when(F.col("d.events").isNull(), F.col("n"))).alias("previous_events"),
-    )
+    counts = events.groupBy(_report_date()).agg(F.count("*").alias("events"))
+    known = counts.filter(F.col("report_date").isNotNull())
     change = F.col("events") - F.col("previous_events")
-    return paired.filter(F.col("events").isNotNull()).withColumn(
+    return with_previous_day(known, "report_date", ["events"]).withColumn(
         "change_pct", percent(change, F.col("previous_events"), 1).cast("double")
     )
 

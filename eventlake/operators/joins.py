@@ -12,7 +12,7 @@ HOT_ROWS = 5_000_000
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's estimate of the size of a result, None where it is not to be had."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -23,18 +23,19 @@ def join_dimension(
     key: str,
     how: str = "left",
     broadcast_limit: int = BROADCAST_LIMIT,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add the dimension's columns to the facts.
 
     A dimension estimated below the limit is broadcast. A larger one is joined
     by shuffle, with the keys that too many facts share spread over several
-    partitions.
+    partitions. `hot_rows=None` says that no key has many facts, as after an
+    aggregation by key, and saves the search for such keys.
     """
     size = estimated_bytes(dimension)
     if size is not None and size <= broadcast_limit:
         return facts.join(F.broadcast(dimension), key, how)
-    if facts.isStreaming:
+    if hot_rows is None or facts.isStreaming:
         return facts.join(dimension, key, how)
     return salted_join(facts, dimension, key, how, hot_rows)
 

@@ -15,16 +15,23 @@ from eventlake.functions.text import REVIEW_LEXICON, Lexicon
 def parse_json(messages: DataFrame, schema: str, key: str) -> DataFrame:
     """Type the `value` column and drop messages whose key field is missing.
 
-    Malformed JSON parses to all NULLs, so the key test drops it as well.
+    Malformed JSON parses to all NULLs, so the key test drops it as well. The
+    struct is expanded by a generator: filters are not pushed below it, so each
+    message is parsed once and not once more per filter.
     """
     typed = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(typed.alias("m")).select("m.*").filter(F.col(key).isNotNull())
+    return messages.select(F.inline(F.array(typed))).filter(F.col(key).isNotNull())
 
 
 def _time(name: str) -> Column:
     return F.try_to_timestamp(F.col(name))
 
 
+def timed_events(parsed: DataFrame) -> DataFrame:
+    """Events with their time, for aggregation; the schema has chosen the columns."""
+    return parsed.withColumn("event_timestamp", _time("timestamp")).drop("timestamp")
+
+
 def flatten_events(parsed: DataFrame) -> DataFrame:
     timed = parsed.withColumn("event_timestamp", _time("timestamp"))
     return timed.select(
@@ -64,19 +71,19 @@ def flatten_sessions(parsed: DataFrame) -> DataFrame:
 
 def explode_session_events(parsed: DataFrame) -> DataFrame:
     """One row per event of each session message."""
-    each = parsed.select("session_id", "user_id", F.explode("events").alias("e"))
+    each = parsed.select("session_id", "user_id", F.inline("events"))
     return each.select(
-        "session_id", "user_id", "e.event_index", "e.event_type",
-        _time("e.timestamp").alias("event_timestamp"),
-        "e.page", "e.duration_on_page",
-        F.col("e.product.product_id").alias("product_id"),
-        F.col("e.product.category").alias("product_category"),
-        F.col("e.product.price").alias("product_price"),
-        F.col("e.search.query").alias("search_query"),
-        F.col("e.search.result_count").alias("search_result_count"),
-        F.col("e.transaction.transaction_id").alias("transaction_id"),
-        F.col("e.transaction.total_amount").alias("transaction_amount"),
-        F.to_date(_time("e.timestamp")).alias("event_date"),
+        "session_id", "user_id", "event_index", "event_type",
+        _time("timestamp").alias("event_timestamp"),
+        "page", "duration_on_page",
+        F.col("product.product_id").alias("product_id"),
+        F.col("product.category").alias("product_category"),
+        F.col("product.price").alias("product_price"),
+        F.col("search.query").alias("search_query"),
+        F.col("search.result_count").alias("search_result_count"),
+        F.col("transaction.transaction_id").alias("transaction_id"),
+        F.col("transaction.total_amount").alias("transaction_amount"),
+        F.to_date(_time("timestamp")).alias("event_date"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.config import EventRoles
+from eventlake.functions.days import with_missing_days, with_previous_day
 from eventlake.functions.numbers import percent, percent_text, ratio
 
 # Check outcomes, and the columns that must be filled.
@@ -53,20 +54,6 @@ def quality_profile(events: DataFrame, roles: EventRoles = EventRoles()) -> Data
     return figures.join(ids.filter(F.col("event_date").isNotNull()), "event_date")
 
 
-def _calendar(profile: DataFrame) -> DataFrame:
-    span = profile.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last"))
-    return span.select(F.explode(F.sequence("first", "last")).alias("check_date"))
-
-
-def _with_previous_day(profile: DataFrame, days: DataFrame) -> DataFrame:
-    before = profile.select(F.date_add("event_date", 1).alias("check_date"), F.col("n").alias("previous_n"))
-    return (
-        days.join(profile.withColumnRenamed("event_date", "check_date"), "check_date", "left")
-        .join(before, "check_date", "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
-    )
-
-
 def _graded(rate: Column, limits: tuple[float, float]) -> Column:
     return F.when(rate < limits[0], PASS).when(rate < limits[1], WARN).otherwise(FAIL)
 
@@ -156,14 +143,17 @@ def quality_checks(
     A check that does not apply (no purchases, no day before) has no row.
     """
     if day is None:
-        profile = quality_profile(events, roles)
-        days = _calendar(profile)
+        days = with_missing_days(quality_profile(events, roles), "event_date", "has_rows")
     else:
         target = F.lit(day).cast("date")
-        two_days = F.col("event_date").between(F.date_sub(target, 1), target)
-        profile = quality_profile(events.filter(two_days), roles)
-        days = events.sparkSession.range(1).select(target.alias("check_date"))
-    judged = _with_previous_day(profile, days)
+        before = F.date_sub(target, 1)
+        figures = quality_profile(events.filter(F.col("event_date").between(before, target)), roles)
+        asked = events.sparkSession.range(1).select(F.explode(F.array(before, target)).alias("event_date"))
+        days = asked.join(figures, "event_date", "left")
+    counted = days.withColumn("n", F.coalesce("n", F.lit(0)))
+    judged = with_previous_day(counted, "event_date", ["n"]).withColumnRenamed("event_date", "check_date")
+    if day is not None:
+        judged = judged.filter(F.col("check_date") == F.lit(day).cast("date"))
     each = judged.select("check_date", F.explode(F.array_compact(F.array(*_checks(rules)))).alias("c"))
     return each.select("check_date", F.lit(table_name).alias("table_name"), "c.*")
 

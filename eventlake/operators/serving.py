@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.days import with_previous_day
+
 # Fixed value: the line drawn on the events-per-minute panel.
 PER_MINUTE_LINE = 300
 
@@ -49,18 +51,15 @@ def latest_cohorts(retention: DataFrame) -> DataFrame:
 
 def kpi_cards(daily: DataFrame) -> DataFrame:
     """Users, orders and conversion of each day with the change from the day before."""
-    yesterday = daily.select(
-        F.date_add("report_date", 1).alias("report_date"),
-        F.col("unique_users").alias("_users"),
-        F.col("total_orders").alias("_orders"),
-        F.col("conversion_rate").alias("_conversion"),
-    )
-    return daily.join(yesterday, "report_date", "left").select(
+    kept = ("unique_users", "total_orders", "conversion_rate")
+    paired = with_previous_day(daily, "report_date", kept)
+    users, orders, conversion = (F.col(c) - F.col(f"previous_{c}") for c in kept)
+    return paired.select(
         "report_date",
         F.col("unique_users").alias("active_users"),
         F.col("total_orders").alias("orders"),
         "conversion_rate",
-        (F.col("unique_users") - F.col("_users")).alias("active_users_change"),
-        (F.col("total_orders") - F.col("_orders")).alias("orders_change"),
-        (F.col("conversion_rate") - F.col("_conversion")).alias("conversion_change"),
+        users.alias("active_users_change"),
+        orders.alias("orders_change"),
+        conversion.alias("conversion_change"),
     )

@@ -14,17 +14,21 @@ SUMMARY = (
 
 
 def summarize_sessions(parsed: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
-    """Recompute the summary of each session message from its own event array."""
-    events = F.coalesce(F.col("events"), F.array())
+    """Recompute the summary of each session message from its own event array.
+
+    Plain array functions instead of lambdas, which would leave generated code.
+    """
+    kinds = F.coalesce("events.event_type", F.array().cast("array<string>"))
+    products = F.coalesce("events.product.product_id", F.array().cast("array<string>"))
 
     def of_type(kind: str) -> Column:
-        return F.size(F.filter(events, lambda e: e["event_type"] == kind))
+        return F.size(kinds) - F.size(F.array_remove(kinds, kind))
 
-    products = F.array_distinct(F.array_compact(F.transform(events, lambda e: e["product"]["product_id"])))
+    seen = F.array_except(products, F.array(F.lit(None).cast("string")))
     counted = parsed.select(
         "session_id",
-        F.size(events).alias("total_events"),
-        F.size(products).alias("unique_products_viewed"),
+        F.size(kinds).alias("total_events"),
+        F.size(seen).alias("unique_products_viewed"),
         of_type(roles.search).alias("searches_count"),
         of_type(roles.view).alias("views_count"),
         of_type(roles.cart).alias("add_cart_count"),

@@ -14,11 +14,12 @@ def _watermarked(events: DataFrame, watermark: str | None) -> DataFrame:
     return events.withWatermark("event_timestamp", watermark) if watermark else events
 
 
-def _distinct(events: DataFrame, column: str) -> Column:
-    """Exact in batch; a stream keeps a fixed-size sketch instead of all values."""
-    if events.isStreaming:
-        return F.approx_count_distinct(column)
-    return F.count_distinct(column)
+def _distinct(events: DataFrame, column: str, exact: bool) -> Column:
+    """A sketch has a fixed size, which a stream needs and which spares a batch
+    the shuffle of all values; only a batch can be exact."""
+    if exact and not events.isStreaming:
+        return F.count_distinct(column)
+    return F.approx_count_distinct(column)
 
 
 def _with_bounds(windowed: DataFrame) -> DataFrame:
@@ -33,12 +34,13 @@ def window_metrics(
     size: str = "5 minutes",
     roles: EventRoles = EventRoles(),
     watermark: str | None = None,
+    exact: bool = True,
 ) -> DataFrame:
     kind = F.col("event_type")
     bought = kind == roles.purchase
     metrics = _watermarked(events, watermark).groupBy(F.window("event_timestamp", size)).agg(
         F.count("*").alias("total_events"),
-        _distinct(events, "user_id").alias("unique_users"),
+        _distinct(events, "user_id", exact).alias("unique_users"),
         F.sum(F.when(bought, F.col("total_amount"))).alias("total_revenue"),
         F.count_if(bought).alias("purchase_count"),
         F.count_if(kind == roles.view).alias("view_count"),
@@ -55,12 +57,13 @@ def window_category_metrics(
     size: str = "5 minutes",
     roles: EventRoles = EventRoles(),
     watermark: str | None = None,
+    exact: bool = True,
 ) -> DataFrame:
     bought = F.col("event_type") == roles.purchase
     metrics = _watermarked(events, watermark).groupBy(F.window("event_timestamp", size), "category").agg(
         F.count("*").alias("event_count"),
         F.sum(F.when(bought, F.col("total_amount"))).alias("revenue"),
-        _distinct(events, "product_id").alias("unique_products"),
+        _distinct(events, "product_id", exact).alias("unique_products"),
     )
     return _with_bounds(metrics)
 

@@ -18,6 +18,13 @@ EVENT = """
     quantity INT, total_amount INT, payment_method STRING
 """
 
+# The parts of an event that the live metrics and the volume alerts read.
+EVENT_METRICS = """
+    event_id STRING, event_type STRING, user_id STRING, product_id STRING,
+    category STRING, timestamp STRING, total_amount INT
+"""
+EVENT_TIMES = "event_id STRING, timestamp STRING"
+
 REVIEW = """
     review_id STRING, product_id STRING, user_id STRING, rating INT, text STRING,
     images ARRAY<STRING>, helpful_count INT, created_at STRING, verified_purchase BOOLEAN
@@ -188,6 +195,10 @@ TABLES = {
         retention_rate FLOAT, calculation_date DATE""",
         ("cohort_week",),
     ),
+    "user_weeks": Table(
+        "user_id STRING, first_day DATE, activity_week DATE",
+        ("activity_week",),
+    ),
     "benchmark_results": Table(
         """run_timestamp TIMESTAMP, query_name STRING, table_name STRING,
         execution_time_seconds DOUBLE, load_time_seconds DOUBLE""",

@@ -24,6 +24,14 @@ def parsed_events(raw: DataFrame) -> DataFrame:
     return messages.flatten_events(messages.parse_json(raw, schemas.EVENT, "event_id"))
 
 
+def metric_events(raw: DataFrame) -> DataFrame:
+    return messages.timed_events(messages.parse_json(raw, schemas.EVENT_METRICS, "event_id"))
+
+
+def event_times(raw: DataFrame) -> DataFrame:
+    return messages.timed_events(messages.parse_json(raw, schemas.EVENT_TIMES, "event_id"))
+
+
 def parsed_reviews(raw: DataFrame) -> DataFrame:
     return messages.flatten_reviews(messages.parse_json(raw, schemas.REVIEW, "review_id"))
 
@@ -86,14 +94,14 @@ def start(
         _, transform, table = INGESTS[job]
         store.create(table)
         return sinks.append_to_table(transform(raw), store, table, checkpoint, trigger)
-    events = parsed_events(raw)
     if job in METRICS:
         aggregate, table = METRICS[job]
         store.create(table)
-        return sinks.append_to_table(aggregate(events, settings), store, table, checkpoint, trigger)
+        metrics = aggregate(metric_events(raw), settings)
+        return sinks.append_to_table(metrics, store, table, checkpoint, trigger)
     if job == ALERT_JOB:
         store.create("anomaly_alerts")
-        counts = windows.window_counts(events, "1 minute", ALERT_WATERMARK)
+        counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
         alerts = anomalies.threshold_alerts(counts, settings.thresholds)
         sink = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts"), *extra_sinks)
         return sinks.for_each_batch(alerts, sink, checkpoint, trigger)
