@@ -35,12 +35,12 @@ class TableStore:
 
         The partition is named in the statement, so an empty result clears it.
         """
-        kind = self.read(name).schema[column].dataType.simpleString()
         rest = [c for c in self.columns(name) if c != column]
         others = "".join(f", {c}" for c in self._partitions(name) if c != column)
-        self.spark.sql(
+        # the session of the rows: inside foreachBatch it is not the store's own
+        df.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {self.full_name(name)} "
-            f"PARTITION ({column} = CAST('{value}' AS {kind}){others}) SELECT * FROM {{rows}}",
+            f"PARTITION ({column} = '{value}'{others}) SELECT * FROM {{rows}}",
             rows=df.select(*rest),
         )
 
