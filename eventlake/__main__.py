@@ -47,13 +47,15 @@ def _jdbc_properties(args: argparse.Namespace) -> dict[str, str]:
     return {"user": args.jdbc_user, "password": args.jdbc_password, "driver": args.jdbc_driver}
 
 
-def _compare_layouts(spark, path: str, rows: int) -> None:
+def _compare_layouts(spark, store: TableStore, path: str, rows: int) -> None:
     load = layout.write_layouts(layout.synthetic_events(spark, rows), path)
     parameters = {
         "day_from": "2021-01-01", "day_to": "2021-01-02", "product": "1234",
         "month_from": "2021-01-01", "month_to": "2021-06-01",
     }
     timings = layout.time_layouts(spark, path, parameters, load_seconds=load)
+    store.create("benchmark_results")
+    store.append(timings, "benchmark_results")
     timings.show(20, truncate=False)
     layout.layout_report(timings).show(truncate=False)
 
@@ -86,7 +88,7 @@ def main() -> None:
             write_jdbc(found, args.jdbc_url, "analytics_cohort_retention", _jdbc_properties(args), "overwrite")
         serving.latest_cohorts(found).show(20)
     elif args.command == "layouts":
-        _compare_layouts(spark, args.path, args.rows)
+        _compare_layouts(spark, store, args.path, args.rows)
 
 
 if __name__ == "__main__":

@@ -70,6 +70,27 @@ SESSION_CONF = {
 }
 
 
+def iceberg_conf(warehouse: str, catalog: str = "iceberg") -> dict[str, str]:
+    """Session settings for tables of provider iceberg; its jar must be on the classpath."""
+    return {
+        "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
+        f"spark.sql.catalog.{catalog}": "org.apache.iceberg.spark.SparkCatalog",
+        f"spark.sql.catalog.{catalog}.type": "hadoop",
+        f"spark.sql.catalog.{catalog}.warehouse": warehouse,
+    }
+
+
+def s3_conf(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
+    """Session settings for an S3 compatible object store."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": "true",
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+
+
 def get_spark(app: str, conf: dict[str, str] | None = None, master: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -65,14 +65,17 @@ def write_layouts(
     """Write each layout under the path; returns the seconds each took.
 
     Sorted layouts are range partitioned first, so every file covers a narrow
-    key range of its own and a filter on the keys skips the others.
+    key range of its own and a filter on the keys skips the others. Rows with
+    equal keys are told apart by a hash, so that a key with a large share of all
+    rows is cut into several files too.
     """
     seconds = {}
     for layout in layouts:
         out = df
         if layout.sort_keys:
-            parts = [files, *layout.sort_keys] if files else list(layout.sort_keys)
-            out = df.repartitionByRange(*parts).sortWithinPartitions(*layout.sort_keys)
+            spread = df.withColumn("_spread", F.xxhash64(*df.columns, F.spark_partition_id()))
+            parts = [*([files] if files else []), *layout.sort_keys, "_spread"]
+            out = spread.repartitionByRange(*parts).sortWithinPartitions(*layout.sort_keys).drop("_spread")
         elif files:
             out = df.repartition(files)
         started = time.perf_counter()

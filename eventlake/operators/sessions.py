@@ -64,14 +64,9 @@ def summary_mismatches(parsed: DataFrame, roles: EventRoles = EventRoles()) -> D
     """How many session messages carry a summary that differs from their events, by field."""
     given = parsed.select(F.struct(*[F.col(f"summary.{c}").alias(c) for c in SUMMARY]).alias("given"), "*")
     recomputed = summarize_sessions(given.withColumn("session_id", F.struct("session_id", "given")), roles)
-    differs = [
-        F.struct(
-            F.lit(c).alias("field"),
-            (~F.col(c).eqNullSafe(F.col(f"session_id.given.{c}"))).alias("differs"),
-        )
-        for c in SUMMARY
-    ]
-    each = recomputed.select(F.explode(F.array(*differs)).alias("d"))
-    return each.groupBy("d.field").agg(
-        F.count("*").alias("sessions"), F.count_if(F.col("d.differs")).alias("mismatched")
+    differs = {c: ~F.col(c).eqNullSafe(F.col(f"session_id.given.{c}")) for c in SUMMARY}
+    counted = recomputed.agg(
+        F.count("*").alias("sessions"), *[F.count_if(differs[c]).alias(c) for c in SUMMARY]
     )
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("mismatched")) for c in SUMMARY])
+    return counted.select("sessions", F.inline(fields))

@@ -34,7 +34,7 @@ def window_metrics(
     size: str = "5 minutes",
     roles: EventRoles = EventRoles(),
     watermark: str | None = None,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     kind = F.col("event_type")
     bought = kind == roles.purchase
@@ -57,7 +57,7 @@ def window_category_metrics(
     size: str = "5 minutes",
     roles: EventRoles = EventRoles(),
     watermark: str | None = None,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     bought = F.col("event_type") == roles.purchase
     metrics = _watermarked(events, watermark).groupBy(F.window("event_timestamp", size), "category").agg(

@@ -174,12 +174,12 @@ def event_product_join_salted(spark, sf):
 
 @register
 def metrics_5min(spark, sf):
-    return windows.window_metrics(_events(spark, sf), "5 minutes", samples.ROLES)
+    return windows.window_metrics(_events(spark, sf), "5 minutes", samples.ROLES, exact=True)
 
 
 @register
 def metrics_category_5min(spark, sf):
-    return windows.window_category_metrics(_enriched(spark, sf), "5 minutes", samples.ROLES)
+    return windows.window_category_metrics(_enriched(spark, sf), "5 minutes", samples.ROLES, exact=True)
 
 
 @register
@@ -365,7 +365,7 @@ def popular_searches(spark, sf):
 
 @register
 def serving_current_window(spark, sf):
-    return serving.current_window(windows.window_metrics(_events(spark, sf), "5 minutes", samples.ROLES))
+    return serving.current_window(windows.window_metrics(_events(spark, sf), "5 minutes", samples.ROLES, exact=True))
 
 
 @register

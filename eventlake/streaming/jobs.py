@@ -18,6 +18,7 @@ from eventlake.streaming.sinks import BatchSink
 
 METRICS_WATERMARK = "1 minute"
 ALERT_WATERMARK = "2 minutes"
+ROLLING_LOOKBACK_SECONDS = 3600
 
 
 def parsed_events(raw: DataFrame) -> DataFrame:
@@ -73,7 +74,9 @@ METRICS = {
     "category-metrics": (_category_metrics, "metrics_category_5min"),
 }
 ALERT_JOB = "alerts"
-JOBS = (*INGESTS, *METRICS, ALERT_JOB)
+ROLLING_ALERT_JOB = "rolling-alerts"
+TOP_PRODUCT_JOB = "top-products"
+JOBS = (*INGESTS, *METRICS, ALERT_JOB, ROLLING_ALERT_JOB, TOP_PRODUCT_JOB)
 
 
 def start(
@@ -84,7 +87,11 @@ def start(
     trigger: str | None = None,
     extra_sinks: tuple[BatchSink, ...] = (),
 ) -> StreamingQuery:
-    """Start one job; without a source it reads its Kafka topic."""
+    """Start one job; without a source it reads its Kafka topic.
+
+    The rolling alerts and the top products have no table of their own: they
+    write below their checkpoint folder.
+    """
     store = TableStore(spark, settings)
     base = settings.checkpoint_base or f"{shared_dir(spark)}/checkpoints"
     checkpoint = checkpoint_path(base, job)
@@ -105,6 +112,14 @@ def start(
         alerts = anomalies.threshold_alerts(counts, settings.thresholds)
         sink = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts"), *extra_sinks)
         return sinks.for_each_batch(alerts, sink, checkpoint, trigger)
+    if job == ROLLING_ALERT_JOB:
+        counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
+        sink = rolling_alert_sink(f"{checkpoint}/history", f"{checkpoint}/rows", ROLLING_LOOKBACK_SECONDS)
+        return sinks.for_each_batch(counts, sink, f"{checkpoint}/query", trigger)
+    if job == TOP_PRODUCT_JOB:
+        counts = windows.window_product_counts(metric_events(raw), "5 minutes", METRICS_WATERMARK)
+        sink = top_product_sink(f"{checkpoint}/rows")
+        return sinks.for_each_batch(counts, sink, f"{checkpoint}/query", trigger)
     raise ValueError(f"unknown job {job!r}; one of {', '.join(JOBS)}")
 
 

@@ -186,6 +186,17 @@ def test_sketched_users_in_a_stream_are_close(spark, feed, tmp_path):
     assert abs(users - 3000) / 3000 <= 0.15
 
 
+def test_rolling_and_top_product_jobs(spark, feed, lake):
+    feed.add(*[message(i, f"10:{i // 3:02}:{i % 3:02}") for i in range(60)])
+    feed.add(*[message(100 + i, f"10:21:{i:02}") for i in range(40)], message(999, "11:00:00"))
+    run(spark, "rolling-alerts", lake, feed)
+    run(spark, "top-products", lake, feed)
+    alerts = spark.read.parquet(f"{lake.checkpoint_base}/rolling-alerts/rows")
+    assert rows_of(alerts, "event_count", "anomaly_type") == [(40, "High Traffic Spike")]
+    top = spark.read.parquet(f"{lake.checkpoint_base}/top-products/rows")
+    assert top.filter("rank = 1").count() == 5
+
+
 def test_unknown_job(spark, feed, lake):
     with pytest.raises(ValueError, match="unknown job"):
         jobs.start(spark, "nothing", lake, feed.source(), "once")
