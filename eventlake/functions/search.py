@@ -47,16 +47,20 @@ def repair_query(query: Column, vocabulary: Sequence[str] = SEARCH_VOCABULARY) -
     """
     terms = F.lit(sorted(vocabulary))
 
-    def distance(word: Column, term: Column) -> Column:
-        edits = F.levenshtein(word, term, 2)
-        swapped = (edits == 2) & (F.length(word) == F.length(term)) & (_letters(word) == _letters(term))
-        return F.when(edits.between(0, 1), edits).when(swapped, F.lit(2))
+    def one_edit(word: Column, term: Column) -> Column:
+        return F.levenshtein(word, term, 1) == 1
+
+    def swapped(word: Column, term: Column) -> Column:
+        same_length = F.length(word) == F.length(term)
+        return same_length & (F.levenshtein(word, term, 2) == 2) & (_letters(word) == _letters(term))
 
     def repair(word: Column) -> Column:
-        scored = F.transform(terms, lambda t: F.struct(distance(word, t).alias("edits"), t.alias("term")))
-        nearest = F.array_min(F.filter(scored, lambda s: s["edits"].isNotNull()))
-        lookup = (F.length(word) >= 3) & ~F.array_contains(terms, word)
-        return F.when(lookup, F.coalesce(nearest["term"], word)).otherwise(word)
+        nearest = F.coalesce(
+            F.get(F.filter(terms, lambda t: one_edit(word, t)), 0),
+            F.get(F.filter(terms, lambda t: swapped(word, t)), 0),
+            word,
+        )
+        return F.when((F.length(word) >= 3) & ~F.array_contains(terms, word), nearest).otherwise(word)
 
     words = F.split(F.regexp_replace(F.trim(F.lower(query)), r"\s+", " "), " ")
     return F.array_join(F.transform(words, repair), " ")
