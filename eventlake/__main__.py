@@ -22,6 +22,7 @@ def _arguments() -> argparse.Namespace:
     stream = commands.add_parser("stream", help="run one streaming job")
     stream.add_argument("job", choices=jobs.JOBS)
     stream.add_argument("--path", help="folder of JSON lines to read instead of Kafka")
+    stream.add_argument("--files", type=int, help="most files per partition and micro-batch")
     stream.add_argument("--trigger", help="'once', or an interval such as '30 seconds'")
 
     yesterday = (date.today() - timedelta(days=1)).isoformat()
@@ -70,7 +71,7 @@ def main() -> None:
         if args.jdbc_url and args.job == jobs.ALERT_JOB:
             extra = (sinks.jdbc_sink(args.jdbc_url, "analytics_anomaly_alerts", _jdbc_properties(args)),)
         source = json_lines_source(args.path) if args.path else None
-        jobs.start(spark, args.job, settings, source, args.trigger, extra).awaitTermination()
+        jobs.start(spark, args.job, settings, source, args.trigger, extra, args.files).awaitTermination()
     elif args.command == "daily":
         daily.run_daily(spark, args.day, settings)
     elif args.command == "quality":

@@ -56,9 +56,14 @@ TOPICS = {
     "searches": "search-queries",
 }
 
+# Without this, Spark writes timestamps as INT96, for which Parquet keeps no
+# minimum and maximum: filters on time could not skip anything.
+TIME_STATISTICS = ("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
 # AQE splits skewed join partitions and merges small shuffle partitions; the
 # partition count itself is left to the cluster's own defaults.
 SESSION_CONF = {
+    TIME_STATISTICS[0]: TIME_STATISTICS[1],
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

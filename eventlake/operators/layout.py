@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.config import TIME_STATISTICS
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -59,6 +62,17 @@ def synthetic_events(spark: SparkSession, n: int, seed: int = 42, step_seconds:
     return shuffled.withColumn("event_date", F.to_date("event_timestamp"))
 
 
+@contextmanager
+def _time_statistics(spark: SparkSession) -> Iterator[None]:
+    key, value = TIME_STATISTICS
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_layouts(
     df: DataFrame, path: str, layouts: Iterable[Layout] = LAYOUTS, files: int | None = None
 ) -> dict[str, float]:
@@ -79,7 +93,8 @@ def write_layouts(
         elif files:
             out = df.repartition(files)
         started = time.perf_counter()
-        out.write.mode("overwrite").parquet(f"{path}/{layout.name}")
+        with _time_statistics(df.sparkSession):
+            out.write.mode("overwrite").parquet(f"{path}/{layout.name}")
         seconds[layout.name] = time.perf_counter() - started
     return seconds
 

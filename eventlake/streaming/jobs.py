@@ -86,6 +86,7 @@ def start(
     source: Source | None = None,
     trigger: str | None = None,
     extra_sinks: tuple[BatchSink, ...] = (),
+    files: int | None = None,
 ) -> StreamingQuery:
     """Start one job; without a source it reads its Kafka topic.
 
@@ -100,7 +101,7 @@ def start(
     if job in INGESTS:
         _, transform, table = INGESTS[job]
         store.create(table)
-        return sinks.append_to_table(transform(raw), store, table, checkpoint, trigger)
+        return sinks.append_to_table(transform(raw), store, table, checkpoint, trigger, files)
     if job in METRICS:
         aggregate, table = METRICS[job]
         store.create(table)

@@ -33,12 +33,36 @@ def append_to_path(
     return _start(writer, trigger).start(path)
 
 
+def few_files(df: DataFrame, partitions: Sequence[str], files: int) -> DataFrame:
+    """Bring the rows of a partition together in at most `files` tasks.
+
+    Otherwise every task of a micro-batch writes a file of its own into every
+    partition it has rows for. Rows are spread by a hash, so a partition with
+    most of the rows is still written by several tasks.
+    """
+    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(files))
+    keyed = df.withColumn("_file", spread)
+    return keyed.repartition(*partitions, "_file").drop("_file")
+
+
 def append_to_table(
-    df: DataFrame, store: TableStore, name: str, checkpoint: str, trigger: str | None = None
+    df: DataFrame,
+    store: TableStore,
+    name: str,
+    checkpoint: str,
+    trigger: str | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Append rows to a lake table; the columns follow the table's own order."""
+    """Append rows to a lake table; the columns follow the table's own order.
+
+    Without `files` there is no shuffle before the write; with it each micro-batch
+    adds at most that many files to a partition.
+    """
+    rows = df.select(*store.columns(name))
+    if files:
+        rows = few_files(rows, TABLES[name].partitions, files)
     writer = (
-        df.select(*store.columns(name)).writeStream
+        rows.writeStream
         .format(store.settings.provider)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)

@@ -197,6 +197,17 @@ def test_rolling_and_top_product_jobs(spark, feed, lake):
     assert top.filter("rank = 1").count() == 5
 
 
+def test_files_per_partition_are_bounded(spark, feed, lake):
+    for n in range(6):
+        feed.add(*[message(100 * n + i, "10:00:00", kind) for i, kind in enumerate(["view"] * 40 + ["search"])])
+    source = json_lines_source(str(feed.path))
+    jobs.start(spark, "events", lake, source, "once", files=2).awaitTermination()
+    found = TableStore(spark, lake).read("events")
+    assert found.count() == 6 * 41
+    per_type = found.groupBy("event_type").agg(F.count_distinct("_metadata.file_path").alias("files"))
+    assert all(r["files"] <= 2 for r in per_type.collect())
+
+
 def test_unknown_job(spark, feed, lake):
     with pytest.raises(ValueError, match="unknown job"):
         jobs.start(spark, "nothing", lake, feed.source(), "once")
