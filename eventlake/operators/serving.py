@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.config import EventRoles
 from eventlake.functions.days import with_previous_day
+from eventlake.functions.numbers import amount_where
 
 # Fixed value: the line drawn on the events-per-minute panel.
 PER_MINUTE_LINE = 300
@@ -18,6 +20,32 @@ def current_window(metrics: DataFrame) -> DataFrame:
     )
 
 
+def recent_events(events: DataFrame, minutes: int = 5, until: Column | None = None) -> DataFrame:
+    """Events of the last minutes before a moment, by default the newest event."""
+    span = F.make_dt_interval(mins=F.lit(minutes))
+    when = F.col("event_timestamp")
+    if until is None:
+        return events.filter(when > events.agg(F.max("event_timestamp")).scalar() - span)
+    return events.filter((when > until - span) & (when <= until))
+
+
+def recent_totals(
+    events: DataFrame, minutes: int = 5, roles: EventRoles = EventRoles(), until: Column | None = None
+) -> DataFrame:
+    """The number panels: events, revenue, users and orders of the last minutes."""
+    bought = F.col("event_type") == roles.purchase
+    return recent_events(events, minutes, until).agg(
+        F.count("*").alias("total_events"),
+        amount_where(bought, "total_amount").alias("total_revenue"),
+        F.count_distinct("user_id").alias("unique_users"),
+        F.count_if(bought).alias("orders"),
+    )
+
+
+def recent_by_type(events: DataFrame, minutes: int = 5, until: Column | None = None) -> DataFrame:
+    return recent_events(events, minutes, until).groupBy("event_type").agg(F.count("*").alias("event_count"))
+
+
 def events_per_minute(counts: DataFrame, line: int = PER_MINUTE_LINE) -> DataFrame:
     return counts.select(
         "window_start", "event_count", F.lit(line).alias("threshold"),

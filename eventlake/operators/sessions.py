@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ SUMMARY = (
 )
 
 
-def summarize_sessions(parsed: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
+def summarize_sessions(
+    parsed: DataFrame, roles: EventRoles = EventRoles(), keep: Sequence[str] = ("session_id",)
+) -> DataFrame:
     """Recompute the summary of each session message from its own event array.
 
     Plain array functions instead of lambdas, which would leave generated code.
@@ -26,7 +30,7 @@ def summarize_sessions(parsed: DataFrame, roles: EventRoles = EventRoles()) -> D
 
     seen = F.array_except(products, F.array(F.lit(None).cast("string")))
     counted = parsed.select(
-        "session_id",
+        *keep,
         F.size(kinds).alias("total_events"),
         F.size(seen).alias("unique_products_viewed"),
         of_type(roles.search).alias("searches_count"),
@@ -47,12 +51,12 @@ def summarize_session_events(session_events: DataFrame, roles: EventRoles = Even
     """
     kind = F.col("event_type")
     counted = session_events.groupBy("session_id").agg(
-        F.count("*").cast("int").alias("total_events"),
-        F.count_distinct("product_id").cast("int").alias("unique_products_viewed"),
-        F.count_if(kind == roles.search).cast("int").alias("searches_count"),
-        F.count_if(kind == roles.view).cast("int").alias("views_count"),
-        F.count_if(kind == roles.cart).cast("int").alias("add_cart_count"),
-        F.count_if(kind == roles.purchase).cast("int").alias("purchase_count"),
+        F.count("*").alias("total_events"),
+        F.count_distinct("product_id").alias("unique_products_viewed"),
+        F.count_if(kind == roles.search).alias("searches_count"),
+        F.count_if(kind == roles.view).alias("views_count"),
+        F.count_if(kind == roles.cart).alias("add_cart_count"),
+        F.count_if(kind == roles.purchase).alias("purchase_count"),
     )
     return counted.withColumns({
         "converted": F.col("purchase_count") > 0,
@@ -62,9 +66,8 @@ def summarize_session_events(session_events: DataFrame, roles: EventRoles = Even
 
 def summary_mismatches(parsed: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
     """How many session messages carry a summary that differs from their events, by field."""
-    given = parsed.select(F.struct(*[F.col(f"summary.{c}").alias(c) for c in SUMMARY]).alias("given"), "*")
-    recomputed = summarize_sessions(given.withColumn("session_id", F.struct("session_id", "given")), roles)
-    differs = {c: ~F.col(c).eqNullSafe(F.col(f"session_id.given.{c}")) for c in SUMMARY}
+    recomputed = summarize_sessions(parsed.withColumnRenamed("summary", "given"), roles, keep=("given",))
+    differs = {c: ~F.col(c).eqNullSafe(F.col(f"given.{c}")) for c in SUMMARY}
     counted = recomputed.agg(
         F.count("*").alias("sessions"), *[F.count_if(differs[c]).alias(c) for c in SUMMARY]
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,8 @@ def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame
     """Retention as of the day.
 
     The user-weeks of past weeks do not change, so a nightly run reads only the
-    events of the current week; `rebuild` reads all events up to the day.
+    events of this week and, for days that came late, of the week before;
+    `rebuild` reads all events up to the day.
     """
     store.create("user_weeks", "cohort_retention")
     roles = store.settings.roles
@@ -80,11 +82,11 @@ def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame
     if rebuild or store.read("user_weeks").isEmpty():
         store.overwrite(cohort.user_weeks(events, roles, day), "user_weeks")
     else:
-        week = store.spark.range(1).select(F.date_trunc("week", target).cast("date").alias("w")).first()["w"]
-        recent = events.filter(F.col("event_date").between(F.lit(week), target))
-        store.overwrite_partition(
-            cohort.user_weeks(recent, roles), "user_weeks", "activity_week", week.isoformat()
-        )
+        monday = date.fromisoformat(day) - timedelta(days=date.fromisoformat(day).weekday())
+        for week in (monday - timedelta(days=7), monday):
+            in_week = F.col("event_date").between(F.lit(week), F.lit(week + timedelta(days=6)))
+            seen = cohort.user_weeks(events.filter(in_week), roles, day)
+            store.overwrite_partition(seen, "user_weeks", "activity_week", week.isoformat())
     known = store.read("user_weeks").filter(F.col("activity_week") <= target)
     store.overwrite(
         cohort.retention(known).withColumn("calculation_date", target), "cohort_retention"

@@ -513,12 +513,12 @@ SQL = {
         'add_cart_count', 'purchase_count', 'converted', 'bounce']) AS field,
         (SELECT count(*) FROM orders) AS sessions, CAST(0 AS BIGINT) AS mismatched""",
     "session_summary_exploded": """
-      SELECT conv_id AS session_id, CAST(count(*) AS INTEGER) AS total_events,
-        CAST(count(DISTINCT length(text)) AS INTEGER) AS unique_products_viewed,
-        CAST(count(*) FILTER (role = 'user') AS INTEGER) AS searches_count,
-        CAST(count(*) FILTER (role = 'assistant') AS INTEGER) AS views_count,
-        CAST(count(*) FILTER (role = 'tool') AS INTEGER) AS add_cart_count,
-        CAST(count(*) FILTER (role = 'system') AS INTEGER) AS purchase_count,
+      SELECT conv_id AS session_id, count(*) AS total_events,
+        count(DISTINCT length(text)) AS unique_products_viewed,
+        count(*) FILTER (role = 'user') AS searches_count,
+        count(*) FILTER (role = 'assistant') AS views_count,
+        count(*) FILTER (role = 'tool') AS add_cart_count,
+        count(*) FILTER (role = 'system') AS purchase_count,
         count(*) FILTER (role = 'system') > 0 AS converted, count(*) = 1 AS bounce
       FROM conversations GROUP BY 1""",
     "search_metrics": f"""WITH {SEARCH}
@@ -535,6 +535,12 @@ SQL = {
     "serving_current_window": f"""WITH {EV}, w AS ({_windows('ev', '5 minutes')})
       SELECT window_start, total_events, total_revenue, unique_users, purchase_count
       FROM w ORDER BY window_start DESC LIMIT 1""",
+    "serving_recent_totals": f"""WITH {EV}
+      SELECT count(*) AS total_events, {REVENUE} AS total_revenue, count(DISTINCT user_id) AS unique_users,
+        {BUY} AS orders
+      FROM ev WHERE event_timestamp > (SELECT max(ts) FROM events) - INTERVAL '1 day'""",
+    "serving_recent_by_type": """SELECT event_type, count(*) AS event_count FROM events
+      WHERE ts > (SELECT max(ts) FROM events) - INTERVAL '1 day' GROUP BY 1""",
     "serving_events_per_minute": f"""WITH {EV}, c AS ({_counts('1 minute')})
       SELECT window_start, event_count, 1 AS threshold, event_count > 1 AS above_threshold FROM c""",
     "serving_revenue_over_time": f"""WITH {EV}, w AS ({_windows('ev', '1 hour')})

@@ -368,6 +368,16 @@ def serving_current_window(spark, sf):
     return serving.current_window(windows.window_metrics(_events(spark, sf), "5 minutes", samples.ROLES, exact=True))
 
 
+@register
+def serving_recent_totals(spark, sf):
+    return serving.recent_totals(_events(spark, sf), 24 * 60, samples.ROLES)
+
+
+@register
+def serving_recent_by_type(spark, sf):
+    return serving.recent_by_type(_events(spark, sf), 24 * 60)
+
+
 @register
 def serving_events_per_minute(spark, sf):
     return serving.events_per_minute(windows.window_counts(_events(spark, sf), "1 minute"), line=1)

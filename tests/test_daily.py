@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import day, rows_of
 from eventlake.operators import cohort, daily, serving, sessions
@@ -57,6 +58,15 @@ def test_kpi_changes(events):
     assert found[day("2024-01-04")]["orders_change"] is None
 
 
+def test_recent_totals(events):
+    last = serving.recent_totals(events, 60 * 24 * 3).first()
+    assert (last["total_events"], last["orders"], last["unique_users"]) == (2, 0, 1)
+    moment = F.lit("2024-01-01 10:05:00").cast("timestamp")
+    then = serving.recent_totals(events, 5, until=moment).first()
+    assert (then["total_events"], then["total_revenue"], then["orders"]) == (1, 300, 1)
+    assert rows_of(serving.recent_by_type(events, 6, until=moment)) == [("purchase", 1), ("view", 1)]
+
+
 def test_repurchase(make_events):
     rows = [
         ("1", "purchase", "a", "p", "2024-01-01T00:00:00", 1), ("2", "purchase", "a", "p", "2024-01-03T00:00:00", 1),
