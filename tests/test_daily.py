@@ -59,7 +59,7 @@ def test_kpi_changes(events):
 
 
 def test_recent_totals(events):
-    last = serving.recent_totals(events, 60 * 24 * 3).first()
+    last = serving.recent_totals(events, 60 * 24 * 2 + 1).first()
     assert (last["total_events"], last["orders"], last["unique_users"]) == (2, 0, 1)
     moment = F.lit("2024-01-01 10:05:00").cast("timestamp")
     then = serving.recent_totals(events, 5, until=moment).first()
