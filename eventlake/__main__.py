@@ -17,6 +17,7 @@ def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="eventlake")
     parser.add_argument("--database", default=Settings().database)
     parser.add_argument("--provider", default=Settings().provider)
+    parser.add_argument("--lake", help="folder of the tables, where there is no metastore")
     commands = parser.add_subparsers(dest="command", required=True)
 
     stream = commands.add_parser("stream", help="run one streaming job")
@@ -63,7 +64,7 @@ def _compare_layouts(spark, store: TableStore, path: str, rows: int) -> None:
 
 def main() -> None:
     args = _arguments()
-    settings = Settings(database=args.database, provider=args.provider)
+    settings = Settings(database=args.database, provider=args.provider, lake_path=args.lake)
     spark = get_spark(f"eventlake-{args.command}")
     store = TableStore(spark, settings)
     if args.command == "stream":

@@ -40,6 +40,9 @@ class Settings:
 
     database: str = "commerce"
     provider: str = "parquet"
+    # Folder for tables that outlive a session without a metastore; None leaves
+    # the location to the catalog.
+    lake_path: str | None = None
     kafka_servers: str = field(
         default_factory=lambda: os.getenv("KAFKA_BOOTSTRAP_SERVERS", "kafka:9092")
     )

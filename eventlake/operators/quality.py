@@ -143,7 +143,7 @@ def quality_checks(
     A check that does not apply (no purchases, no day before) has no row.
     """
     if day is None:
-        days = with_missing_days(quality_profile(events, roles), "event_date", "has_rows")
+        days = with_missing_days(quality_profile(events, roles), "event_date")
     else:
         target = F.lit(day).cast("date")
         before = F.date_sub(target, 1)

@@ -17,7 +17,7 @@ from eventlake.sources.tables import TableStore
 
 def run_quality(store: TableStore, day: str) -> DataFrame:
     """Write the day's checks and return them as stored."""
-    store.create("data_quality")
+    store.create("events", "data_quality")
     checks = quality.quality_checks(
         store.read("events"), day, roles=store.settings.roles, table_name=store.full_name("events")
     )
@@ -38,6 +38,7 @@ def _write_all(store: TableStore, day: str, reports: dict[str, DataFrame]) -> No
 
 
 def run_aggregation(store: TableStore, day: str) -> None:
+    store.create("events")
     roles = store.settings.roles
     events = daily.on_day(store.read("events"), "event_date", day)
     # one row per product and day, read by two reports
@@ -54,6 +55,7 @@ def run_aggregation(store: TableStore, day: str) -> None:
 
 
 def run_reviews(store: TableStore, day: str) -> None:
+    store.create("reviews")
     rows = daily.on_day(store.read("reviews"), "created_date", day)
     # the texts are searched once; four reports read the words found
     tagged = reviews.tag_reviews(rows, REVIEW_LEXICON, REVIEW_ASPECTS).persist()
@@ -75,7 +77,7 @@ def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame
     events of this week and, for days that came late, of the week before;
     `rebuild` reads all events up to the day.
     """
-    store.create("user_weeks", "cohort_retention")
+    store.create("events", "user_weeks", "cohort_retention")
     roles = store.settings.roles
     events = store.read("events")
     target = F.lit(day).cast("date")
@@ -103,7 +105,6 @@ def run_daily(
 ) -> None:
     """Checks, then reports; a failed check stops the run before any report is written."""
     store = TableStore(spark, settings)
-    store.create("events", "reviews")
     gate(run_quality(store, day))
     run_aggregation(store, day)
     run_reviews(store, day)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from eventlake.config import Settings, ensure_database
@@ -206,13 +207,33 @@ TABLES = {
 }
 
 
+def _recover_partitions(spark: SparkSession, full_name: str) -> None:
+    """A table that a stream has written keeps its own list of files and has none to recover."""
+    try:
+        spark.sql(f"ALTER TABLE {full_name} RECOVER PARTITIONS")
+    except AnalysisException as error:
+        if error.getCondition() != "NOT_A_PARTITIONED_TABLE":
+            raise
+
+
 def create_tables(spark: SparkSession, settings: Settings, names: list[str] | None = None) -> None:
     """Create the database and whichever of its tables are missing."""
     ensure_database(spark, settings.database)
     for name in names or TABLES:
+        full_name = f"{settings.database}.{name}"
+        if spark.catalog.tableExists(full_name):
+            continue
         table = TABLES[name]
         layout = f"PARTITIONED BY ({', '.join(table.partitions)})" if table.partitions else ""
+        path = f"{settings.lake_path}/{name}" if settings.lake_path else None
+        if path and table.partitions:
+            nothing = spark.createDataFrame([], table.columns)
+            nothing.write.mode("append").partitionBy(*table.partitions).parquet(path)
+        place = f"LOCATION '{path}'" if path else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {settings.database}.{name} ({table.columns}) "
-            f"USING {settings.provider} {layout}"
+            f"CREATE TABLE IF NOT EXISTS {full_name} ({table.columns}) "
+            f"USING {settings.provider} {layout} {place}"
         )
+        if path and table.partitions:
+            # rows that an earlier session left in the folder
+            _recover_partitions(spark, full_name)

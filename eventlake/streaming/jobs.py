@@ -133,7 +133,7 @@ def rolling_alert_sink(history_path: str, alert_path: str, lookback_seconds: int
     lookback are listed and read.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         start = F.unix_seconds(F.min("window_start"))
         span = batch.agg(
@@ -159,7 +159,7 @@ def rolling_alert_sink(history_path: str, alert_path: str, lookback_seconds: int
         fresh = alerts.filter(F.col("window_start") >= F.timestamp_seconds(F.lit(span["first"])))
         fresh.write.mode("overwrite").parquet(f"{alert_path}/batch_id={batch_id}")
 
-    return write
+    return sinks.multi_sink(judge)
 
 
 def top_product_sink(path: str, k: int = 10) -> BatchSink:

@@ -98,7 +98,10 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str], mode: str = "app
 
 
 def multi_sink(primary: BatchSink, *secondary: BatchSink) -> BatchSink:
-    """The primary sink must succeed; a failing secondary one is logged and passed over."""
+    """The primary sink must succeed; a failing secondary one is logged and passed over.
+
+    The batch is kept while it is written, so that its aggregation runs once.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, rows_of
-from eventlake.config import checkpoint_path, scratch_path, shared_dir
+from eventlake.config import Settings, checkpoint_path, scratch_path, shared_dir
 from eventlake.operators import cohort, layout, quality
 from eventlake.plans import daily
+from eventlake.sources.tables import TableStore
 
 DAY = "2024-01-02"
 
@@ -104,6 +105,20 @@ def test_whole_table_overwrite_drops_old_partitions(filled, spark):
     assert rows_of(filled.read("cohort_retention"), "cohort_week") == [(day("2025-01-06"),)]
 
 
+def test_tables_at_a_path_are_found_again_without_a_metastore(spark, make_events, tmp_path):
+    settings = Settings(database="first_session", lake_path=str(tmp_path / "lake"))
+    first = TableStore(spark, settings)
+    first.create("daily_product", "data_quality", "benchmark_results")
+    events = make_events([("1", "view", "a", "p1", f"{DAY}T10:00:00", None)])
+    report = daily.daily.product_metrics(daily.daily.product_days(events))
+    first.overwrite_day(report, "daily_product", "report_date", DAY)
+    later = TableStore(spark, Settings(database="later_session", lake_path=str(tmp_path / "lake")))
+    later.create("daily_product")
+    assert rows_of(later.read("daily_product"), "product_id", "views") == [("p1", 1)]
+    later.overwrite_day(report.limit(0), "daily_product", "report_date", DAY)
+    assert later.read("daily_product").count() == 0
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(f"{shared_dir(spark)}/eventlake/x-")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
