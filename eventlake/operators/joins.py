@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Catalyst takes the size of the files, and compressed columns grow several times
+# in memory: the limit leaves room for that.
+BROADCAST_LIMIT = 32 * 1024 * 1024
 HOT_ROWS = 5_000_000
 
 
