@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from conftest import SAMPLE_DIR
+from eventlake.plans import oracle
+from eventlake.plans import queries as registry
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -16,8 +18,8 @@ TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
     "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
 }
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = registry.all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
