@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,6 +13,14 @@ from pyspark.sql import functions as F
 from eventlake.config import scratch_path
 
 
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def letter_words(text: str | None) -> list[str]:
+    """Lower-case runs of letters; none for a null text."""
+    return LETTERS.findall((text or "").lower())
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -46,25 +55,19 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int = 8 <
                 yield batch.slice(start, stop - start)
 
 
-class WordCache(dict):
-    """Token -> value, computed once; starts anew when `limit` tokens are held."""
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 
-    def __init__(self, compute, limit: int):
-        super().__init__()
-        self.compute, self.limit = compute, limit
 
-    def __missing__(self, token):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[token] = self.compute(token)
-        return value
-
-
-def spans(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of consecutive runs of these lengths, and the run of every element."""
-    starts = np.zeros(len(lengths), np.int64)
-    np.cumsum(lengths[:-1], out=starts[1:])
-    return starts, np.repeat(np.arange(len(lengths)), lengths)
+def blocks(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in blocks of about this size that begin and end between words."""
+    start = 0
+    while len(data) - start > size:
+        found = _SPACE.search(data, start + size)
+        if not found:
+            break
+        yield data[start : found.start()]
+        start = found.start()
+    yield data[start:]
 
 
 def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -73,3 +76,13 @@ def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     own = np.zeros(len(lengths), np.int64)
     np.cumsum(lengths[:-1], out=own[1:])
     return np.arange(total) + np.repeat(starts - own, lengths)
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that no column has, upper and lower case alike."""
+    used = {t.lower() for t in taken}
+    found = []
+    for name in wanted:
+        found.append(next(n for n in (name, *(f"{name}_{i}" for i in range(len(used) + 1))) if n.lower() not in used))
+        used.add(found[-1].lower())
+    return found

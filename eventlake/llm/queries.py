@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import toxicity
+from eventlake.llm import language, packing, simhash, toxicity
 from eventlake.llm.common import fold_is, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,5 +23,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit(documents.where(~fold_is("doc_id", 4, 2)))
+    return language.predict(documents, model).select(
+        "doc_id", fold_is("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
