@@ -70,6 +70,61 @@ def blocks(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
     yield data[start:]
 
 
+class _Rows(dict):
+    """Word -> row; a new word gets the next row and is noted in `fresh`."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, word) -> int:
+        row = self[word] = len(self)
+        self.fresh.append(word)
+        return row
+
+
+class WordPool:
+    """A worker's memory of what each word stands for: a run of numbers.
+
+    `compute` gives the runs of a list of new words, one behind the other, and their lengths. When
+    over `limit` words are held, all are forgotten.
+    """
+
+    def __init__(self, compute, dtype, limit: int = 1_000_000):
+        self.compute, self.dtype, self.limit = compute, dtype, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self._rows = _Rows()
+        self.values = np.zeros(1 << 20, self.dtype)
+        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.used = 0
+
+    def rows(self, words: list) -> np.ndarray:
+        """The row of every word, good until the next call."""
+        if len(self._rows) > self.limit:
+            self.clear()
+        rows = np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words))
+        fresh, self._rows.fresh = self._rows.fresh, []
+        if fresh:
+            flat, lengths = self.compute(fresh)
+            first, last = len(self._rows) - len(fresh), len(self._rows)
+            while self.used + len(flat) > len(self.values):
+                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+            while last > len(self.starts):
+                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.values[self.used : self.used + len(flat)] = flat
+            self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[first:last] = lengths
+            self.used += len(flat)
+        return rows
+
+    def runs(self, words: list) -> np.ndarray:
+        """The numbers of all words, one run behind the other."""
+        rows = self.rows(words)
+        return self.values[gather_runs(self.starts[rows], self.lengths[rows])]
+
+
 def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of all elements of the runs (start, length), run after run."""
     total = int(lengths.sum())

@@ -27,50 +27,30 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from eventlake.llm.common import blocks, gather_runs, small_batches
+from eventlake.llm.common import WordPool, blocks, small_batches
 
 WINDOW = 4096
 END_ID = 2
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class _Rows(dict):
-    """Word -> row; a new word gets the next row and is noted in `fresh`."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        row = self[word] = len(self)
-        self.fresh.append(word)
-        return row
-
-
 class WordEncoder:
     """Ids of texts by a lower-casing tokenizer that drops white space and never crosses it.
 
-    Words are encoded once and kept, up to `limit` of them; a text is the run of its words' ids.
-    The tokenizer also never merges letters with other characters, so the letters of a word and the
-    punctuation behind them are looked up apart when a new word is met.
+    Words are encoded once per worker and kept; a text is the run of its words' ids. The tokenizer
+    also never merges letters with other characters, so the letters of a word and the punctuation
+    behind them are looked up apart when a new word is met.
     """
 
     TAIL = b".,!?;:|*%$#&"
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.rows = _Rows()
+        self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[bytes, list[int]] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.pool = WordPool(self._learn, np.uint32)
 
     def _split(self, word: bytes) -> tuple[bytes, bytes]:
         """Letters and the punctuation that ends the word, if it can be cut there."""
@@ -82,38 +62,19 @@ class WordEncoder:
             return core, word[len(core) :]
         return word, b""
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > self.pool.limit:
+            self.parts.clear()
         cut = [self._split(w) for w in words]
         fresh = list({p for pair in cut for p in pair if p}.difference(self.parts))
         for part, found in zip(fresh, self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)):
             self.parts[part] = found.ids
         found = [self.parts[a] + self.parts[b] if b else self.parts[a] for a, b in cut]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total, first = int(lengths.sum()), len(self.rows) - len(words)
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.rows) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        self.starts[first : first + len(found)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(found)] = lengths
-        self.used += total
-
-    def _find(self, words: list[bytes]) -> np.ndarray:
-        if len(self.rows) > self.limit:
-            self.clear()
-        rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
-        if self.rows.fresh:
-            self._learn(self.rows.fresh)
-            self.rows.fresh = []
-        return rows
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def encode(self, text: str) -> np.ndarray:
-        out = [np.zeros(0, np.uint32)]
-        for block in blocks(text.encode()):
-            rows = self._find(block.split())
-            out.append(self.ids[gather_runs(self.starts[rows], self.lengths[rows])])
-        return np.concatenate(out) if len(out) > 2 else out[-1]
+        return np.concatenate([self.pool.runs(block.split()) for block in blocks(text.encode())])
 
 
 _encoders: dict[str, WordEncoder] = {}
