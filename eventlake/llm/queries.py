@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, packing, piece_codec, simhash, token_counts, toxicity
+from eventlake.llm import language, packing, piece_codec, sharding, simhash, token_counts, toxicity
 from eventlake.llm.common import fold_is, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
