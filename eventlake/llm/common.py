@@ -142,3 +142,18 @@ def free_names(taken: list[str], *wanted: str) -> list[str]:
         found.append(next(n for n in (name, *(f"{name}_{i}" for i in range(len(used) + 1))) if n.lower() not in used))
         used.add(found[-1].lower())
     return found
+
+
+def usable_vector(name: str) -> Column:
+    """Neither null, nor zero, nor holding a null or non-finite component."""
+    v = F.col(name)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def matrix(column: pa.Array | list) -> np.ndarray:
+    """Vectors of one length as rows of doubles."""
+    if isinstance(column, pa.Array):
+        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+    return np.array([np.asarray(v, np.float64) for v in column])
