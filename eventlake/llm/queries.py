@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, neighbours, packing, piece_codec, sharding, simhash, token_counts, toxicity
+from eventlake.llm import language, neighbours, packing, piece_codec, sharding, simhash, token_counts, toxicity, vector_links
 from eventlake.llm.common import fold_is, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.linked(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language.fit(documents.where(~fold_is("doc_id", 4, 2)))
