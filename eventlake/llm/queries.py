@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, neighbours, packing, piece_codec, sharding, simhash, token_counts, toxicity, vector_links
+from eventlake.llm import language, lm, neighbours, packing, piece_codec, sharding, simhash, token_counts, toxicity, vector_links
 from eventlake.llm.common import fold_is, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,16 @@ def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links.linked(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold_is("doc_id", 7, 2)
+    model, counts = lm.fit(documents, ~held_out)
+    scored = lm.score(documents, model, counts, held_out.alias("held_out"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language.fit(documents.where(~fold_is("doc_id", 4, 2)))
