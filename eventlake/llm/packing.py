@@ -21,13 +21,14 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from eventlake.llm.common import WordPool, blocks, small_batches
+from eventlake.llm.common import WordPool, blocks, gather_runs, small_batches
 
 WINDOW = 4096
 END_ID = 2
@@ -44,13 +45,16 @@ class WordEncoder:
 
     TAIL = b".,!?;:|*%$#&"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[bytes, list[int]] = {}
-        self.pool = WordPool(self._learn, np.uint32)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = WordPool(self._encode_parts, np.uint32, limit)
+        self.pool = WordPool(self._learn, np.uint32, limit)
 
     def _split(self, word: bytes) -> tuple[bytes, bytes]:
         """Letters and the punctuation that ends the word, if it can be cut there."""
@@ -62,20 +66,53 @@ class WordEncoder:
             return core, word[len(core) :]
         return word, b""
 
+    @staticmethod
+    def _is_letters(part: bytes) -> bool:
+        return part.isalpha() or normalize("NFC", part.decode()).lower().isalpha()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts. Words of letters are encoded many at once: each ends with an end-of-word id."""
+        letters = np.fromiter(map(self._is_letters, parts), bool, len(parts))
+        plain = [p.decode() for p, yes in zip(parts, letters) if yes]
+        joined = self._ids([" ".join(plain[i : i + 500]) for i in range(0, len(plain), 500)])
+        flat = np.fromiter(chain.from_iterable(joined), np.uint32)
+        stops = np.flatnonzero(self.ends[flat]) + 1
+        assert len(stops) == len(plain), "the tokenizer does not end every word"
+        other = self._ids([p.decode() for p, yes in zip(parts, letters) if not yes])
+        lengths = np.empty(len(parts), np.int64)
+        lengths[letters] = np.diff(stops, prepend=0)
+        lengths[~letters] = [len(ids) for ids in other]
+        out = np.empty(int(lengths.sum()), np.uint32)
+        of_letters = np.repeat(letters, lengths)
+        out[of_letters] = flat
+        out[~of_letters] = np.fromiter(chain.from_iterable(other), np.uint32)
+        return out, lengths
+
     def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.parts) > self.pool.limit:
-            self.parts.clear()
         cut = [self._split(w) for w in words]
-        fresh = list({p for pair in cut for p in pair if p}.difference(self.parts))
-        for part, found in zip(fresh, self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)):
-            self.parts[part] = found.ids
-        found = [self.parts[a] + self.parts[b] if b else self.parts[a] for a, b in cut]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+        rows = self.parts.rows([p for pair in cut for p in pair if p])
+        sizes = self.parts.lengths[rows]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *((1 if not b else 2) for _, b in cut)])]
+        return self.parts.values[gather_runs(self.parts.starts[rows], sizes)], np.diff(ends)
 
     def encode(self, text: str) -> np.ndarray:
+        """Ids of one text of any length."""
         return np.concatenate([self.pool.runs(block.split()) for block in blocks(text.encode())])
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; new words of all of them are encoded together."""
+        if sum(map(len, texts)) > 4 << 20:
+            return [self.encode(t) for t in texts]
+        words = [t.encode().split() for t in texts]
+        rows = self.pool.rows(list(chain.from_iterable(words)))
+        lengths = self.pool.lengths[rows]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, words)])]
+        flat = self.pool.values[gather_runs(self.pool.starts[rows], lengths)]
+        return [flat[i:j] for i, j in zip(ends, ends[1:])]
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -189,10 +226,10 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = EN
             rows.clear()
             return made
 
-        for batch in small_batches(batches, "text"):
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.append(encoder.encode(text or ""), np.uint32(end_id))
-                for pieces in packer.place(doc, ids):
+        for batch in small_batches(batches, "text", 2 << 20):
+            encoded = encoder.encode_all([t or "" for t in batch.column("text").to_pylist()])
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                for pieces in packer.place(doc, np.append(ids, np.uint32(end_id))):
                     note(pieces)
             yield batch_of()
         for pieces in packer.finish():
