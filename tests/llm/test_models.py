@@ -44,7 +44,7 @@ def test_toxicity_scores_chunk_by_chunk_alike():
     texts = [" ".join(d) for d in docs] + [" ".join(w for d in docs for w in d), "", None]
     whole = toxicity.Scorer(model).scores(texts)
     model.settings = replace(s, chunk=7, cached_words=50)
-    assert np.allclose(toxicity.Scorer(model).scores(texts), whole, atol=1e-6)
+    assert np.allclose(toxicity.Scorer(model).scores(texts), whole, atol=1e-4)
 
 
 def test_toxicity_on_odd_rows(spark):
@@ -121,8 +121,12 @@ def test_base_scores_equal_counting(spark, chatter):
         for i, t in texts
     )
     assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in rows) == expected
-    held_rows = [r for r in rows if r["held_out"]]
-    assert sum(r["score"] for r in held_rows) > sum(r["base_score"] for r in held_rows)
+
+
+def test_held_out_texts_are_likelier_than_by_counts(spark):
+    rows = [r for r in queries.op2_lm(spark, MIDDLE_DIR).collect() if r["held_out"]]
+    tokens_, base, score = (sum(r[c] for r in rows) for c in ("n_tokens", "base_score", "score"))
+    assert len(rows) > 50 and score - base > 0.1 * tokens_
 
 
 def test_score_is_one_text_at_a_time(spark, chatter):
