@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from eventlake.config import Settings, get_spark
 from eventlake.operators import layout, quality, serving
 from eventlake.plans import daily
@@ -28,7 +30,10 @@ def _arguments() -> argparse.Namespace:
 
     yesterday = (date.today() - timedelta(days=1)).isoformat()
     for name in ("daily", "quality", "aggregate", "reviews"):
-        commands.add_parser(name).add_argument("day", nargs="?", default=yesterday)
+        command = commands.add_parser(name)
+        command.add_argument("day", nargs="?", default=yesterday)
+        if name == "daily":
+            command.add_argument("--cohorts", action="store_true", help="retention as of the day too")
     cohorts = commands.add_parser("cohorts")
     cohorts.add_argument("day", nargs="?", default=date.today().isoformat())
     cohorts.add_argument("--rebuild", action="store_true")
@@ -59,6 +64,11 @@ def _compare_layouts(spark, store: TableStore, path: str, rows: int) -> None:
     store.create("benchmark_results")
     store.append(timings, "benchmark_results")
     timings.show(20, truncate=False)
+    for kind in layout.LAYOUTS:
+        table = spark.read.parquet(f"{path}/{kind.name}")
+        days = (F.lit(parameters["day_from"]).cast("timestamp"), F.lit(parameters["day_to"]).cast("timestamp"))
+        touched = layout.files_touched(table, "event_timestamp", *days)
+        touched.select(F.lit(kind.name).alias("table_name"), "*").show(truncate=False)
     layout.layout_report(timings).show(truncate=False)
 
 
@@ -74,7 +84,7 @@ def main() -> None:
         source = json_lines_source(args.path) if args.path else None
         jobs.start(spark, args.job, settings, source, args.trigger, extra, args.files).awaitTermination()
     elif args.command == "daily":
-        daily.run_daily(spark, args.day, settings)
+        daily.run_daily(spark, args.day, settings, with_cohorts=args.cohorts)
     elif args.command == "quality":
         checks = daily.run_quality(store, args.day)
         quality.quality_report(checks).show()

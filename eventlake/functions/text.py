@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -85,7 +86,7 @@ def aspects(text: Column, words: Mapping[str, Sequence[str]]) -> Column:
 
 def first_keyword(text: Column, lexicon: Lexicon) -> Column:
     """The leftmost lexicon word of the text, '' when there is none."""
-    return F.regexp_extract(F.lower(text), f"({'|'.join(lexicon.words)})", 1)
+    return F.regexp_extract(F.lower(text), f"({'|'.join(map(re.escape, lexicon.words))})", 1)
 
 
 def keyword_type(keyword: Column, lexicon: Lexicon) -> Column:

@@ -43,7 +43,7 @@ def fill_empty_windows(
     window. The calendar is built day by day, so that no task holds more than a
     day of it.
     """
-    stretch = DAY_SECONDS - DAY_SECONDS % size_seconds
+    stretch = max(size_seconds, DAY_SECONDS - DAY_SECONDS % size_seconds)
     if first is None or last is None:
         ends = (F.min("window_start"), F.max("window_start"))
         span = counts.agg(*[F.unix_seconds(e).alias(c) for e, c in zip(ends, ("first", "last"))])

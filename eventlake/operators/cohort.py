@@ -73,7 +73,15 @@ def cohort_retention(
     return retention(user_weeks(events, roles, as_of))
 
 
-def retention_matrix(cohorts: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Cohorts down, weeks since the first visit across."""
+def retention_matrix(cohorts: DataFrame, periods: Sequence[int] | None = None) -> DataFrame:
+    """Cohorts down, weeks since the first visit across.
+
+    The periods are those of the data, without gaps; periods that are given must hold all of them.
+    """
+    last = cohorts.agg(F.max("period_week")).first()[0]
+    if periods is None:
+        periods = range((last or 0) + 1)
+    elif last is not None and last > max(periods):
+        raise ValueError(f"period {last} would be lost")
     wide = cohorts.groupBy("cohort_week").pivot("period_week", list(periods)).agg(F.first("retention_rate"))
     return wide.select("cohort_week", *[F.col(str(p)).alias(f"week_{p}") for p in periods])

@@ -130,9 +130,19 @@ def volume_change(events: DataFrame) -> DataFrame:
 
 
 def hourly_moving_average(events: DataFrame, hours: int = 3) -> DataFrame:
-    """Events per category and hour of time, with the mean of the last few active hours."""
+    """Events per category and hour of time, with the mean of the last hours, empty ones included.
+
+    Each hour's count is sent to the hours whose mean it is part of and added up there, so no task
+    holds the hours of a category. Hours before the first count as empty.
+    """
     per_hour = events.groupBy("category", F.date_trunc("hour", "event_timestamp").alias("hour_start")).agg(
         F.count("*").alias("events")
     )
-    recent = W.partitionBy("category").orderBy("hour_start").rowsBetween(-(hours - 1), 0)
-    return per_hour.withColumn("moving_avg", F.avg("events").over(recent))
+    sent = per_hour.withColumn("later", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))))
+    own = F.col("later") == 0
+    summed = sent.groupBy(
+        "category", (F.col("hour_start") + F.make_dt_interval(hours=F.col("later"))).alias("hour_start")
+    ).agg(F.max(F.when(own, F.col("events"))).alias("events"), F.sum("events").alias("total"))
+    return summed.filter(F.col("events").isNotNull()).select(
+        "category", "hour_start", "events", (F.col("total") / hours).alias("moving_avg")
+    )

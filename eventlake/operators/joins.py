@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.rows import row_hash
+
 # Catalyst takes the size of the files, and compressed columns grow several times
 # in memory: the limit leaves room for that.
 BROADCAST_LIMIT = 32 * 1024 * 1024
@@ -58,8 +60,7 @@ def salted_join(
         .filter((F.col("_facts") > hot_rows) & F.col(key).isNotNull())
         .select(key, F.ceil(F.col("_facts") / hot_rows).cast("int").alias("_salts"))
     )
-    # rows that are equal in every column still differ by the partition they came from
-    spread = F.xxhash64(*facts.columns, F.spark_partition_id())
+    spread = row_hash(facts)
     salts = F.when(F.col(key).isNull(), F.lit(1 << 20)).otherwise(F.coalesce("_salts", F.lit(1)))
     left = (
         facts.join(F.broadcast(hot), key, "left")

@@ -7,10 +7,11 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.config import TIME_STATISTICS
+from eventlake.functions.rows import row_hash
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,7 @@ def write_layouts(
     for layout in layouts:
         out = df
         if layout.sort_keys:
-            spread = df.withColumn("_spread", F.xxhash64(*df.columns, F.spark_partition_id()))
+            spread = df.withColumn("_spread", row_hash(df))
             parts = [*([files] if files else []), *layout.sort_keys, "_spread"]
             out = spread.repartitionByRange(*parts).sortWithinPartitions(*layout.sort_keys).drop("_spread")
         elif files:
@@ -144,6 +145,16 @@ def layout_report(timings: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> Da
     })
 
 
+def rows_met(table: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
+    """All rows, and the rows within the range among the files whose value range meets it."""
+    inside = F.col(column).between(low, high)
+    per_file = table.groupBy("_metadata.file_path").agg(
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count("*").alias("n"), F.count_if(inside).alias("meets")
+    )
+    touched = (F.col("low") <= high) & (F.col("high") >= low)
+    return per_file.agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(touched, F.col("meets"))), F.lit(0)).alias("meets"))
+
+
 def files_touched(table: DataFrame, column: str, low: object, high: object) -> DataFrame:
     """Files and bytes whose value range meets the filter range, against all of them."""
     per_file = table.groupBy("_metadata.file_path", "_metadata.file_size").agg(

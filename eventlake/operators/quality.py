@@ -171,8 +171,11 @@ def quality_report(checks: DataFrame) -> DataFrame:
 
 
 def quality_gate(checks: DataFrame) -> None:
-    """Stop the caller when any check failed. The checks of a day are a handful of rows."""
-    failed = checks.filter(F.col("status") == FAIL).select("table_name", "check_name", "details").take(20)
-    if failed:
-        lines = "; ".join(f"{r.table_name}.{r.check_name}: {r.details}" for r in failed)
-        raise QualityGateError(f"{len(failed)} checks failed: {lines}")
+    """Stop the caller when any check failed; the message counts all and names the first twenty."""
+    failed = checks.filter(F.col("status") == FAIL)
+    count = failed.count()
+    if count:
+        named = failed.orderBy("table_name", "check_name").select("table_name", "check_name", "details").take(20)
+        lines = [f"{r.table_name}.{r.check_name}: {r.details}" for r in named]
+        lines += [f"and {count - len(named)} more"] if count > len(named) else []
+        raise QualityGateError(f"{count} checks failed: {'; '.join(lines)}")

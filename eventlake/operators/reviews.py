@@ -16,11 +16,17 @@ def tag_reviews(
     reviews: DataFrame,
     lexicon: Lexicon = REVIEW_LEXICON,
     aspects: Mapping[str, Sequence[str]] = REVIEW_ASPECTS,
+    stored: bool = False,
 ) -> DataFrame:
-    """Replace the text by its keywords, aspects and sentiment: what the reports read."""
+    """Replace the text by its keywords, aspects and sentiment: what the reports read.
+
+    `stored` says that `sentiment_keywords` holds the words of this lexicon already, as rows do that
+    were taken in with it; a row without them has its text searched.
+    """
     body = F.col("review_text")
+    searched = text.keywords(body, lexicon)
     found = reviews.withColumns({
-        "keywords": text.keywords(body, lexicon),
+        "keywords": F.coalesce("sentiment_keywords", searched) if stored else searched,
         "aspects": text.aspects(body, aspects),
     }).drop("review_text", "sentiment_keywords")
     return found.withColumn("sentiment", text.keyword_sentiment(F.col("keywords"), lexicon))

@@ -21,12 +21,19 @@ def current_window(metrics: DataFrame) -> DataFrame:
 
 
 def recent_events(events: DataFrame, minutes: int = 5, until: Column | None = None) -> DataFrame:
-    """Events of the last minutes before a moment, by default the newest event."""
+    """Events of the last minutes before a moment, by default the newest event.
+
+    The days are bounded as well, so only their partitions are read. A tile passes the end of the
+    newest closed window as `until`: one small read instead of one of the events, and an event with a
+    time in the future does not empty it.
+    """
     span = F.make_dt_interval(mins=F.lit(minutes))
     when = F.col("event_timestamp")
     if until is None:
-        return events.filter(when > events.agg(F.max("event_timestamp")).scalar() - span)
-    return events.filter((when > until - span) & (when <= until))
+        newest_day = events.agg(F.max("event_date")).scalar()
+        until = events.filter(F.col("event_date") == newest_day).agg(F.max("event_timestamp")).scalar()
+    days = F.col("event_date").between(F.to_date(until - span), F.to_date(until))
+    return events.filter(days & (when > until - span) & (when <= until))
 
 
 def recent_totals(

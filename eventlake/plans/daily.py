@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +58,7 @@ def run_reviews(store: TableStore, day: str) -> None:
     store.create("reviews")
     rows = daily.on_day(store.read("reviews"), "created_date", day)
     # the texts are searched once; four reports read the words found
-    tagged = reviews.tag_reviews(rows, REVIEW_LEXICON, REVIEW_ASPECTS).persist()
+    tagged = reviews.tag_reviews(rows, REVIEW_LEXICON, REVIEW_ASPECTS, stored=True).persist()
     try:
         _write_all(store, day, {
             "review_daily_summary": reviews.review_summary(tagged),
@@ -70,28 +70,43 @@ def run_reviews(store: TableStore, day: str) -> None:
         tagged.unpersist()
 
 
+def _days_of(events: DataFrame) -> DataFrame:
+    """Rows and newest file per day. No column of the rows is read where the day is a partition."""
+    changed = F.max("_metadata.file_modification_time")
+    return events.filter(F.col("event_date").isNotNull()).groupBy("event_date").agg(
+        F.count("*").alias("n"), changed.cast("timestamp").alias("changed")
+    )
+
+
 def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame:
     """Retention as of the day.
 
-    The user-weeks of past weeks do not change, so a nightly run reads only the
-    events of this week and, for days that came late, of the week before;
-    `rebuild` reads all events up to the day.
+    The user-weeks of a week are kept whole, whatever day the run is for, with the state of the days
+    they were made from. A run brings up to date every week that has a day which is new, has changed
+    or has gone since, however long ago it lies, and reads no other week; `rebuild` reads all events.
+    Only the report is cut at the day.
     """
-    store.create("events", "user_weeks", "cohort_retention")
+    store.create("events", "user_weeks", "cohort_days", "cohort_retention")
     roles = store.settings.roles
     events = store.read("events")
     target = F.lit(day).cast("date")
-    if rebuild or store.read("user_weeks").isEmpty():
-        store.overwrite(cohort.user_weeks(events, roles, day), "user_weeks")
+    # one row per day; taken before the events are read, so that rows that come meanwhile count as new
+    days = store.spark.createDataFrame(_days_of(events).collect(), "event_date DATE, n LONG, changed TIMESTAMP")
+    known = store.read("cohort_days")
+    if rebuild or known.isEmpty():
+        store.overwrite(cohort.user_weeks(events, roles), "user_weeks")
     else:
-        monday = date.fromisoformat(day) - timedelta(days=date.fromisoformat(day).weekday())
-        for week in (monday - timedelta(days=7), monday):
-            in_week = F.col("event_date").between(F.lit(week), F.lit(week + timedelta(days=6)))
-            seen = cohort.user_weeks(events.filter(in_week), roles, day)
-            store.overwrite_partition(seen, "user_weeks", "activity_week", week.isoformat())
-    known = store.read("user_weeks").filter(F.col("activity_week") <= target)
+        either = days.alias("a").join(known.alias("b"), "event_date", "full")
+        same = F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.changed").eqNullSafe(F.col("b.changed"))
+        week = F.date_trunc("week", "event_date").cast("date").alias("week")
+        for row in either.filter(~same).select(week).distinct().orderBy("week").collect():
+            in_week = F.col("event_date").between(F.lit(row["week"]), F.lit(row["week"] + timedelta(days=6)))
+            seen = cohort.user_weeks(events.filter(in_week), roles)
+            store.overwrite_partition(seen, "user_weeks", "activity_week", row["week"].isoformat())
+    store.overwrite(days, "cohort_days")
+    active = store.read("user_weeks").filter(F.col("first_day") <= target)
     store.overwrite(
-        cohort.retention(known).withColumn("calculation_date", target), "cohort_retention"
+        cohort.retention(active).withColumn("calculation_date", target), "cohort_retention"
     )
     return store.read("cohort_retention")
 
@@ -103,10 +118,11 @@ def run_daily(
     with_cohorts: bool = False,
     gate: Callable[[DataFrame], None] = quality.quality_gate,
 ) -> None:
-    """Checks, then reports; a failed check stops the run before any report is written."""
+    """Checks, then reports side by side; a failed check stops the run before any report is written."""
     store = TableStore(spark, settings)
     gate(run_quality(store, day))
-    run_aggregation(store, day)
-    run_reviews(store, day)
-    if with_cohorts:
-        run_cohorts(store, day)
+    jobs = [run_aggregation, run_reviews, *([run_cohorts] if with_cohorts else [])]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        runs = [pool.submit(job, store, day) for job in jobs]
+    for run in runs:
+        run.result()

@@ -342,14 +342,12 @@ split AS (
   SELECT query, string_split(regexp_replace(trim(lower(query)), '\\s+', ' ', 'g'), ' ') AS words
   FROM (SELECT DISTINCT query FROM asked)),
 word AS (SELECT query, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM split),
-scored AS (
-  SELECT w, term, levenshtein(w, term) AS edits,
-    length(w) = length(term)
-      AND list_sort(string_split(w, '')) = list_sort(string_split(term, '')) AS same_letters
-  FROM (SELECT DISTINCT w FROM word), (SELECT unnest([{VOCAB}]) AS term)),
-nearest AS (
-  SELECT w, substring(min(CAST(edits AS VARCHAR) || term), 2) AS term
-  FROM scored WHERE edits <= 1 OR (edits = 2 AND same_letters) GROUP BY w),
+term AS (SELECT t, unnest(generate_series(1, length(t))) AS i FROM (SELECT unnest([{VOCAB}]) AS t)),
+spelling AS (
+  SELECT left(t, i - 1) || substring(t, i + 1) AS w, t FROM term
+  UNION ALL SELECT left(t, i) || substring(t, i), t FROM term
+  UNION ALL SELECT left(t, i - 1) || substring(t, i + 1, 1) || substring(t, i, 1) || substring(t, i + 2), t FROM term),
+nearest AS (SELECT w, min(t) AS term FROM spelling GROUP BY w),
 fixed AS (
   SELECT query, string_agg(
     CASE WHEN length(word.w) >= 3 AND word.w NOT IN ({VOCAB}) THEN coalesce(term, word.w) ELSE word.w END,
@@ -431,8 +429,8 @@ SQL = {
     "hourly_moving_average": f"""WITH {ENR},
       h AS (SELECT category, date_trunc('hour', event_timestamp) AS hour_start, count(*) AS events
         FROM enr GROUP BY ALL)
-      SELECT *, avg(events) OVER (PARTITION BY category ORDER BY hour_start
-        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_avg FROM h""",
+      SELECT *, CAST(sum(events) OVER (PARTITION BY category ORDER BY hour_start
+        RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW) AS BIGINT) / 3 AS moving_avg FROM h""",
     "event_product_join": f"""WITH {ENR}
       SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM enr""",
     "event_product_join_salted": f"""WITH {ENR}
@@ -459,6 +457,7 @@ SQL = {
     "cohort_first_visits": f"WITH {EVENT_COHORT} SELECT * FROM first",
     "cohort_sizes": f"WITH {EVENT_COHORT} SELECT * FROM sizes",
     "cohort_activity": f"WITH {EVENT_COHORT} SELECT * FROM joined",
+    "cohort_incremental": f"WITH {EVENT_COHORT} SELECT * FROM retention",
     "cohort_retention": f"WITH {EVENT_COHORT} SELECT * FROM retention",
     "retention_matrix": f"WITH {EVENT_COHORT} SELECT cohort_week, " + ", ".join(
         f"max(retention_rate) FILTER (period_week = {p}) AS week_{p}" for p in range(5)
@@ -564,6 +563,10 @@ SQL = {
     "layout_product_lookup": _layout("product_id = '42'"),
     "layout_product_time_range": _layout(f"product_id = '42' AND {IN_SPAN}"),
     "layout_aggregation": _layout(by="category,"),
+    "layout_rows_met": f"""WITH {LINES}
+      SELECT table_name, query_name, n, meets FROM layouts, (
+        SELECT 'time_range' AS query_name, count(*) AS n, count(*) FILTER ({IN_MARCH}) AS meets FROM li
+        UNION ALL SELECT 'product_lookup', count(*), count(*) FILTER (product_id = '42') FROM li)""",
     "stream_ingest_events": f"WITH {INGESTED_EVENTS} SELECT * FROM ingested",
     "stream_ingest_sessions": f"WITH {SESS} {SESSIONS}",
     "stream_ingest_session_events": f"WITH {SESS} {SESSION_EVENTS}",

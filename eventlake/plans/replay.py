@@ -36,5 +36,7 @@ def replay_batches(
 ) -> DataFrame:
     """The same through foreachBatch; the sink is made for the path it writes to."""
     run = scratch_path(df.sparkSession, label)
+    # batches without rows write nothing, and all of them may be so
+    df.sparkSession.createDataFrame([], schema).write.parquet(f"{run}/rows/batch_id=-1")
     finish(sinks.for_each_batch(df, sink(run), f"{run}/checkpoint", trigger="once"))
     return df.sparkSession.read.schema(schema).parquet(f"{run}/rows").drop("batch_id")

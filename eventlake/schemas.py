@@ -59,6 +59,36 @@ SESSION = """
         converted: BOOLEAN, bounce: BOOLEAN>
 """
 
+_SUMMARY = """STRUCT<
+    total_events: INT, unique_products_viewed: INT, searches_count: INT,
+    views_count: INT, add_cart_count: INT, purchase_count: INT,
+    converted: BOOLEAN, bounce: BOOLEAN>"""
+
+# The parts of a session message that its row, its event rows and its recomputed summary read.
+SESSION_ROW = f"""
+    session_id STRING, user_id STRING, started_at STRING, ended_at STRING,
+    duration_seconds INT, event_count INT,
+    device STRUCT<type: STRING, os: STRING, model: STRING>,
+    context STRUCT<
+        referrer: STRING, utm: STRUCT<source: STRING, medium: STRING>,
+        is_first_visit: BOOLEAN, location: STRUCT<region: STRING, city: STRING>>,
+    summary {_SUMMARY}
+"""
+SESSION_EVENTS = """
+    session_id STRING, user_id STRING,
+    events ARRAY<STRUCT<
+        event_index: INT, event_type: STRING, timestamp: STRING, page: STRING,
+        duration_on_page: INT,
+        product: STRUCT<product_id: STRING, category: STRING, price: INT>,
+        search: STRUCT<query: STRING, result_count: INT>,
+        transaction: STRUCT<transaction_id: STRING, total_amount: INT>>>
+"""
+SESSION_KINDS = f"""
+    session_id STRING,
+    events ARRAY<STRUCT<event_type: STRING, product: STRUCT<product_id: STRING>>>,
+    summary {_SUMMARY}
+"""
+
 SEARCH = """
     search_id STRING, user_id STRING, query STRING, query_length INT,
     pattern_type STRING, timestamp STRING, result_count INT, clicked BOOLEAN,
@@ -137,8 +167,26 @@ TABLES = {
     "anomaly_alerts": Table(
         """window_start TIMESTAMP, window_end TIMESTAMP, event_count LONG,
         avg_count DOUBLE, stddev_count DOUBLE, z_score DOUBLE, anomaly_type STRING,
-        severity STRING, detection_time TIMESTAMP, batch_id LONG""",
-        ("batch_id",),
+        severity STRING, detection_time TIMESTAMP, query_id STRING, batch_id LONG,
+        detection_date DATE""",
+        ("detection_date",),
+    ),
+    "rolling_alerts": Table(
+        """window_start TIMESTAMP, window_end TIMESTAMP, event_count LONG,
+        avg_count DOUBLE, stddev_count DOUBLE, z_score DOUBLE, anomaly_type STRING,
+        severity STRING, detection_time TIMESTAMP, query_id STRING, batch_id LONG,
+        detection_date DATE""",
+        ("detection_date",),
+    ),
+    "top_products": Table(
+        """window_start TIMESTAMP, window_end TIMESTAMP, product_id STRING,
+        event_count LONG, rank INT, query_id STRING, batch_id LONG, window_date DATE""",
+        ("window_date",),
+    ),
+    "type_counts_5min": Table(
+        """window_start TIMESTAMP, window_end TIMESTAMP, event_type STRING,
+        event_count LONG, window_date DATE""",
+        ("window_date",),
     ),
     "daily_summary": Table(
         """report_date DATE, total_events LONG, unique_users LONG, total_revenue LONG,
@@ -200,6 +248,7 @@ TABLES = {
         "user_id STRING, first_day DATE, activity_week DATE",
         ("activity_week",),
     ),
+    "cohort_days": Table("event_date DATE, n LONG, changed TIMESTAMP"),
     "benchmark_results": Table(
         """run_timestamp TIMESTAMP, query_name STRING, table_name STRING,
         execution_time_seconds DOUBLE, load_time_seconds DOUBLE""",
@@ -225,7 +274,9 @@ def create_tables(spark: SparkSession, settings: Settings, names: list[str] | No
             continue
         table = TABLES[name]
         layout = f"PARTITIONED BY ({', '.join(table.partitions)})" if table.partitions else ""
-        path = f"{settings.lake_path}/{name}" if settings.lake_path else None
+        # only Parquet folders are found again by their paths; other formats keep a catalog of their own
+        in_folder = settings.lake_path and settings.provider == "parquet"
+        path = f"{settings.lake_path}/{name}" if in_folder else None
         if path and table.partitions:
             nothing = spark.createDataFrame([], table.columns)
             nothing.write.mode("append").partitionBy(*table.partitions).parquet(path)

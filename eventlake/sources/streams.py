@@ -19,9 +19,13 @@ class Source:
 
 
 def kafka_source(
-    servers: str, topic: str, starting: str = "latest", fail_on_data_loss: bool = False
+    servers: str, topic: str, starting: str = "latest", fail_on_data_loss: bool = False,
+    most_offsets: int | None = None, least_partitions: int | None = None,
 ) -> Source:
+    """A topic. `most_offsets` bounds a micro-batch, so that a start from earliest is not one batch."""
+    rates = {"maxOffsetsPerTrigger": most_offsets, "minPartitions": least_partitions}
     return Source("kafka", {
+        **{k: str(v) for k, v in rates.items() if v is not None},
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
@@ -44,7 +48,8 @@ def read_stream(spark: SparkSession, source: Source) -> DataFrame:
 
 def read_batch(spark: SparkSession, source: Source) -> DataFrame:
     """The same messages as a bounded table, for backfills."""
-    options = {k: v for k, v in source.options.items() if k != "maxFilesPerTrigger"}
+    rates = ("maxFilesPerTrigger", "maxOffsetsPerTrigger")
+    options = {k: v for k, v in source.options.items() if k not in rates}
     if options.get("startingOffsets") == "latest":
         options["startingOffsets"] = "earliest"
     reader = spark.read.format(source.format).options(**options)

@@ -6,10 +6,10 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from eventlake import schemas
-from eventlake.config import TOPICS, Settings, checkpoint_path, shared_dir
+from eventlake.config import TOPICS, Settings, checkpoint_path
 from eventlake.operators import anomalies, messages, windows
 from eventlake.sources.streams import Source, kafka_source, read_stream
 from eventlake.sources.tables import TableStore
@@ -38,11 +38,11 @@ def parsed_reviews(raw: DataFrame) -> DataFrame:
 
 
 def parsed_sessions(raw: DataFrame) -> DataFrame:
-    return messages.flatten_sessions(messages.parse_json(raw, schemas.SESSION, "session_id"))
+    return messages.flatten_sessions(messages.parse_json(raw, schemas.SESSION_ROW, "session_id"))
 
 
 def parsed_session_events(raw: DataFrame) -> DataFrame:
-    return messages.explode_session_events(messages.parse_json(raw, schemas.SESSION, "session_id"))
+    return messages.explode_session_events(messages.parse_json(raw, schemas.SESSION_EVENTS, "session_id"))
 
 
 def parsed_searches(raw: DataFrame) -> DataFrame:
@@ -69,9 +69,15 @@ def _category_metrics(events: DataFrame, settings: Settings) -> DataFrame:
     return windows.with_audit(found)
 
 
+def _type_counts(events: DataFrame, settings: Settings) -> DataFrame:
+    counts = windows.window_type_counts(events, "5 minutes", METRICS_WATERMARK)
+    return counts.withColumn("window_date", F.to_date("window_start"))
+
+
 METRICS = {
     "metrics": (_metrics, "metrics_5min"),
     "category-metrics": (_category_metrics, "metrics_category_5min"),
+    "type-counts": (_type_counts, "type_counts_5min"),
 }
 ALERT_JOB = "alerts"
 ROLLING_ALERT_JOB = "rolling-alerts"
@@ -90,11 +96,14 @@ def start(
 ) -> StreamingQuery:
     """Start one job; without a source it reads its Kafka topic.
 
-    The rolling alerts and the top products have no table of their own: they
-    write below their checkpoint folder.
+    Checkpoints must outlast the session, so their folder is named by the
+    settings or by the session, never made up here.
     """
     store = TableStore(spark, settings)
-    base = settings.checkpoint_base or f"{shared_dir(spark)}/checkpoints"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = settings.checkpoint_base or (f"{shared.rstrip('/')}/checkpoints" if shared else None)
+    if base is None:
+        raise RuntimeError("set CHECKPOINT_BASE or spark.checkpoint.dir: a restart reads the checkpoint again")
     checkpoint = checkpoint_path(base, job)
     topic = INGESTS[job][0] if job in INGESTS else "events"
     raw = read_stream(spark, source or kafka_source(settings.kafka_servers, TOPICS[topic]))
@@ -111,20 +120,26 @@ def start(
         store.create("anomaly_alerts")
         counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
         alerts = anomalies.threshold_alerts(counts, settings.thresholds)
-        sink = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts"), *extra_sinks)
+        key = sinks.checkpoint_key(checkpoint)
+        sink = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts", key, "detection_time"), *extra_sinks)
         return sinks.for_each_batch(alerts, sink, checkpoint, trigger)
     if job == ROLLING_ALERT_JOB:
         counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
-        sink = rolling_alert_sink(f"{checkpoint}/history", f"{checkpoint}/rows", ROLLING_LOOKBACK_SECONDS)
+        store.create("rolling_alerts")
+        key = sinks.checkpoint_key(f"{checkpoint}/query")
+        out = sinks.table_sink(store, "rolling_alerts", key, "detection_time")
+        sink = rolling_alert_sink(f"{checkpoint}/history", out, ROLLING_LOOKBACK_SECONDS)
         return sinks.for_each_batch(counts, sink, f"{checkpoint}/query", trigger)
     if job == TOP_PRODUCT_JOB:
         counts = windows.window_product_counts(metric_events(raw), "5 minutes", METRICS_WATERMARK)
-        sink = top_product_sink(f"{checkpoint}/rows")
+        store.create("top_products")
+        key = sinks.checkpoint_key(f"{checkpoint}/query")
+        sink = top_product_sink(sinks.table_sink(store, "top_products", key, "window_start"))
         return sinks.for_each_batch(counts, sink, f"{checkpoint}/query", trigger)
     raise ValueError(f"unknown job {job!r}; one of {', '.join(JOBS)}")
 
 
-def rolling_alert_sink(history_path: str, alert_path: str, lookback_seconds: int, **limits) -> BatchSink:
+def rolling_alert_sink(history_path: str, out: BatchSink, lookback_seconds: int, **limits) -> BatchSink:
     """Judge each micro-batch of closed windows against the counts kept from before it.
 
     Windows close in time order, so all that a window is compared with was
@@ -157,24 +172,40 @@ def rolling_alert_sink(history_path: str, alert_path: str, lookback_seconds: int
             recent.select("window_start", "window_end", "event_count"), lookback_seconds, **limits
         )
         fresh = alerts.filter(F.col("window_start") >= F.timestamp_seconds(F.lit(span["first"])))
-        fresh.write.mode("overwrite").parquet(f"{alert_path}/batch_id={batch_id}")
+        out(fresh, batch_id)
 
     return sinks.multi_sink(judge)
 
 
-def top_product_sink(path: str, k: int = 10) -> BatchSink:
+def top_product_sink(out: BatchSink, k: int = 10) -> BatchSink:
     """Rank the closed windows of a micro-batch; a window is never split over batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        windows.top_products(batch, k).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        out(windows.top_products(batch, k), batch_id)
 
     return write
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark and were left out of the aggregates."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that came after the watermark and were left out of the aggregates, per query.
+
+    A query itself remembers its last hundred micro-batches only; added to `spark.streams` before the
+    query starts, this keeps the whole count.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.counts[key] = self.counts.get(key, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import day, rows_of
 from eventlake.config import Settings, checkpoint_path, scratch_path, shared_dir
-from eventlake.operators import cohort, layout, quality
+from eventlake.operators import cohort, layout, quality, serving
 from eventlake.plans import daily
 from eventlake.sources.tables import TableStore
 
@@ -96,6 +96,45 @@ def test_cohorts_by_week_equal_a_rebuild(filled):
     assert (rate["retention_rate"], rate["calculation_date"]) == (0.5, day("2024-01-09"))
 
 
+def test_cohorts_after_a_gap_a_late_day_and_a_backdated_rerun(store, make_events, spark):
+    store.create("events")
+    columns = ("cohort_week", "period_week", "cohort_size", "retained_users")
+
+    def add(*rows):
+        events = make_events([(str(i), "view", user, "p", f"{when}T10:00:00", None) for i, (user, when) in enumerate(rows)])
+        missing = [c for c in store.columns("events") if c not in events.columns]
+        store.append(events.withColumns({c: F.lit(None) for c in missing}), "events")
+
+    def direct(as_of):
+        return rows_of(cohort.cohort_retention(store.read("events"), as_of=as_of), *columns)
+
+    add(("a", "2024-01-02"), ("b", "2024-01-03"))
+    assert rows_of(daily.run_cohorts(store, "2024-01-03"), *columns) == direct("2024-01-03")
+    add(("a", "2024-01-09"), ("c", "2024-01-10"), ("c", "2024-01-24"), ("b", "2024-01-25"))
+    assert rows_of(daily.run_cohorts(store, "2024-01-24"), *columns) == direct("2024-01-24")
+    add(("c", "2024-01-04"))  # weeks late
+    assert rows_of(daily.run_cohorts(store, "2024-01-03"), *columns) == direct("2024-01-03")
+    assert rows_of(daily.run_cohorts(store, "2024-01-25"), *columns) == direct("2024-01-25")
+    store.overwrite_day(spark.createDataFrame([], store.read("events").schema), "events", "event_date", "2024-01-10")
+    assert rows_of(daily.run_cohorts(store, "2024-01-25"), *columns) == direct("2024-01-25")
+
+
+def test_matrix_keeps_all_periods(spark):
+    rows = spark.createDataFrame([(day("2024-01-01"), 0, 1.0), (day("2024-01-01"), 7, 0.5)], "cohort_week DATE, period_week INT, retention_rate DOUBLE")
+    wide = cohort.retention_matrix(rows).first()
+    assert (wide["week_0"], wide["week_3"], wide["week_7"]) == (1.0, None, 0.5)
+    with pytest.raises(ValueError, match="period 7"):
+        cohort.retention_matrix(rows, range(5))
+
+
+def test_recent_events_read_their_days_only(filled):
+    until = F.lit(f"{DAY} 12:00:00").cast("timestamp")
+    recent = serving.recent_events(filled.read("events"), 60, until)
+    assert sorted(r["event_id"] for r in recent.collect()) == ["4"]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and plan.count("FileScan") == 1
+
+
 def test_whole_table_overwrite_drops_old_partitions(filled, spark):
     daily.run_cohorts(filled, "2024-01-09")
     filled.overwrite(filled.spark.createDataFrame(

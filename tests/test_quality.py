@@ -81,3 +81,9 @@ def test_gate(make_events):
     quality.quality_gate(quality.quality_checks(make_events(day_of(10)), "2024-01-02"))
     with pytest.raises(quality.QualityGateError, match="has_data"):
         quality.quality_gate(quality.quality_checks(make_events(day_of(10)), "2024-02-02"))
+
+
+def test_gate_counts_every_failure(spark):
+    rows = spark.range(25).selectExpr("'events' AS table_name", "concat('check', id) AS check_name", "'FAIL' AS status", "'x' AS details")
+    with pytest.raises(quality.QualityGateError, match="25 checks failed.*and 5 more"):
+        quality.quality_gate(rows)

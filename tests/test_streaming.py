@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 import os
 import uuid
 
@@ -90,11 +91,19 @@ def test_window_is_emitted_once_and_late_rows_are_counted(spark, feed, lake):
     feed.add(message(3, "10:07:00"))
     feed.add(message(6, "10:07:30"))
     feed.add(message(4, "10:01:00"), message(5, "10:08:00"))
-    query = run(spark, "metrics", lake, feed)
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = run(spark, "metrics", lake, feed)
+        deadline = time.monotonic() + 20
+        while not late.counts.get(str(query.id)) and time.monotonic() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
     found = TableStore(spark, lake).read("metrics_5min")
     picked = rows_of(found, "total_events", "unique_users", "total_revenue", "avg_order_value")
     assert picked == [(2, 2, 40, 40.0)]
-    assert jobs.late_rows(query) == 1
+    assert late.counts[str(query.id)] == 1
 
 
 def test_category_metrics(spark, feed, lake):
@@ -121,9 +130,9 @@ def test_alerts_reach_all_sinks_and_a_failing_one_is_passed_over(spark, feed, la
     assert "secondary sink failed" in caplog.text
 
 
-def test_replayed_batch_replaces_itself(spark, store):
+def test_replayed_batch_is_kept_once_and_a_new_checkpoint_keeps_old_alerts(spark, store):
     store.create("anomaly_alerts")
-    sink = sinks.table_sink(store, "anomaly_alerts")
+    sink = sinks.table_sink(store, "anomaly_alerts", lambda _: "first", "detection_time")
     counts = spark.createDataFrame(
         [(1, 5), (2, 900)], "n INT, event_count LONG"
     ).withColumns({"window_start": F.current_timestamp(), "window_end": F.current_timestamp()})
@@ -131,6 +140,23 @@ def test_replayed_batch_replaces_itself(spark, store):
     for batch_id in (0, 1, 1, 0):
         sink(alerts, batch_id)
     assert rows_of(store.read("anomaly_alerts").groupBy("batch_id").count()) == [(0, 2), (1, 2)]
+    other = sinks.table_sink(store, "anomaly_alerts", lambda _: "second", "detection_time")
+    other(alerts.limit(0), 0)
+    other(alerts, 0)
+    kept = store.read("anomaly_alerts").groupBy("query_id", "batch_id").count()
+    assert rows_of(kept) == [("first", 0, 2), ("first", 1, 2), ("second", 0, 2)]
+    days = [p.partition for p in spark.sql(f"SHOW PARTITIONS {store.full_name('anomaly_alerts')}").collect()]
+    assert all(d.startswith("detection_date=") and "/" not in d for d in days)
+
+
+def test_failed_secondary_writes_are_counted(spark):
+    def failing(batch, batch_id):
+        raise RuntimeError("database is down")
+
+    sink = sinks.multi_sink(lambda b, i: None, failing, lambda b, i: None)
+    sink(spark.range(1), 0)
+    sink(spark.range(1), 1)
+    assert sink.failures == {0: 2}
 
 
 def hour_counts(spark, feed):
@@ -150,7 +176,7 @@ def test_rolling_alerts_over_many_batches_equal_one_batch(spark, feed, tmp_path)
     feed.add(message(10_000, "11:00:00"))
     limits = {"lookback_seconds": 600, "min_history": 5, "sigmas": 2.0}
     out = str(tmp_path / "alerts")
-    sink = jobs.rolling_alert_sink(str(tmp_path / "history"), out, **limits)
+    sink = jobs.rolling_alert_sink(str(tmp_path / "history"), sinks.path_sink(out), **limits)
 
     def twice(batch, batch_id):
         """Every batch is delivered again, as after a failure."""
@@ -173,7 +199,7 @@ def test_top_products_in_batches(spark, feed, tmp_path):
     feed.add(*[message(i, f"10:00:{i:02}") for i in (0, 3, 6, 1, 4, 2)], message(99, "10:30:00"))
     counts = windows.window_product_counts(jobs.metric_events(read_stream(spark, feed.source())), "5 minutes", "1 minute")
     out = str(tmp_path / "top")
-    sinks.for_each_batch(counts, jobs.top_product_sink(out, 2), str(tmp_path / "cp"), "once").awaitTermination()
+    sinks.for_each_batch(counts, jobs.top_product_sink(sinks.path_sink(out), 2), str(tmp_path / "cp"), "once").awaitTermination()
     assert rows_of(spark.read.parquet(out), "rank", "product_id", "event_count") == [(1, "p0", 3), (2, "p1", 2)]
 
 
@@ -191,10 +217,13 @@ def test_rolling_and_top_product_jobs(spark, feed, lake):
     feed.add(*[message(100 + i, f"10:21:{i:02}") for i in range(40)], message(999, "11:00:00"))
     run(spark, "rolling-alerts", lake, feed)
     run(spark, "top-products", lake, feed)
-    alerts = spark.read.parquet(f"{lake.checkpoint_base}/rolling-alerts/rows")
+    run(spark, "type-counts", lake, feed)
+    store = TableStore(spark, lake)
+    alerts = store.read("rolling_alerts")
     assert rows_of(alerts, "event_count", "anomaly_type") == [(40, "High Traffic Spike")]
-    top = spark.read.parquet(f"{lake.checkpoint_base}/top-products/rows")
+    top = store.read("top_products")
     assert top.filter("rank = 1").count() == 5
+    assert store.read("type_counts_5min").agg(F.sum("event_count")).first()[0] == 100
 
 
 def test_files_per_partition_are_bounded(spark, feed, lake):

@@ -67,7 +67,11 @@ def test_query_pattern_first_match_wins(spark):
 
 
 def test_query_repair(spark):
-    queries = [" 아디다다스  운동화 ", "뉴발스란 가방", "스니커 추천", "노트북", "widget", None]
+    queries = [
+        " 아디다다스  운동화 ", "뉴발스란 가방", "스니커 추천", "노트북", "widget", None,
+        "가방끈 애플펜 삼성폰 자라홈 나이키즈", "자라라",
+    ]
     assert values(spark, queries, search.repair_query(F.col("t"))) == [
         "아디다스 운동화", "뉴발란스 가방", "스니커즈 추천", "노트북", "widget", None,
+        "가방끈 애플펜 삼성폰 자라홈 나이키즈", "자라",
     ]
