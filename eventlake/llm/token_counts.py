@@ -26,12 +26,13 @@ from eventlake.llm.pieces import Pieces, load
 class PrefixCounter:
     """Counts of tokens at every prefix of chunks, kept per worker."""
 
-    def __init__(self, pieces: Pieces, pairs: int = 2_000_000):
+    def __init__(self, pieces: Pieces, pairs: int = 1_000_000):
         self.pieces, self.pairs = pieces, pairs
         self.rank = {p: int(pieces.rank[i]) for p, i in pieces.ids.items()}
+        self.piece = {r: p for p, r in self.rank.items()}
         self.longest = max(map(len, self.rank))
-        self.whole = {}  # piece -> merges make this very piece of its characters
-        self.beside: dict[tuple[str, str], bool] = {}
+        self.whole: dict[int, bool] = {}  # by rank: merges make this very piece of its characters
+        self.beside: dict[int, bool] = {}  # by two ranks: the pieces stay apart as neighbours
         self.pool = WordPool(self._learn, np.uint32)
 
     def merged(self, text: str) -> list[str]:
@@ -46,38 +47,43 @@ class PrefixCounter:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _is_token(self, piece: str) -> bool:
-        found = self.whole.get(piece)
-        if found is None:
-            found = self.whole[piece] = self.merged(piece) == [piece]
+    def _is_token(self, piece: int) -> bool:
+        text = self.piece[piece]
+        found = self.whole[piece] = self.merged(text) == [text]
         return found
 
-    def _stand(self, a: str, b: str) -> bool:
-        found = self.beside.get((a, b))
-        if found is None:
-            if len(self.beside) >= self.pairs:
-                self.beside.clear()
-            found = self.beside[a, b] = self.merged(a + b) == [a, b]
+    def _stand(self, a: int, b: int) -> bool:
+        if len(self.beside) >= self.pairs:
+            self.beside.clear()
+        texts = [self.piece[a], self.piece[b]]
+        found = self.beside[a << 32 | b] = self.merged("".join(texts)) == texts
         return found
 
     def prefix_counts(self, chunk: str) -> list[int]:
         """Tokens of the first 1, 2, ... characters of the chunk."""
         rank, beside, whole = self.rank, self.beside, self.whole
-        last: list[str | None] = [None]  # None: nothing before, or a character that never merges
+        last = [-1]  # -1: nothing before, or a character that never merges
         counts = [0]
         run = 0  # where the present run of known characters began
         for end in range(1, len(chunk) + 1):
             if chunk[end - 1] not in rank:
                 counts.append(counts[-1] + len(chunk[end - 1].encode()))
-                last.append(None)
+                last.append(-1)
                 run = end
                 continue
             for start in range(max(run, end - self.longest), end):
-                token = chunk[start:end]
-                if token in rank and (whole.get(token) or self._is_token(token)):
-                    before = last[start]
-                    if before is None or beside.get((before, token)) or self._stand(before, token):
-                        break
+                token = rank.get(chunk[start:end])
+                if token is None:
+                    continue
+                real = whole.get(token)
+                if not (self._is_token(token) if real is None else real):
+                    continue
+                before = last[start]
+                if before < 0:
+                    break
+                stand = beside.get(before << 32 | token)
+                if self._stand(before, token) if stand is None else stand:
+                    break
             else:
                 raise AssertionError(f"no token ends at {end} of {chunk!r}")
             last.append(token)
