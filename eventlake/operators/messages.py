@@ -23,6 +23,23 @@ def parse_json(messages: DataFrame, schema: str, key: str) -> DataFrame:
     return messages.select(F.inline(F.array(typed))).filter(F.col(key).isNotNull())
 
 
+def rejected(messages: DataFrame, schema: str, key: str, time: str) -> DataFrame:
+    """Messages that give no row (`malformed`, `no key`) or one that no day's report reads (`no time`).
+
+    All columns of the messages stay, and the reason is added.
+    """
+    typed = F.from_json(
+        F.col("value").cast("string"), f"{schema}, _corrupt STRING", {"columnNameOfCorruptRecord": "_corrupt"}
+    )
+    read = messages.withColumn("_typed", typed)
+    reason = (
+        F.when(F.col(f"_typed.{key}").isNull() & F.col("_typed._corrupt").isNotNull(), "malformed")
+        .when(F.col(f"_typed.{key}").isNull(), "no key")
+        .when(F.try_to_timestamp(f"_typed.{time}").isNull(), "no time")
+    )
+    return read.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_typed")
+
+
 def _time(name: str) -> Column:
     return F.try_to_timestamp(F.col(name))
 

@@ -29,21 +29,32 @@ class QualityGateError(RuntimeError):
     """Raised when a check of the day has failed."""
 
 
-def quality_profile(events: DataFrame, roles: EventRoles = EventRoles()) -> DataFrame:
+def quality_profile(
+    events: DataFrame, roles: EventRoles = EventRoles(), arrival: str | None = None
+) -> DataFrame:
     """All figures the checks need, one row per day.
 
+    With the column of the day on which a row arrived, a row without a time is reported under that
+    day, and a time is out of range if it lies on another day than its arrival.
+
     Event ids are counted in a branch of their own: it shuffles ids only, where
     a distinct count next to the other aggregates would send them all along with
     every id.
     """
     kind = F.col("event_type")
     bought = kind == roles.purchase
+    expected = F.col("event_date")
+    if arrival:
+        # a row that came before arrivals were kept has none
+        expected = F.coalesce(arrival, "event_date")
+        events = events.withColumn("_expected", expected).withColumn("event_date", F.coalesce("event_date", "_expected"))
+        expected = F.col("_expected")
     figures = events.groupBy("event_date").agg(
         F.count("*").alias("n"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in REQUIRED],
         F.min("price").alias("min_price"),
         F.count_if(~kind.isin(*roles.valid)).alias("invalid_types"),
-        F.count_if(F.to_date("event_timestamp") != F.col("event_date")).alias("out_of_range"),
+        F.count_if(F.to_date("event_timestamp") != expected).alias("out_of_range"),
         F.count_if(bought).alias("purchases"),
         F.count_if(bought & F.col("total_amount").isNull()).alias("purchases_without_amount"),
     )
@@ -137,17 +148,21 @@ def quality_checks(
     rules: Rules = Rules(),
     roles: EventRoles = EventRoles(),
     table_name: str = "events",
+    arrival: str | None = None,
 ) -> DataFrame:
     """Checks of one day, or of every calendar day from the first to the last.
 
     A check that does not apply (no purchases, no day before) has no row.
     """
     if day is None:
-        days = with_missing_days(quality_profile(events, roles), "event_date")
+        days = with_missing_days(quality_profile(events, roles, arrival), "event_date")
     else:
         target = F.lit(day).cast("date")
         before = F.date_sub(target, 1)
-        figures = quality_profile(events.filter(F.col("event_date").between(before, target)), roles)
+        read = F.col("event_date").between(before, target)
+        if arrival:
+            read = read | (F.col("event_date").isNull() & F.col(arrival).between(before, target))
+        figures = quality_profile(events.filter(read), roles, arrival)
         asked = events.sparkSession.range(1).select(F.explode(F.array(before, target)).alias("event_date"))
         days = asked.join(figures, "event_date", "left")
     counted = days.withColumn("n", F.coalesce("n", F.lit(0)))

@@ -19,7 +19,8 @@ def run_quality(store: TableStore, day: str) -> DataFrame:
     """Write the day's checks and return them as stored."""
     store.create("events", "data_quality")
     checks = quality.quality_checks(
-        store.read("events"), day, roles=store.settings.roles, table_name=store.full_name("events")
+        store.read("events"), day, roles=store.settings.roles, table_name=store.full_name("events"),
+        arrival="arrival_date",
     )
     store.overwrite_day(checks.withColumn("checked_at", F.current_timestamp()), "data_quality", "check_date", day)
     return daily.on_day(store.read("data_quality"), "check_date", day)

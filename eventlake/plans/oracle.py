@@ -239,6 +239,22 @@ judged AS (
 checks AS ({_check_rows()})
 """
 
+# The faults that the samples carry: times lost, users lost, amounts lost, ids repeated, late arrivals.
+FAULTY = ENR.replace("enr AS (", "clean AS (") + """,
+enr AS (
+  SELECT * REPLACE (
+      CASE WHEN event_id % 73 = 0 THEN event_id - 1 ELSE event_id END AS event_id,
+      CASE WHEN event_id % 79 <> 0 THEN user_id END AS user_id,
+      CASE WHEN event_id % 83 <> 0 THEN event_timestamp END AS event_timestamp,
+      CASE WHEN event_id % 71 <> 0 THEN total_amount END AS total_amount,
+      event_date + CAST(event_id % 83 = 0 AND event_id % 67 = 0 AS INTEGER) AS event_date),
+    event_date + CAST(event_id % 67 = 0 AS INTEGER) AS arrival_date
+  FROM clean)
+"""
+FAULTY_CHECKS = CHECKS.replace(ENR, FAULTY).replace(
+    "CAST(event_timestamp AS DATE) <> event_date", "CAST(event_timestamp AS DATE) <> arrival_date"
+)
+
 SESS = """
 sess AS (
   SELECT o_orderkey AS k, 'sess_' || o_orderkey AS session_id, 'u_' || o_custkey AS user_id,
@@ -501,6 +517,11 @@ SQL = {
           AND b.keyword_type = 'negative'""",
     "quality_profile": f"WITH {PROFILE} SELECT * FROM profile",
     "quality_checks": f"WITH {CHECKS} SELECT * FROM checks",
+    "quality_checks_faulty": f"WITH {FAULTY_CHECKS} SELECT * FROM checks",
+    "ingest_rejected": """
+      SELECT CASE WHEN event_id % 97 = 0 THEN 'malformed' WHEN event_id % 89 = 0 THEN 'no key' ELSE 'no time' END
+        AS reason, count(*) AS n, min(event_id) AS first_event
+      FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 GROUP BY 1""",
     "quality_report": f"WITH {CHECKS}, c AS (SELECT check_date, count(*) AS total, " + ", ".join(
         f"count(*) FILTER (status = '{s}') AS {s.lower()}" for s in ("PASS", "WARN", "FAIL")
     ) + " FROM checks GROUP BY 1) SELECT *, " + ", ".join(

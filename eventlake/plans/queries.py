@@ -103,6 +103,14 @@ def ingest_events(spark, sf):
     return jobs.parsed_events(samples.event_messages(samples.table(spark, sf, "events")))
 
 
+@register
+def ingest_rejected(spark, sf):
+    """Messages that give no usable row, by reason."""
+    sent = samples.faulty_event_messages(samples.table(spark, sf, "events"))
+    found = messages.rejected(sent, schemas.EVENT, "event_id", "timestamp")
+    return found.groupBy("reason").agg(F.count("*").alias("n"), F.min("number").alias("first_event"))
+
+
 @register
 def ingest_sessions(spark, sf):
     return jobs.parsed_sessions(samples.session_messages(samples.table(spark, sf, "orders")))
@@ -349,6 +357,12 @@ def quality_checks(spark, sf):
     return _checked(spark, sf)
 
 
+@register
+def quality_checks_faulty(spark, sf):
+    """Rows that carry faults: every check finds something."""
+    return quality.quality_checks(samples.faulty_events(_enriched(spark, sf)), roles=samples.ROLES, arrival="arrival_date")
+
+
 @register
 def quality_report(spark, sf):
     return quality.quality_report(_checked(spark, sf))

@@ -116,9 +116,13 @@ TABLES = {
         event_timestamp TIMESTAMP, session_id STRING, device_type STRING,
         device_os STRING, device_app_version STRING, referrer STRING,
         campaign_id STRING, campaign_name STRING, quantity INT, total_amount INT,
-        payment_method STRING, event_date DATE, event_hour INT""",
+        payment_method STRING, event_date DATE, event_hour INT, arrival_date DATE""",
         ("event_date", "event_type"),
     ),
+    "rejected_messages": Table(
+        """value STRING, reason STRING, topic STRING, rejected_at TIMESTAMP, arrival_date DATE""",
+        ("arrival_date",),
+    ),
     "sessions": Table(
         """session_id STRING, user_id STRING, started_at TIMESTAMP, ended_at TIMESTAMP,
         duration_seconds INT, event_count INT, device_type STRING, device_os STRING,

@@ -76,8 +76,8 @@ def iso(when: Column) -> Column:
     return F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def event_messages(raw: DataFrame) -> DataFrame:
-    """One shopping event message per row; amounts in whole cents."""
+def event_messages(raw: DataFrame, *beside: str) -> DataFrame:
+    """One shopping event message per row; amounts in whole cents. `beside`: expressions to keep with it."""
     key = F.get_json_object("props", "$.k").cast("long")
     bought = F.col("event_type") == ROLES.purchase
     when = F.col("ts").cast("timestamp")
@@ -103,7 +103,36 @@ def event_messages(raw: DataFrame) -> DataFrame:
         F.when(bought, F.lit("card")).alias("payment_method"),
         F.struct(F.lit("not in the schema").alias("sdk_version")).alias("metadata"),
     )
-    return raw.select(F.to_json(body).alias("value"))
+    return raw.select(*map(F.expr, beside), F.to_json(body).alias("value"))
+
+
+def faulty_event_messages(raw: DataFrame) -> DataFrame:
+    """Event messages with faults that follow from the event's number: cut off, without key, without time."""
+    value = (
+        F.when(F.col("number") % 97 == 0, F.left("value", F.lit(25)))
+        .when(F.col("number") % 89 == 0, F.regexp_replace("value", '"event_id"', '"event"'))
+        .when(F.col("number") % 83 == 0, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .otherwise(F.col("value"))
+    )
+    return event_messages(raw, "event_id AS number").select("number", value.alias("value"))
+
+
+def faulty_events(enriched: DataFrame) -> DataFrame:
+    """Rows with lost times, users and amounts, repeated ids, and the day on which each arrived."""
+    number = F.col("event_id")
+
+    def without(column: str, divisor: int) -> Column:
+        return F.when(number % divisor != 0, F.col(column))
+
+    arrival = F.date_add("event_date", (number % 67 == 0).cast("int"))
+    return enriched.withColumns({
+        "arrival_date": arrival,
+        "event_timestamp": without("event_timestamp", 83),
+        "event_date": without("event_date", 83),
+        "user_id": without("user_id", 79),
+        "total_amount": without("total_amount", 71),
+        "event_id": F.when(number % 73 == 0, number - 1).otherwise(number),
+    })
 
 
 def session_messages(orders: DataFrame) -> DataFrame:

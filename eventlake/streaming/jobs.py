@@ -82,7 +82,8 @@ METRICS = {
 ALERT_JOB = "alerts"
 ROLLING_ALERT_JOB = "rolling-alerts"
 TOP_PRODUCT_JOB = "top-products"
-JOBS = (*INGESTS, *METRICS, ALERT_JOB, ROLLING_ALERT_JOB, TOP_PRODUCT_JOB)
+REJECTED_JOB = "rejected-events"
+JOBS = (*INGESTS, *METRICS, ALERT_JOB, ROLLING_ALERT_JOB, TOP_PRODUCT_JOB, REJECTED_JOB)
 
 
 def start(
@@ -110,7 +111,17 @@ def start(
     if job in INGESTS:
         _, transform, table = INGESTS[job]
         store.create(table)
-        return sinks.append_to_table(transform(raw), store, table, checkpoint, trigger, files)
+        rows = transform(raw)
+        if "arrival_date" in store.columns(table):
+            rows = rows.withColumn("arrival_date", F.current_date())
+        return sinks.append_to_table(rows, store, table, checkpoint, trigger, files)
+    if job == REJECTED_JOB:
+        store.create("rejected_messages")
+        found = messages.rejected(raw.select(F.col("value").cast("string")), schemas.EVENT, "event_id", "timestamp")
+        rows = found.withColumns({
+            "topic": F.lit(TOPICS[topic]), "rejected_at": F.current_timestamp(), "arrival_date": F.current_date(),
+        })
+        return sinks.append_to_table(rows, store, "rejected_messages", checkpoint, trigger, files)
     if job in METRICS:
         aggregate, table = METRICS[job]
         store.create(table)

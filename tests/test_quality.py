@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import day, rows_of
 from eventlake.operators import quality
@@ -53,8 +54,6 @@ def test_missing_days_are_reported(make_events):
 
 
 def test_values_and_texts(make_events, spark):
-    from pyspark.sql import functions as F
-
     rows = day_of(4) + [
         ("x", "teleport", "u", "p", "2024-01-02T10:00:00", None),
         ("y", "purchase", "u", "p", "2024-01-02T10:00:00", None),
@@ -87,3 +86,14 @@ def test_gate_counts_every_failure(spark):
     rows = spark.range(25).selectExpr("'events' AS table_name", "concat('check', id) AS check_name", "'FAIL' AS status", "'x' AS details")
     with pytest.raises(quality.QualityGateError, match="25 checks failed.*and 5 more"):
         quality.quality_gate(rows)
+
+
+def test_rows_without_time_and_late_rows_are_reported_by_arrival(make_events):
+    rows = day_of(8) + [("late", "view", "u", "p", "2024-01-01T10:00:00", None), ("never", "view", "u", "p", None, None)]
+    events = make_events(rows).withColumn("arrival_date", F.lit("2024-01-02").cast("date"))
+    checks = quality.quality_checks(events, "2024-01-02", arrival="arrival_date")
+    found = {r["check_name"]: (r["status"], r["actual_value"]) for r in checks.collect()}
+    assert found["has_data"] == ("PASS", "9")
+    assert found["event_timestamp_null_rate"] == ("FAIL", "11.11%")
+    day_before = quality.quality_checks(events, "2024-01-01", arrival="arrival_date")
+    assert {r["check_name"]: r["actual_value"] for r in day_before.collect()}["timestamp_in_range"] == "1"

@@ -237,6 +237,15 @@ def test_files_per_partition_are_bounded(spark, feed, lake):
     assert all(r["files"] <= 2 for r in per_type.collect())
 
 
+def test_rejected_messages_are_kept_with_their_reason(spark, feed, lake):
+    feed.add(message(1, "10:00:00"), "{broken", '{"event_type": "view"}', '{"event_id": "e", "timestamp": "soon"}')
+    run(spark, "rejected-events", lake, feed)
+    run(spark, "events", lake, feed)
+    store = TableStore(spark, lake)
+    assert [r[0] for r in rows_of(store.read("rejected_messages"), "reason")] == ["malformed", "no key", "no time"]
+    assert store.read("events").filter("arrival_date IS NULL").count() == 0
+
+
 def test_unknown_job(spark, feed, lake):
     with pytest.raises(ValueError, match="unknown job"):
         jobs.start(spark, "nothing", lake, feed.source(), "once")
