@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from eventlake.config import EventRoles
 from eventlake.functions.days import with_previous_day
 from eventlake.functions.numbers import amount_where, percent, ratio
+from eventlake.operators.joins import join_dimension
 
 PRODUCT_KEYS = ("product_id", "product_name", "category")
 
@@ -129,15 +130,20 @@ def volume_change(events: DataFrame) -> DataFrame:
     )
 
 
-def hourly_moving_average(events: DataFrame, hours: int = 3) -> DataFrame:
+def hourly_moving_average(events: DataFrame, products: DataFrame | None = None, hours: int = 3) -> DataFrame:
     """Events per category and hour of time, with the mean of the last hours, empty ones included.
 
-    Each hour's count is sent to the hours whose mean it is part of and added up there, so no task
+    With `products` the events have no category of their own: they are counted per product and hour
+    and joined after. Each hour's count is sent to the hours whose mean it is part of and added up there, so no task
     holds the hours of a category. Hours before the first count as empty.
     """
-    per_hour = events.groupBy("category", F.date_trunc("hour", "event_timestamp").alias("hour_start")).agg(
-        F.count("*").alias("events")
-    )
+    hour = F.date_trunc("hour", "event_timestamp").alias("hour_start")
+    if products is None:
+        per_hour = events.groupBy("category", hour).agg(F.count("*").alias("events"))
+    else:
+        counted = events.groupBy("product_id", hour).agg(F.count("*").alias("n"))
+        named = join_dimension(counted, products.select("product_id", "category"), "product_id", hot_rows=None)
+        per_hour = named.groupBy("category", "hour_start").agg(F.sum("n").alias("events"))
     sent = per_hour.withColumn("later", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))))
     own = F.col("later") == 0
     summed = sent.groupBy(

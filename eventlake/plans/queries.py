@@ -166,7 +166,7 @@ def volume_change(spark, sf):
 
 @register
 def hourly_moving_average(spark, sf):
-    return daily.hourly_moving_average(_enriched(spark, sf), hours=3)
+    return daily.hourly_moving_average(_events(spark, sf), _products(spark, sf), hours=3)
 
 
 @register
@@ -190,7 +190,7 @@ def metrics_5min(spark, sf):
 
 @register
 def metrics_category_5min(spark, sf):
-    return windows.window_category_metrics(_enriched(spark, sf), "5 minutes", samples.ROLES, exact=True)
+    return windows.window_category_metrics_of(_events(spark, sf), _products(spark, sf), "5 minutes", samples.ROLES)
 
 
 @register
@@ -443,7 +443,7 @@ def serving_events_by_type(spark, sf):
 
 @register
 def serving_revenue_by_category(spark, sf):
-    metrics = windows.window_category_metrics(_enriched(spark, sf), "5 minutes", samples.ROLES)
+    metrics = windows.window_category_metrics_of(_events(spark, sf), _products(spark, sf), "5 minutes", samples.ROLES)
     return serving.revenue_by_category(metrics)
 
 
