@@ -39,6 +39,16 @@ def fold_is(key: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(digest % modulus == remainder, F.lit(False))
 
 
+def drawn(df: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
+    """At most `wanted` of `total` rows with a key, those of lowest key hash.
+
+    Most rows are left out before the sort, so the tasks together send about as many as are wanted.
+    """
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
+    few = df.where(F.col(key).isNotNull() & (share <= min(1.0, 1.5 * wanted / max(total, 1))))
+    return few.orderBy(share, key).limit(wanted)
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import blocks, small_batches, written
+from eventlake.llm.common import blocks, drawn, small_batches, written
 from eventlake.llm.recurrent import Layout, Network, Scorer, Trainer, start
 
 END = b""
@@ -54,27 +54,27 @@ class Settings:
     rate: float = 0.05
     lanes: int = 256
     window: int = 64
-    held_words: int = 400_000
+    held_words: int = 250_000
     seed: int = 5
 
 
+class _Known(dict):
+    def __missing__(self, token: bytes) -> int:
+        return -1
+
+
 @dataclass
 class Model:
     settings: Settings
     network: Network
     tokens: int  # in training
     distinct: int
-    rows: dict[bytes, int]  # known tokens
+    rows: _Known  # known tokens
     symbols: np.ndarray  # per known token
     counts: np.ndarray
     tail_logs: np.ndarray  # per tail class: log10 of what divides count + 1
 
 
-class _Known(dict):
-    def __missing__(self, token: bytes) -> int:
-        return -1
-
-
 def tokens(text: str | None) -> Iterator[list[bytes]]:
     """Tokens of a text in blocks, the end included."""
     parts = [b.lower().split() for b in blocks((text or "").encode())]
@@ -99,7 +99,7 @@ def token_counts(documents: DataFrame, held_words: int) -> DataFrame:
             counted.clear()
             return made
 
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             for text in batch.column("text").to_pylist():
                 for part in tokens(text):
                     counted.update(part)
@@ -136,8 +136,9 @@ def fit(documents: DataFrame, learn: Column, settings: Settings = Settings()) ->
         if held > s.known:
             break
         least = row["octave"]
-    rows = counts.where(octave >= least).collect() if least is not None else []  # at most `known`
-    known = sorted(((r["token"].encode(), r["c"]) for r in rows), key=lambda t: (-t[1], t[0]))
+    # at most `known` rows
+    rows = counts.where(octave >= least if least is not None else F.lit(False)).toPandas()
+    known = sorted(zip((t.encode() for t in rows["token"]), rows["c"].tolist()), key=lambda t: (-t[1], t[0]))
     words, layout = _head_layout(known, s)
 
     symbol = {w: i for i, w in enumerate(words)}
@@ -160,10 +161,11 @@ def fit(documents: DataFrame, learn: Column, settings: Settings = Settings()) ->
     shares = np.concatenate([[of_known.get(w, 0) for w in words], tail_n])
     model = Model(
         s, start(layout, shares, s.hidden, s.seed), int(total["n"]), int(total["v"]),
-        {w: i for i, w in enumerate(names)}, symbols, known_counts, np.log10(tail_n + tail_v + 1),
+        _Known(zip(names, range(len(names)))), symbols, known_counts, np.log10(tail_n + tail_v + 1),
     )
     if model.tokens:
-        model.network = _warm(training, model)
+        ended = of_known.get(END, 0)
+        model.network = _warm(training, model, ended)
         model.network = _averaged(training, model)
     return model, counts
 
@@ -173,7 +175,7 @@ class _Reader:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = _Known(model.rows)
+        self.known = model.rows
         self.tails, self.words = model.settings.tails, model.network.layout.words
 
     def rows(self, part: list[bytes]) -> np.ndarray:
@@ -191,11 +193,11 @@ class _Reader:
         return np.concatenate([self.symbols(p, self.rows(p)) for p in tokens(text)])
 
 
-def _warm(training: DataFrame, model: Model) -> Network:
-    """One pass over a bounded sample of training documents, those of lowest key hash."""
+def _warm(training: DataFrame, model: Model, total: int) -> Network:
+    """One pass over a bounded sample of the `total` training documents."""
     s = model.settings
     sample = training.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= s.warm_bytes)
-    texts = [r["text"] for r in sample.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text").limit(s.warm_documents).collect()]
+    texts = [r["text"] for r in drawn(sample, "doc_id", s.warm_documents, total).collect()]
     reader, trainer = _Reader(model), Trainer(model.network.copy(), s.train_lanes, s.train_window, s.rate)
     order = np.random.default_rng(s.seed).permutation(len(texts))
     for at in range(0, len(order), 300):
@@ -262,7 +264,7 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, *keep: Column)
             return pa.RecordBatch.from_arrays(arrays, names=["row", *(f.name for f in kept), "n_tokens", "n_known", "all_logs", "score_logs", "rare"])
 
         types = None
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", 2 << 20):
             types = [batch.schema.field(f.name).type for f in kept]
             values = zip(*(batch.column(f.name).to_pylist() for f in kept))
             texts = []
