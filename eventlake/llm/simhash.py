@@ -7,7 +7,7 @@ ball around its own segment. Matches are verified on all 64 bits. A flipped bit
 the side that has a 0 there: the other side has the same key in its table.
 
 Copies meet only once, as one fingerprint. A segment key with more than `crowd` fingerprints is not
-matched pair by pair: its fingerprints are dealt into blocks, every two blocks are compared in one
+matched pair by pair: its fingerprints, and those that look it up, are dealt into blocks, every two blocks are compared in one
 task with numpy, and only links of a spanning forest leave it, which is all that groups need.
 
 Defined results: null and empty texts and texts without words have fingerprint 0, which is linked
@@ -89,8 +89,7 @@ def links(distinct: DataFrame, radius: int = 3, segments: int = 2, crowd: int =
     ball = radius // segments
     tables = F.array(*(F.struct(F.lit(i).alias("segment"), _key(*b).alias("key")) for i, b in enumerate(bounds)))
     rows = distinct.select("fp", F.inline(tables))
-    crowded = written(rows.groupBy("segment", "key").count().where(F.col("count") > crowd), "crowds")
-    hot = {(r["segment"], r["key"]) for r in crowded.limit(1).collect()}
+    crowded = written(rows.groupBy("segment", "key").count().where(F.col("count") > crowd).drop("count"), "crowds")
 
     def flips(i: int, shift: int, width: int):
         own = _key(shift, width)
@@ -98,31 +97,29 @@ def links(distinct: DataFrame, radius: int = 3, segments: int = 2, crowd: int =
         return F.transform(F.filter(F.array(*keys), lambda k: k.isNotNull()), lambda k: F.struct(F.lit(i).alias("segment"), k.alias("key"), (k == own).alias("own")))
 
     probes = distinct.select("fp", F.inline(F.concat(*(flips(i, *b) for i, b in enumerate(bounds)))))
-    found = probes.alias("p").join(rows.alias("t"), ["segment", "key"])
-    if hot:
-        # the crowd's own key is left to the blocks below
-        marks = crowded.select("segment", "key", F.lit(True).alias("crowd"))
-        probes = probes.join(marks, ["segment", "key"], "left").where("NOT own OR crowd IS NULL").drop("crowd")
-        found = probes.alias("p").join(rows.alias("t"), ["segment", "key"])
+    inside = None
+    if not crowded.isEmpty():
+        # all that looks up a crowded key is compared in blocks, which find every link to that key
+        marked = probes.join(crowded.withColumn("crowd", F.lit(True)), ["segment", "key"], "left")
+        inside = marked.where("crowd").select("segment", "key", "fp")
+        probes = marked.where("crowd IS NULL").drop("crowd")
     near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("t.fp"))) <= radius
+    found = probes.alias("p").join(rows.alias("t"), ["segment", "key"])
     pairs = found.where(near & (~F.col("own") | (F.col("p.fp") < F.col("t.fp")))).select(
         F.least("p.fp", "t.fp").alias("a"), F.greatest("p.fp", "t.fp").alias("b")
     )
-    if hot:
-        pairs = pairs.unionByName(_crowd_links(rows, crowded, radius, crowd))
+    if inside is not None:
+        pairs = pairs.unionByName(_crowd_links(inside, radius, 4 * crowd))
     return pairs.distinct()
 
 
-def _crowd_links(rows: DataFrame, crowded: DataFrame, radius: int, block: int) -> DataFrame:
-    """Spanning forests of every two blocks of each crowded key: blocks hold about 4 * block rows."""
-    size = 4 * block
-    dealt = rows.join(crowded, ["segment", "key"]).select(
-        "segment", "key", "fp", F.ceil(F.col("count") / size).cast("int").alias("blocks"),
-        F.pmod(F.xxhash64("fp"), F.ceil(F.col("count") / size)).cast("int").alias("own"),
-    )
+def _crowd_links(inside: DataFrame, radius: int, size: int) -> DataFrame:
+    """Spanning forests of every two blocks, of about `size` rows each, of the rows of each key."""
+    counts = inside.groupBy("segment", "key").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    dealt = inside.join(counts, ["segment", "key"]).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # block i meets every block j; the pair (i, j) is one task's group
     met = dealt.select("segment", "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "segment", "key", "fp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "segment", "key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
