@@ -605,6 +605,13 @@ SQL = {
     "stream_type_counts_5min": f"""WITH {EV}, c AS ({_counts('5 minutes', ', event_type')})
       SELECT * FROM c WHERE {STREAMED}""",
     "stream_threshold_alerts": f"WITH {EV}, {HOURS} {_threshold('hours', *HOURLY_LIMITS, where=CLOSED)}",
+    "stream_outage_alerts": f"""WITH {EV}, every AS ({_counts('5 minutes')}),
+      c AS (SELECT * FROM every WHERE true {CLOSED}),
+      cal AS (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL '5 minutes'))
+        AS window_start FROM c),
+      filled AS (SELECT cal.window_start, cal.window_start + INTERVAL '5 minutes' AS window_end,
+        coalesce(event_count, 0) AS event_count FROM cal LEFT JOIN c USING (window_start))
+      {_threshold('filled', 4, 1, 1.0, 1.0)}""",
     "stream_rolling_alerts": f"WITH {EV}, {ROLLING} {ROLLING_ALERTS} {CLOSED}",
     "stream_top_products_daily": f"""WITH {INGESTED_EVENTS},
       ev AS (SELECT * FROM ingested), c AS ({_counts('1 day', ', product_id')})

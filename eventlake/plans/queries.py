@@ -606,6 +606,17 @@ def stream_threshold_alerts(spark, sf):
     )
 
 
+@register
+def stream_outage_alerts(spark, sf):
+    """Closed windows, and the empty ones between them; the last open window is left out as in any append."""
+    counts = windows.window_counts(jobs.event_times(_event_messages(spark, sf)), "5 minutes", jobs.ALERT_WATERMARK)
+    limits = Thresholds(high=4, low=1, mean=1.0, stddev=1.0)
+    return replay_batches(
+        counts, "outage-alerts",
+        lambda run: jobs.threshold_alert_sink(f"{run}/state", sinks.path_sink(f"{run}/rows"), limits, 300), ALERT_SCHEMA,
+    )
+
+
 @register
 def stream_rolling_alerts(spark, sf):
     return replay_batches(

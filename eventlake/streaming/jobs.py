@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from eventlake import schemas
-from eventlake.config import TOPICS, Settings, checkpoint_path
+from eventlake.config import TOPICS, Settings, Thresholds, checkpoint_path
 from eventlake.operators import anomalies, messages, windows
 from eventlake.sources.streams import Source, kafka_source, read_stream
 from eventlake.sources.tables import TableStore
@@ -130,10 +130,10 @@ def start(
     if job == ALERT_JOB:
         store.create("anomaly_alerts")
         counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
-        alerts = anomalies.threshold_alerts(counts, settings.thresholds)
-        key = sinks.checkpoint_key(checkpoint)
-        sink = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts", key, "detection_time"), *extra_sinks)
-        return sinks.for_each_batch(alerts, sink, checkpoint, trigger)
+        key = sinks.checkpoint_key(f"{checkpoint}/query")
+        out = sinks.multi_sink(sinks.table_sink(store, "anomaly_alerts", key, "detection_time"), *extra_sinks)
+        sink = threshold_alert_sink(f"{checkpoint}/state", out, settings.thresholds, 60)
+        return sinks.for_each_batch(counts, sink, f"{checkpoint}/query", trigger)
     if job == ROLLING_ALERT_JOB:
         counts = windows.window_counts(event_times(raw), "1 minute", ALERT_WATERMARK)
         store.create("rolling_alerts")
@@ -150,6 +150,31 @@ def start(
     raise ValueError(f"unknown job {job!r}; one of {', '.join(JOBS)}")
 
 
+def threshold_alert_sink(state_path: str, out: BatchSink, limits: Thresholds, size_seconds: int) -> BatchSink:
+    """Judge the closed windows of each micro-batch, and the empty windows since the last one before.
+
+    A window without events never closes by itself, so a total stop is seen, minute by minute, as soon
+    as events come again. What is kept is the newest window of the last two batches: the state of a
+    batch replaces that of the one before the last, so a replayed batch finds what it found at first.
+    """
+    when = "yyyy-MM-dd HH:mm:ss"
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = None
+        if batch_id > 0:
+            before = spark.read.schema("newest STRING").json(f"{state_path}/{(batch_id - 1) % 2}").first()["newest"]
+        span = batch.agg(*[F.date_format(f("window_start"), when).alias(f.__name__) for f in (F.min, F.max)]).first()
+        if span["max"] is not None:
+            filled = anomalies.fill_empty_windows(batch, size_seconds, before or span["min"], span["max"])
+            fresh = filled.filter(F.col("window_start") > F.lit(before).cast("timestamp")) if before else filled
+            out(anomalies.threshold_alerts(fresh, limits), batch_id)
+        newest = spark.createDataFrame([(span["max"] or before,)], "newest STRING")
+        newest.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{state_path}/{batch_id % 2}")
+
+    return sinks.multi_sink(judge)
+
+
 def rolling_alert_sink(history_path: str, out: BatchSink, lookback_seconds: int, **limits) -> BatchSink:
     """Judge each micro-batch of closed windows against the counts kept from before it.
 

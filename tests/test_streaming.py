@@ -130,6 +130,19 @@ def test_alerts_reach_all_sinks_and_a_failing_one_is_passed_over(spark, feed, la
     assert "secondary sink failed" in caplog.text
 
 
+def test_a_stop_is_reported_when_events_come_again(spark, feed, lake):
+    feed.add(*[message(i, f"10:00:{i % 60:02}") for i in range(300)])
+    feed.add(message(900, "10:05:00"), message(901, "10:20:00"))
+    feed.add(message(902, "10:40:00"))
+    run(spark, "alerts", lake, feed)
+    feed.add(message(903, "11:00:00"))
+    run(spark, "alerts", lake, feed)
+    alerts = TableStore(spark, lake).read("anomaly_alerts").filter("event_count = 0")
+    minutes = [r["window_start"].strftime("%H:%M") for r in alerts.orderBy("window_start").collect()]
+    there = {"10:00", "10:05", "10:20", "10:40"}
+    assert minutes == [m for m in (f"10:{n:02}" for n in range(41)) if m not in there]
+
+
 def test_replayed_batch_is_kept_once_and_a_new_checkpoint_keeps_old_alerts(spark, store):
     store.create("anomaly_alerts")
     sink = sinks.table_sink(store, "anomaly_alerts", lambda _: "first", "detection_time")
