@@ -23,6 +23,9 @@ from eventlake.llm.common import WordPool, gather_runs, small_batches
 from eventlake.llm.pieces import Pieces, load
 
 
+NEVER = 1 << 40
+
+
 class PrefixCounter:
     """Counts of tokens at every prefix of chunks, kept per worker."""
 
@@ -30,64 +33,85 @@ class PrefixCounter:
         self.pieces, self.pairs = pieces, pairs
         self.rank = {p: int(pieces.rank[i]) for p, i in pieces.ids.items()}
         self.piece = {r: p for p, r in self.rank.items()}
-        self.longest = max(map(len, self.rank))
+        # every beginning of a piece: its rank, or -1 where it is none itself
+        self.begun = {p[:n]: -1 for p in self.rank for n in range(1, len(p))} | self.rank
         self.whole: dict[int, bool] = {}  # by rank: merges make this very piece of its characters
+        self.made: dict[int, tuple[int, int, int]] = {}  # when a piece is merged (-1: never), and of which two
         self.beside: dict[int, bool] = {}  # by two ranks: the pieces stay apart as neighbours
         self.pool = WordPool(self._learn, np.uint32)
 
-    def merged(self, text: str) -> list[str]:
-        """The text's tokens by merging best ranked neighbours, leftmost first."""
-        parts = list(text)
+    def _is_token(self, piece: int) -> bool:
+        """Whether merges make this piece; notes when, and of which two pieces."""
+        parts, last = list(self.piece[piece]), None
         while len(parts) > 1:
-            ranks = [self.rank.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = min((r for r in ranks if r is not None), default=None)
-            if best is None:
+            ranks = [self.rank.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == NEVER:
                 break
             at = ranks.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _is_token(self, piece: int) -> bool:
-        text = self.piece[piece]
-        found = self.whole[piece] = self.merged(text) == [text]
+            last = parts[at], parts[at + 1]
+            parts[at : at + 2] = ["".join(last)]
+        found = self.whole[piece] = len(parts) == 1
+        if found:
+            self.made[piece] = (piece, self.rank[last[0]], self.rank[last[1]]) if last else (-1, -1, -1)
         return found
 
     def _stand(self, a: int, b: int) -> bool:
+        """Whether two tokens stay apart as neighbours.
+
+        Goes back in time: undoes the later of the two tokens' merges (of equal ones the right, which
+        came second) and asks whether the pieces then at the border would have merged before it.
+        """
         if len(self.beside) >= self.pairs:
             self.beside.clear()
-        texts = [self.piece[a], self.piece[b]]
-        found = self.beside[a << 32 | b] = self.merged("".join(texts)) == texts
+        key, limit = a << 32 | b, NEVER
+        while True:
+            joined = self.rank.get(self.piece[a] + self.piece[b], NEVER)
+            if joined < limit:
+                found = False
+                break
+            for piece in (a, b):
+                if piece not in self.made:
+                    self._is_token(piece)
+            (time_a, _, right), (time_b, left, _) = self.made[a], self.made[b]
+            if time_a > time_b:
+                limit, a = time_a, right
+            elif time_b >= 0:
+                limit, b = time_b + 1, left
+            else:
+                found = True
+                break
+        self.beside[key] = found
         return found
 
     def prefix_counts(self, chunk: str) -> list[int]:
         """Tokens of the first 1, 2, ... characters of the chunk."""
-        rank, beside, whole = self.rank, self.beside, self.whole
-        last = [-1]  # -1: nothing before, or a character that never merges
-        counts = [0]
-        run = 0  # where the present run of known characters began
-        for end in range(1, len(chunk) + 1):
-            if chunk[end - 1] not in rank:
-                counts.append(counts[-1] + len(chunk[end - 1].encode()))
-                last.append(-1)
-                run = end
+        begun, beside, whole = self.begun, self.beside, self.whole
+        size = len(chunk)
+        last: list[int | None] = [None] * (size + 1)
+        last[0] = -1  # -1: nothing before, or a character that never merges
+        counts = [0] * (size + 1)
+        for start in range(size):
+            before = last[start]
+            if chunk[start] not in begun:
+                last[start + 1] = -1
+                counts[start + 1] = counts[start] + len(chunk[start].encode())
                 continue
-            for start in range(max(run, end - self.longest), end):
-                token = rank.get(chunk[start:end])
+            for end in range(start + 1, size + 1):
+                token = begun.get(chunk[start:end])
                 if token is None:
+                    break
+                if token < 0 or last[end] is not None:
                     continue
                 real = whole.get(token)
                 if not (self._is_token(token) if real is None else real):
                     continue
-                before = last[start]
-                if before < 0:
-                    break
-                stand = beside.get(before << 32 | token)
-                if self._stand(before, token) if stand is None else stand:
-                    break
-            else:
-                raise AssertionError(f"no token ends at {end} of {chunk!r}")
-            last.append(token)
-            counts.append(counts[start] + 1)
+                if before >= 0:
+                    stand = beside.get(before << 32 | token)
+                    if not (self._stand(before, token) if stand is None else stand):
+                        continue
+                last[end] = token
+                counts[end] = counts[start] + 1
         return counts[1:]
 
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
