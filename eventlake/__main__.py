@@ -29,7 +29,7 @@ def _arguments() -> argparse.Namespace:
     stream.add_argument("--trigger", help="'once', or an interval such as '30 seconds'")
 
     yesterday = (date.today() - timedelta(days=1)).isoformat()
-    for name in ("daily", "quality", "aggregate", "reviews"):
+    for name in ("daily", "quality", "aggregate", "reviews", "searches"):
         command = commands.add_parser(name)
         command.add_argument("day", nargs="?", default=yesterday)
         if name == "daily":
@@ -94,6 +94,8 @@ def main() -> None:
         daily.run_aggregation(store, args.day)
     elif args.command == "reviews":
         daily.run_reviews(store, args.day)
+    elif args.command == "searches":
+        daily.run_searches(store, args.day)
     elif args.command == "cohorts":
         found = daily.run_cohorts(store, args.day, args.rebuild)
         if args.jdbc_url:

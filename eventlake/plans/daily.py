@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from eventlake.config import Settings
 from eventlake.functions.text import REVIEW_ASPECTS, REVIEW_LEXICON
-from eventlake.operators import cohort, daily, quality, reviews
+from eventlake.operators import cohort, daily, quality, reviews, searches
 from eventlake.sources.tables import TableStore
 
 
+# Days over which a second purchase counts.
+REPURCHASE_DAYS = 30
+
+
 def run_quality(store: TableStore, day: str) -> DataFrame:
     """Write the day's checks and return them as stored."""
     store.create("events", "data_quality")
@@ -42,6 +46,9 @@ def run_aggregation(store: TableStore, day: str) -> None:
     store.create("events")
     roles = store.settings.roles
     events = daily.on_day(store.read("events"), "event_date", day)
+    target = F.lit(day).cast("date")
+    two_days = store.read("events").filter(F.col("event_date").between(F.date_sub(target, 1), target))
+    buying = store.read("events").filter(F.col("event_date").between(F.date_sub(target, REPURCHASE_DAYS - 1), target))
     # one row per product and day, read by two reports
     products = daily.product_days(events, roles).persist()
     try:
@@ -50,6 +57,10 @@ def run_aggregation(store: TableStore, day: str) -> None:
             "hourly_metrics": daily.hourly_metrics(events, roles),
             "daily_category": daily.category_metrics(products),
             "daily_product": daily.product_metrics(products),
+            "volume_change": daily.volume_change(two_days).filter(F.col("report_date") == target),
+            "repurchase": daily.repurchase_rate(buying, roles).withColumns({
+                "report_date": target, "days": F.lit(REPURCHASE_DAYS),
+            }),
         })
     finally:
         products.unpersist()
@@ -79,6 +90,15 @@ def _days_of(events: DataFrame) -> DataFrame:
     )
 
 
+def run_searches(store: TableStore, day: str) -> None:
+    store.create("search_queries")
+    rows = daily.on_day(store.read("search_queries"), "search_date", day)
+    _write_all(store, day, {
+        "search_metrics": searches.search_metrics(rows).withColumnRenamed("search_date", "report_date"),
+        "popular_searches": searches.popular_searches(rows).withColumn("report_date", F.lit(day).cast("date")),
+    })
+
+
 def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame:
     """Retention as of the day.
 
@@ -122,7 +142,7 @@ def run_daily(
     """Checks, then reports side by side; a failed check stops the run before any report is written."""
     store = TableStore(spark, settings)
     gate(run_quality(store, day))
-    jobs = [run_aggregation, run_reviews, *([run_cohorts] if with_cohorts else [])]
+    jobs = [run_aggregation, run_reviews, run_searches, *([run_cohorts] if with_cohorts else [])]
     with ThreadPoolExecutor(len(jobs)) as pool:
         runs = [pool.submit(job, store, day) for job in jobs]
     for run in runs:

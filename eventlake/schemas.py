@@ -214,6 +214,24 @@ TABLES = {
         conversion_rate DOUBLE""",
         ("report_date",),
     ),
+    "repurchase": Table(
+        """report_date DATE, days INT, purchasers LONG, repeat_purchasers LONG,
+        repurchase_rate DOUBLE""",
+        ("report_date",),
+    ),
+    "volume_change": Table(
+        "report_date DATE, events LONG, previous_events LONG, change_pct DOUBLE",
+        ("report_date",),
+    ),
+    "search_metrics": Table(
+        """report_date DATE, searches LONG, clicks LONG, empty_searches LONG,
+        avg_clicked_position DOUBLE, click_through_rate DOUBLE, zero_result_rate DOUBLE""",
+        ("report_date",),
+    ),
+    "popular_searches": Table(
+        "report_date DATE, query_norm STRING, searches LONG",
+        ("report_date",),
+    ),
     "review_daily_summary": Table(
         """report_date DATE, total_reviews LONG, avg_rating DOUBLE, rating_1 LONG,
         rating_2 LONG, rating_3 LONG, rating_4 LONG, rating_5 LONG,

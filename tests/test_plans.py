@@ -62,6 +62,23 @@ def test_run_and_rerun_leave_the_same_tables(filled, spark):
     assert words == [("p1", "빠르,좋아,좋아요", "별로")]
 
 
+def test_planned_metrics_are_stored(filled, spark):
+    daily.run_aggregation(filled, DAY)
+    assert rows_of(filled.read("repurchase"), "days", "purchasers", "repeat_purchasers") == [(30, 1, 0)]
+    assert rows_of(filled.read("volume_change"), "events", "previous_events", "change_pct") == [(3, 1, 200.0)]
+    filled.create("search_queries")
+    rows = spark.createDataFrame(
+        [("s1", "bag", True, 3), ("s2", "bag", False, 0), ("s3", "hat", False, 2)],
+        "search_id STRING, query_norm STRING, clicked BOOLEAN, result_count INT",
+    ).withColumn("search_date", F.lit(DAY).cast("date"))
+    missing = [c for c in filled.columns("search_queries") if c not in rows.columns]
+    filled.append(rows.withColumns({c: F.lit(None) for c in missing}), "search_queries")
+    for _ in range(2):
+        daily.run_searches(filled, DAY)
+    assert rows_of(filled.read("search_metrics"), "searches", "clicks", "empty_searches") == [(3, 1, 1)]
+    assert rows_of(filled.read("popular_searches"), "query_norm", "searches") == [("bag", 2), ("hat", 1)]
+
+
 def test_failed_check_stops_before_the_reports(filled, spark):
     with pytest.raises(quality.QualityGateError):
         daily.run_daily(spark, "2024-01-05", filled.settings)
