@@ -4,7 +4,8 @@ A word gives its character n-grams (with marks for its ends) and itself; each is
 embedding. A text is the mean over all its subwords, a linear layer with softmax names the language.
 Both are trained by stochastic gradient descent in numpy on a bounded sample. A temperature fitted on
 rows held back makes the score a probability, and the score below which a text is rejected is set on
-the same rows, so that at most `lost` of texts in a learned language would be rejected.
+the same rows, so that at most `lost` of texts in a learned language would be rejected; it is never
+above `above_chance` times the score of a guess, so short texts in a language stay.
 
 Defined results: a null text or one without a letter is `und` with score 0 and is not accepted; with
 no row to learn from every text is `und`; a null or repeated doc_id is treated like any other row.
@@ -31,7 +32,8 @@ UNKNOWN = "und"
 class Settings:
     """Production parameters.
 
-    About `per_language` rows of each language (by key hash) and `rows` in all train the model;
+    About `per_language` rows with an id of each language, drawn by a hash of the id, and `rows` in
+    all train the model;
     `languages` bounds the languages told apart, the most frequent first. Texts over `sample_words`
     are left out of that sample. Prediction has no bound.
     """
@@ -47,6 +49,7 @@ class Settings:
     sample_words: int = 20_000
     calibration: float = 0.2
     lost: float = 0.001
+    above_chance: float = 1.25
     cached_words: int = 400_000
     seed: int = 11
 
@@ -145,7 +148,8 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, languag
     losses = [-np.log(_softmax(logits / t)[rows, target[held]] + 1e-12).mean() for t in options]
     temperature = float(options[int(np.argmin(losses))])
     best = _softmax(logits / temperature).max(axis=1)
-    least = min(0.5, float(np.quantile(best, s.lost)))
+    # a text counts as unrecognised only if no language stands out from chance
+    least = min(0.5, s.above_chance / len(languages), float(np.quantile(best, s.lost)))
     return Model(s, languages, (table @ layer).astype(np.float32), bias, temperature, least)
 
 
@@ -156,13 +160,12 @@ def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings(
     counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(s.languages).collect()}
     if not counts:
         return None
-    share = F.create_map([F.lit(v) for y, n in counts.items() for v in (y, min(1.0, s.per_language / n))])
+    each = min(s.per_language, s.rows // len(counts))
+    share = F.create_map([F.lit(v) for y, n in counts.items() for v in (y, min(1.0, each / n))])
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    chosen = (
-        rows.where(drawn < F.coalesce(share[F.col("y")], F.lit(0.0)))
-        .select(F.xxhash64("doc_id").alias("h"), "doc_id", "y", "text").orderBy("h", "doc_id", "y").limit(s.rows)
-        if sum(min(n, s.per_language) for n in counts.values()) > s.rows
-        else rows.where(drawn < F.coalesce(share[F.col("y")], F.lit(0.0))).select(F.xxhash64("doc_id").alias("h"), "doc_id", "y", "text")
+    # about `each` rows per language, `rows` in all
+    chosen = rows.where(F.col("doc_id").isNotNull() & (drawn < F.coalesce(share[F.col("y")], F.lit(0.0)))).select(
+        F.xxhash64("doc_id").alias("h"), "doc_id", "y", "text"
     )
 
     def encode(batches):
