@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import matrix, usable_vector, written
+from eventlake.llm.common import drawn, matrix, usable_vector, written
 from eventlake.llm.components import components
 
 
@@ -101,7 +101,7 @@ def _join(classes: DataFrame, least: float, s: Settings) -> DataFrame:
     total = classes.count()
     pivots: dict[int, np.ndarray] = {}
     for row in classes.groupBy("size").count().orderBy(F.desc("count")).limit(16).collect():
-        sample = classes.where(F.col("size") == row["size"]).orderBy(F.xxhash64("rep"), "rep").limit(s.sample_rows)
+        sample = drawn(classes.where(F.col("size") == row["size"]), "rep", s.sample_rows, row["count"])
         x = _directions(matrix([r["v"] for r in sample.select("v").collect()]))
         pivots[row["size"]] = _pivots(x, min(s.most_pivots, max(1, total // s.rows_per_pivot)), reach, s.copies)
     shared = spark.sparkContext.broadcast(pivots)  # bounded by `most_pivots`
