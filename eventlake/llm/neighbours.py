@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import matrix, usable_vector, written
+from eventlake.llm.common import drawn, matrix, usable_vector, written
 
 
 @dataclass(frozen=True)
@@ -176,7 +176,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "e
         queries.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"))
         .where(usable_vector("v") & F.col("vec_id").isNotNull() & (F.size("v") == shape["size"])).dropDuplicates(["vec_id"])
     )
-    sample = matrix([r["v"] for r in plain.orderBy(F.xxhash64("vec_id"), "vec_id").limit(s.fit_rows).collect()])
+    sample = matrix([r["v"] for r in drawn(plain, "vec_id", s.fit_rows, shape["n"]).collect()])
     lists = int(min(s.most_lists, max(1, shape["n"] // s.list_rows)))
     index = _fit(sample, shape["reach"], lists, s)
     listed = written(_listed(plain, index), "lists")
@@ -247,7 +247,7 @@ def _listed(plain: DataFrame, index: Index) -> DataFrame:
 
 def _probes(listed: DataFrame, asked: DataFrame, index: Index, k: int, s: Settings) -> int:
     """Lists to probe so that the wanted share of a sample's true neighbours lies in them."""
-    trial = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(s.trial_queries).collect()
+    trial = drawn(asked, "vec_id", s.trial_queries, asked.count()).collect()
     if not trial:
         return 1
     ids, vectors = np.array([r["vec_id"] for r in trial]), matrix([r["v"] for r in trial])
