@@ -148,15 +148,15 @@ def spanning_links(fps: np.ndarray, radius: int) -> np.ndarray:
 
 
 def groups(prints: DataFrame, radius: int = 3, segments: int = 2, crowd: int = 512) -> DataFrame:
-    """fp and component_id, the smallest doc_id of all fingerprints reachable from it.
+    """fp, root (unique per group) and component_id, the smallest doc_id of all fingerprints reachable from it.
 
-    `prints` holds doc_id and fp and should be a written table, since it is read more than once.
+    Groups without a doc_id, or with the same smallest one, share component_id but not root. `prints` holds doc_id and fp and should be a written table, since it is read more than once.
     """
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = components(links(distinct.select("fp"), radius, segments, crowd))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.select("fp", "root").join(least, "root").select("fp", "component_id")
+    return named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(documents: DataFrame, radius: int = 3, segments: int = 2, words: int = 3) -> DataFrame:
@@ -168,7 +168,7 @@ def near_duplicates(documents: DataFrame, radius: int = 3, segments: int = 2, wo
 def keep_one(documents: DataFrame, radius: int = 3, segments: int = 2, words: int = 3) -> DataFrame:
     """One document of each group, that with the smallest doc_id, with all its columns.
 
-    Of rows that repeat an id, one stays. A group without any doc_id keeps one row.
+    Of rows of a group that repeat its id, one stays. A group without any doc_id keeps one row.
     """
     names = documents.schema.names
     fp, known, number = free_names(names, "fp", "known", "number")
@@ -184,7 +184,7 @@ def keep_one(documents: DataFrame, radius: int = 3, segments: int = 2, words: in
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     leads = (
         groups(prints, radius, segments).join(ids, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id").agg(F.min("fp").alias("fp"))
+        .groupBy("root", "doc_id").agg(F.min("fp").alias("fp"))
     )
     chosen = leads.withColumns(keys).select(F.col("fp").alias(fp), known, number)
     marked = documents.mapInArrow(run, documents.withColumn(fp, F.lit(0).cast("long")).schema).withColumns(keys)

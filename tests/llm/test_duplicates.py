@@ -130,3 +130,11 @@ def test_no_vectors(spark):
 def test_repeated_rows_keep_one(spark):
     rows = [(4, "some words that are here twice"), (4, "some words that are here twice"), (2, "Some words that are here twice"), (7, "another text")]
     assert sorted(r["doc_id"] for r in simhash.keep_one(documents(spark, rows)).collect()) == [2, 7]
+
+
+def test_every_group_keeps_one(spark):
+    """Groups without an id, and groups that share their smallest id, keep a row each."""
+    first, second, third, fourth = ("a text about the sea and its ships", "bread is baked from flour and water", "seven birds sat on an old wire", "the road to the north was closed")
+    rows = [(None, first), (None, first), (None, second), (5, third), (5, fourth), (9, fourth.upper())]
+    found = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(documents(spark, rows)).collect())
+    assert found == sorted([(0, first), (0, second), (5, third), (5, fourth)])
