@@ -3,9 +3,11 @@
 A word gives its character n-grams (with marks for its ends) and itself; each is a bucket with an
 embedding. A text is the mean over all its subwords, a linear layer with softmax names the language.
 Both are trained by stochastic gradient descent in numpy on a bounded sample. A temperature fitted on
-rows held back makes the score a probability, and the score below which a text is rejected is set on
-the same rows, so that at most `lost` of texts in a learned language would be rejected; it is never
-above `above_chance` times the score of a guess, so short texts in a language stay.
+rows held back makes the score a probability. The score only compares the learned languages, so a
+text also has a familiarity: the mean log share of its subwords among those of the language named.
+Texts below a cut of either are rejected. The cuts are set on runs of words of the rows held back, for
+each length in words, so that about `lost` of texts in a learned language would be rejected at every
+length; without rows held back there are none.
 
 Defined results: a null text or one without a letter is `und` with score 0 and is not accepted; with
 no row to learn from every text is `und`; a null or repeated doc_id is treated like any other row.
@@ -16,6 +18,7 @@ columns of any name do no harm.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +38,8 @@ class Settings:
     About `per_language` rows with an id of each language, drawn by a hash of the id, and `rows` in
     all train the model;
     `languages` bounds the languages told apart, the most frequent first. Texts over `sample_words`
-    are left out of that sample. Prediction has no bound.
+    are left out of that sample. Prediction has no bound. Of every row held back, at most `runs` runs of
+    each of the `lengths` are scored; a cut is at least `spread` standard deviations below their mean.
     """
 
     buckets: int = 1 << 16
@@ -49,7 +53,9 @@ class Settings:
     sample_words: int = 20_000
     calibration: float = 0.2
     lost: float = 0.001
-    above_chance: float = 1.25
+    spread: float = 4.0
+    lengths: tuple[int, ...] = (1, 2, 4, 8, 16, 32, 64)
+    runs: int = 8
     cached_words: int = 400_000
     seed: int = 11
 
@@ -67,7 +73,8 @@ class Model:
     table: np.ndarray  # buckets x languages: embeddings times the linear layer
     bias: np.ndarray
     temperature: float
-    least: float  # scores below are rejected
+    logs: np.ndarray  # buckets x languages: log share of the bucket among the subwords of the language
+    least: np.ndarray  # lengths x 2: scores and familiarities below are rejected
 
 
 class Predictor:
@@ -75,7 +82,8 @@ class Predictor:
 
     def __init__(self, model: Model):
         self.model = model
-        self.sums = np.zeros((model.settings.cached_words, len(model.languages) + 1), np.float64)
+        self.sums = np.zeros((model.settings.cached_words, 2 * len(model.languages) + 1), np.float64)
+        self.both = np.hstack([model.table, model.logs])
         self.rows: dict[str, int] = {}
 
     def _rows(self, words: list[str]) -> np.ndarray:
@@ -93,14 +101,25 @@ class Predictor:
             starts = np.cumsum(lengths) - lengths
             flat = np.fromiter((b for i in ids for b in i), np.int64, int(lengths.sum()))
             new = slice(len(known), len(known) + len(fresh))
-            self.sums[new, :-1] = np.add.reduceat(self.model.table[flat], starts, axis=0)
+            self.sums[new, :-1] = np.add.reduceat(self.both[flat], starts, axis=0)
             self.sums[new, -1] = lengths
             known.update(zip(fresh, range(new.start, new.stop)))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        model = self.model
-        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, scores, and which texts are accepted."""
+        names, found = [UNKNOWN] * len(texts), np.zeros((len(texts), 2))
+        lengths = np.zeros(len(texts), np.int64)
+        for i, name, *values, n in self.measured(texts):
+            names[i], found[i], lengths[i] = name, values, n
+        # a text has the cut of the longest length that is not above its own
+        at = np.searchsorted(self.model.settings.lengths, lengths, side="right") - 1
+        kept = (lengths > 0) & (found >= self.model.least[np.maximum(at, 0)]).all(axis=1)
+        return names, found[:, 0], kept
+
+    def measured(self, texts: list[str | None]) -> Iterator[tuple[int, str, float, float, int]]:
+        """Place, language, score, familiarity and number of words of every text with a letter."""
+        model, languages = self.model, len(self.model.languages)
         for i, text in enumerate(texts):
             words = letter_words(text)
             if not words:
@@ -108,10 +127,10 @@ class Predictor:
             found = np.zeros(self.sums.shape[1])
             for start in range(0, len(words), 65_536):
                 found += self.sums[self._rows(words[start : start + 65_536])].sum(axis=0)
-            p = _softmax((found[:-1] / found[-1] + model.bias) / model.temperature)
+            mean = found[:-1] / found[-1]
+            p = _softmax((mean[:languages] + model.bias) / model.temperature)
             best = int(p.argmax())
-            names[i], scores[i] = model.languages[best], p[best]
-        return names, scores
+            yield i, model.languages[best], p[best], mean[languages + best], len(words)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -119,14 +138,33 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(docs: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, languages: list[str], s: Settings) -> Model:
-    """Fit on (distinct bucket ids, their share of the text) per document."""
+def _cuts(model: Model, runs: list[str], s: Settings) -> np.ndarray:
+    """The lowest score and familiarity, for every length, by the runs of words of texts in a language."""
+    least, predictor = np.full((len(s.lengths), 2), -np.inf), Predictor(model)
+    for k, n in enumerate(s.lengths):
+        words = [r.split() for r in runs]
+        parts = [" ".join(w[a : a + n]) for w in words for a in range(0, min(len(w) - n + 1, n * s.runs), n)]
+        found = np.array([values for _, _, *values, _ in predictor.measured(parts)])
+        if len(found):
+            least[k] = np.minimum(np.quantile(found, s.lost / 2, axis=0), found.mean(axis=0) - s.spread * found.std(axis=0))
+        elif k:
+            least[k] = least[k - 1]
+    return least
+
+
+def train(
+    docs: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, languages: list[str], s: Settings,
+    fold: np.ndarray, runs: list[str | None],
+) -> Model:
+    """Fit on (distinct bucket ids, their share of the text) per document.
+
+    Rows of the fold are held back; `runs` are words of theirs.
+    """
     rng = np.random.default_rng(s.seed)
     table = rng.normal(0, 0.3, (s.buckets, s.size)).astype(np.float32)
     layer, bias = np.zeros((s.size, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    fold = rng.random(len(docs)) < s.calibration
     if len(set(target[~fold])) < len(set(target)):
-        fold[:] = False  # too few rows to hold any back
+        fold = np.zeros(len(docs), bool)  # too few rows to hold any back
     fit = np.flatnonzero(~fold)
     steps, step = s.epochs * len(fit), 0
     for _ in range(s.epochs):
@@ -147,10 +185,15 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, languag
     rows = np.arange(len(held))
     losses = [-np.log(_softmax(logits / t)[rows, target[held]] + 1e-12).mean() for t in options]
     temperature = float(options[int(np.argmin(losses))])
-    best = _softmax(logits / temperature).max(axis=1)
-    # a text counts as unrecognised only if no language stands out from chance
-    least = min(0.5, s.above_chance / len(languages), float(np.quantile(best, s.lost)))
-    return Model(s, languages, (table @ layer).astype(np.float32), bias, temperature, least)
+    seen = np.zeros((s.buckets, len(languages)))
+    for i in fit:
+        seen[docs[i][0], target[i]] += docs[i][1]  # every document counts alike
+    logs = np.log((seen + 1e-6) / (seen + 1e-6).sum(axis=0)).astype(np.float32)
+    none = np.full((len(s.lengths), 2), -np.inf)
+    model = Model(s, languages, (table @ layer).astype(np.float32), bias, temperature, logs, none)
+    if fold.any():
+        model.least = _cuts(model, [runs[i] for i in np.flatnonzero(fold)], s)
+    return model
 
 
 def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings()) -> Model | None:
@@ -168,6 +211,8 @@ def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings(
         F.xxhash64("doc_id").alias("h"), "doc_id", "y", "text"
     )
 
+    longest = s.lengths[-1] * s.runs
+
     def encode(batches):
         for batch in small_batches(batches, "text"):
             out = []
@@ -175,42 +220,44 @@ def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings(
                 words = letter_words(text)
                 if 0 < len(words) <= s.sample_words:
                     ids, n = np.unique([b for w in words for b in subwords(w, s)], return_counts=True)
-                    out.append((h, doc_id, y, ids.astype(np.int32).tobytes(), (n / n.sum()).astype(np.float32).tobytes()))
-            cols = zip(*out) if out else [[]] * 5
+                    held = h % 1000 < 1000 * s.calibration
+                    first = h // 1000 % max(len(words) - longest + 1, 1)
+                    run = " ".join(words[first : first + longest]) if held else None
+                    out.append((h, doc_id, y, ids.astype(np.int32).tobytes(), (n / n.sum()).astype(np.float32).tobytes(), run))
+            cols = zip(*out) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary()))],
-                names=["h", "doc_id", "y", "ids", "share"],
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.string()))],
+                names=["h", "doc_id", "y", "ids", "share", "run"],
             )
 
-    sample = chosen.mapInArrow(encode, "h long, doc_id long, y string, ids binary, share binary").toPandas()
+    sample = chosen.mapInArrow(encode, "h long, doc_id long, y string, ids binary, share binary, run string").toPandas()
     if not len(sample):
         return None
     sample = sample.sort_values(["h", "doc_id", "y"]).reset_index(drop=True)
     languages = sorted(set(sample["y"]))
     docs = [(np.frombuffer(i, np.int32), np.frombuffer(n, np.float32)) for i, n in zip(sample["ids"], sample["share"])]
-    return train(docs, np.array([languages.index(y) for y in sample["y"]]), languages, s)
+    fold = sample["run"].notna().to_numpy()
+    return train(docs, np.array([languages.index(y) for y in sample["y"]]), languages, s, fold, sample["run"].tolist())
 
 
 def _predicted(documents: DataFrame, model: Model | None, schema, build) -> DataFrame:
-    """Apply `build(batch, languages, scores)` to every batch. The model has a fixed number of buckets."""
+    """Apply `build(batch, languages, scores, accepted)` to every batch. The model has a fixed number of buckets."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         predictor = Predictor(shared.value) if shared.value else None
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").to_pylist()
-            names, scores = predictor.predict(texts) if predictor else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
-            yield build(batch, names, scores)
+            none = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+            yield build(batch, *(predictor.predict(texts) if predictor else none))
 
     return documents.mapInArrow(run, schema)
 
 
 def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score, and accepted: a language was named with enough confidence."""
-    least = model.least if model else 0.0
 
-    def build(batch, names, scores):
-        kept = np.array([n != UNKNOWN for n in names], bool) & (scores >= least)
+    def build(batch, names, scores, kept):
         arrays = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(kept)]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score", "accepted"])
 
@@ -220,9 +267,8 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 def reject_unknown(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Documents whose language is recognised, with all their columns."""
     model = fit(documents, settings=settings)
-    least = model.least if model else 0.0
 
-    def build(batch, names, scores):
-        return batch.filter(pa.array(np.array([n != UNKNOWN for n in names], bool) & (scores >= least)))
+    def build(batch, names, scores, kept):
+        return batch.filter(pa.array(kept))
 
     return _predicted(documents, model, documents.schema, build)

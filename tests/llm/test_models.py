@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from conftest import SAMPLE_DIR
 from eventlake.llm import language, lm, queries, recurrent, toxicity
-from eventlake.llm.common import fold_is
+from eventlake.llm.common import fold_is, letter_words
 
 MIDDLE_DIR = SAMPLE_DIR.replace("sf0.001", "sf0.01")
 
@@ -88,6 +88,30 @@ def test_language_on_odd_rows(spark):
     assert language.predict(no_documents(spark), model).count() == 0
 
 
+def test_texts_in_no_language_are_rejected(spark):
+    """Shuffled letters, another script and a language left out go; held-out documents stay."""
+    rng, docs = random.Random(3), spark.read.parquet(f"{MIDDLE_DIR}/documents.parquet").where("text IS NOT NULL")
+    learned = docs.where("lang <> 'de'")
+    model = language.fit(learned.where(~fold_is("doc_id", 4, 2)))
+
+    def accepted(texts):
+        kept = language.predict(documents(spark, list(enumerate(texts))), model).toPandas()["accepted"]
+        return kept.mean()
+
+    held = [r["text"] for r in learned.where(fold_is("doc_id", 4, 2)).collect() if len(letter_words(r["text"])) >= 32]
+    junk = []
+    for text in held:
+        letters = list("".join(letter_words(text)))
+        rng.shuffle(letters)
+        junk.append(" ".join("".join(letters[i : i + 5]) for i in range(0, len(letters), 5)))
+    german = [r["text"] for r in docs.where("lang = 'de'").collect() if len(letter_words(r["text"])) >= 32]
+    assert len(held) > 50 and len(german) > 50
+    assert accepted(held) > 0.98
+    assert accepted([" ".join(letter_words(t)[:2]) for t in held]) > 0.98
+    assert accepted(junk) < 0.05 and accepted(german) < 0.2
+    assert accepted(["αβγδ εζηθικ λμνξ οπρστ " * 10, "привет как дела сегодня " * 10]) == 0
+
+
 def tokens(text):
     return (text or "").encode().lower().split() + [b""]
 
