@@ -3,7 +3,7 @@
 Everything counted comes from all training documents: the token counts, the frequent words that the
 network knows one by one, and, for all other words, their class (by a hash of the last two bytes) and
 their share of it. The network starts from these shares, is warmed up on a bounded sample, and then
-every partition goes on training on one in `every` of its training documents; the results are
+every partition goes on training on all its training documents (one in `every`); the results are
 averaged, weighted by tokens, over a tree of executors. So what training reads grows with the corpus.
 
 Scoring adds to the network's log probabilities those of each other word within its class. Counts of
@@ -48,7 +48,7 @@ class Settings:
     known: int = 262_144
     warm_documents: int = 1500
     warm_bytes: int = 100_000
-    every: int = 10
+    every: int = 1
     train_lanes: int = 64
     train_window: int = 32
     rate: float = 0.05
@@ -73,6 +73,7 @@ class Model:
     symbols: np.ndarray  # per known token
     counts: np.ndarray
     tail_logs: np.ndarray  # per tail class: log10 of what divides count + 1
+    trained: int = 0  # tokens that the network learnt from after the warm-up
 
 
 def tokens(text: str | None) -> Iterator[list[bytes]]:
@@ -166,7 +167,7 @@ def fit(documents: DataFrame, learn: Column, settings: Settings = Settings()) ->
     if model.tokens:
         ended = of_known.get(END, 0)
         model.network = _warm(training, model, ended)
-        model.network = _averaged(training, model)
+        model.network, model.trained = _averaged(training, model)
     return model, counts
 
 
@@ -206,8 +207,8 @@ def _warm(training: DataFrame, model: Model, total: int) -> Network:
     return trainer.net
 
 
-def _averaged(training: DataFrame, model: Model) -> Network:
-    """Every partition trains on from the warm network; the mean of all, weighted by their tokens."""
+def _averaged(training: DataFrame, model: Model) -> tuple[Network, int]:
+    """Every partition trains on from the warm network; the mean of all, weighted by their tokens, and these."""
     s, spark = model.settings, training.sparkSession
     shared = spark.sparkContext.broadcast(model)
     chosen = training.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(s.every)) == 0)
@@ -230,7 +231,7 @@ def _averaged(training: DataFrame, model: Model) -> Network:
     pairs = trained.rdd.map(weighted)
     zero = (0.0, 0)
     values, n = pairs.treeAggregate(zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=3)
-    return model.network.with_flat(values / n) if n else model.network
+    return (model.network.with_flat(values / n) if n else model.network), n
 
 
 def score(documents: DataFrame, model: Model, counts: DataFrame, *keep: Column) -> DataFrame:

@@ -216,3 +216,9 @@ def test_language_model_on_odd_rows(spark):
     assert lm.score(no_documents(spark), empty, none).count() == 0
     untrained = lm.score(df, empty, none).collect()
     assert all(r["base_score"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in untrained)
+
+
+def test_network_learns_from_every_training_document(spark, chatter):
+    df, held = documents(spark, chatter + [(None, "w1 w2 w3")]), fold_is("doc_id", 7, 2)
+    model, _ = lm.fit(df, ~held, replace(SMALL, every=lm.Settings().every))
+    assert model.trained == model.tokens > 0
