@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import language, lm, neighbours, packing, piece_codec, sharding, simhash, token_counts, toxicity, vector_links
+from eventlake.llm import (
+    language, lm, merkle, neighbours, packing, piece_codec, runs, sharding, simhash, token_counts, toxicity, url_filter, vector_links,
+)
 from eventlake.llm.common import fold_is, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,5 +85,61 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def with_copies(documents: DataFrame) -> DataFrame:
+    """The documents, of which one in ten repeats a stretch of its own words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    first = g % n
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+    places = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    chosen = F.transform(places, lambda i: F.get(words, F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")))
+    text = F.when(h % 10 == 0, F.when(n > 0, F.array_join(chosen, " ")).otherwise(F.col("text"))).otherwise(F.col("text"))
+    return documents.select("doc_id", text.alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_copies(table(spark, sf_dir, "documents")), least=24, exponent=3)
+    # runs come by start and period, so a later one must be truly greater
+    greatest = F.aggregate(
+        "runs", F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", greatest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best")["start"].alias("start"),
+        F.col("best")["length"].alias("length"), F.col("best")["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, URL_RULES, url_filter.fit(pages, URL_RULES)).select(
+        "page_id", "host", "path", "rule", "verdict", "score"
+    )
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = merkle.leaf(text=F.translate("text", url_filter.UPPER, url_filter.LOWER))
+    tampered = F.when(fold_is("doc_id", 5, 0), lowered)
+    found = merkle.manifest(table(spark, sf_dir, "documents"), {"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
