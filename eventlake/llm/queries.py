@@ -89,14 +89,16 @@ def with_copies(documents: DataFrame) -> DataFrame:
     """The documents, of which one in ten repeats a stretch of its own words up to its end."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
+    chosen = documents.select("doc_id", "text", g.alias("g"), F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words)
-    first = g % n
-    period = 1 + F.floor((n - first) / (3 + g % 8))
-    places = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
-    chosen = F.transform(places, lambda i: F.get(words, F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")))
-    text = F.when(h % 10 == 0, F.when(n > 0, F.array_join(chosen, " ")).otherwise(F.col("text"))).otherwise(F.col("text"))
-    return documents.select("doc_id", text.alias("text"))
+    split = chosen.withColumn("words", F.when(F.col("chosen"), words))
+    n = F.size("words")
+    first = (F.col("g") % n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + F.col("g") % 8))).cast("int")
+    # the stretch, repeated until it is long enough: no expression that is worked out anew for each word
+    again = F.flatten(F.array_repeat(F.slice("words", first + 1, period), F.ceil((n - first) / period).cast("int")))
+    repeated = F.concat(F.slice("words", F.lit(1), first), F.slice(again, F.lit(1), n - first))
+    return split.select("doc_id", F.when(F.col("chosen") & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
