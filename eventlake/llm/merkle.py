@@ -142,11 +142,18 @@ def group_nodes(tiers: list[DataFrame]) -> DataFrame:
     return out
 
 
-def descend(tiers: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """group, rank, hash, load, path, node of every leaf; `tops` has the path (group, node, path) above each group."""
+def descend(tiers: list[DataFrame], tops: DataFrame | str) -> DataFrame:
+    """group, rank, hash, load, path, node of every leaf; `tops` has the path (group, node, path) above each group.
+
+    A text for `tops` is the node of the only group there is, with nothing above it.
+    """
     above = None
     for tier in reversed(tiers):
-        starts = tier.where(F.col("total") <= BLOCK).select("group", "block").join(tops, "group")
+        starts = tier.where(F.col("total") <= BLOCK).select("group", "block")
+        if isinstance(tops, DataFrame):
+            starts = starts.join(tops, "group")
+        else:
+            starts = starts.select("*", F.lit(tops).alias("node"), F.array().cast(PATH).alias("path"))
         above = starts if above is None else starts.unionByName(above.select("group", F.col("rank").alias("block"), "node", "path"))
         above = _taken_apart(tier.join(above, ["group", "block"]))
     return above
@@ -188,15 +195,12 @@ def manifest(documents: DataFrame, also: dict[str, Column] | None = None, settin
     ordered = ranked(sources, "all", ["source"], settings)
     above = climb(ordered.select(F.lit("").alias("group"), "total", "rank", "hash", F.struct("group").alias("load")))
     top = group_nodes(above).first()  # one row, none for an empty table
-    root = F.lit(top["hash"] if top else None).cast("string")
-    start = documents.sparkSession.range(1 if top else 0).select(
-        F.lit("").alias("group"), root.alias("node"), F.array().cast(PATH).alias("path")
-    )
+    root = top["hash"] if top else ""
     tops = written(
-        descend(above, start).select(F.col("load")["group"].alias("group"), F.col("hash").alias("node"), "path"), "tops"
+        descend(above, root).select(F.col("load")["group"].alias("group"), F.col("hash").alias("node"), "path"), "tops"
     )
     return descend(tiers, tops).select(
         F.col("load")["doc_id"].alias("doc_id"), F.expr("if(group = '-', null, substring(group, 2))").alias("source"), "rank",
-        F.col("hash").alias("leaf"), F.col("node").alias("subroot"), root.alias("root"), "path",
+        F.col("hash").alias("leaf"), F.col("node").alias("subroot"), F.lit(root).alias("root"), "path",
         *(F.col("load")[f"also_{k}"].alias(k) for k in also),
     )
