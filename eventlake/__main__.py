@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventlake.config import Settings, get_spark
 from eventlake.operators import layout, quality, serving
 from eventlake.plans import daily
-from eventlake.sources.streams import json_lines_source
+from eventlake.sources.streams import heartbeat_source, json_lines_source
 from eventlake.sources.tables import TableStore, write_jdbc
 from eventlake.streaming import jobs, sinks
 
@@ -27,6 +27,8 @@ def _arguments() -> argparse.Namespace:
     stream.add_argument("--path", help="folder of JSON lines to read instead of Kafka")
     stream.add_argument("--files", type=int, help="most files per partition and micro-batch")
     stream.add_argument("--trigger", help="'once', or an interval such as '30 seconds'")
+    stream.add_argument("--distinct", help="leave out events sent again within a span such as '1 hour'")
+    stream.add_argument("--heartbeat", metavar="GRACE", help="alert jobs: judge silent minutes so long after their end, such as '2 minutes'")
 
     yesterday = (date.today() - timedelta(days=1)).isoformat()
     for name in ("daily", "quality", "aggregate", "reviews", "searches"):
@@ -82,7 +84,12 @@ def main() -> None:
         if args.jdbc_url and args.job == jobs.ALERT_JOB:
             extra = (sinks.jdbc_sink(args.jdbc_url, "analytics_anomaly_alerts", _jdbc_properties(args)),)
         source = json_lines_source(args.path) if args.path else None
-        jobs.start(spark, args.job, settings, source, args.trigger, extra, args.files).awaitTermination()
+        late = jobs.LateRows()
+        spark.streams.addListener(late)
+        beat = {"heartbeat": heartbeat_source(), "grace": args.heartbeat} if args.heartbeat else {}
+        query = jobs.start(spark, args.job, settings, source, args.trigger, extra, args.files, args.distinct, **beat)
+        query.awaitTermination()
+        print(f"rows left out as late: {late.counts.get(str(query.id), 0)}")
     elif args.command == "daily":
         daily.run_daily(spark, args.day, settings, with_cohorts=args.cohorts)
     elif args.command == "quality":

@@ -132,6 +132,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/eventlake/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The path as Hadoop's file systems know it, wherever it lies."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _folder(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making."""
+    place, files = _folder(spark, path)
+    files.delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
+    place, files = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
 def checkpoint_path(base: str, job: str) -> str:
     """The lasting checkpoint folder of a streaming job."""
     return f"{base.rstrip('/')}/{job}"

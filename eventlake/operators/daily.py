@@ -152,3 +152,17 @@ def hourly_moving_average(events: DataFrame, products: DataFrame | None = None,
     return summed.filter(F.col("events").isNotNull()).select(
         "category", "hour_start", "events", (F.col("total") / hours).alias("moving_avg")
     )
+
+
+def revenue_rollup(products: DataFrame, dimensions: Sequence[str] = ("category", "brand"), cube: bool = False) -> DataFrame:
+    """Events, purchases and revenue by all dimensions, by the leading ones, and in total.
+
+    `level` is the grouping id: a bit is set for each dimension that is summed over, which tells a subtotal
+    from a dimension that is null. The input is counted per product, so the copies that grouping sets make
+    of their rows are copies of a few counts and not of events. `cube` gives every combination instead.
+    """
+    grouped = products.cube(*dimensions) if cube else products.rollup(*dimensions)
+    return grouped.agg(
+        F.grouping_id().alias("level"), F.sum("events").alias("events"), F.sum("purchases").alias("purchases"),
+        F.sum("revenue").alias("revenue"),
+    )

@@ -44,6 +44,11 @@ def join_dimension(
     return salted_join(facts, dimension, key, how, hot_rows)
 
 
+def bucketed_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join two tables that were written in equal buckets by the key, bucket by bucket."""
+    return facts.join(dimension.hint("merge"), key, how)
+
+
 def salted_join(
     facts: DataFrame, dimension: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
 ) -> DataFrame:

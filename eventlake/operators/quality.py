@@ -23,6 +23,7 @@ class Rules:
     null_rate: tuple[float, float] = (1.0, 5.0)
     duplicate_rate: tuple[float, float] = (0.1, 1.0)
     volume_change: float = 50.0
+    orphan_rate: tuple[float, float] = (0.1, 1.0)
 
 
 class QualityGateError(RuntimeError):
@@ -30,7 +31,8 @@ class QualityGateError(RuntimeError):
 
 
 def quality_profile(
-    events: DataFrame, roles: EventRoles = EventRoles(), arrival: str | None = None
+    events: DataFrame, roles: EventRoles = EventRoles(), arrival: str | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """All figures the checks need, one row per day.
 
@@ -39,7 +41,8 @@ def quality_profile(
 
     Event ids are counted in a branch of their own: it shuffles ids only, where
     a distinct count next to the other aggregates would send them all along with
-    every id.
+    every id. With a product table, events of products that it lacks are counted: events per product and
+    day are counted first, so the table meets distinct ids and not events.
     """
     kind = F.col("event_type")
     bought = kind == roles.purchase
@@ -62,7 +65,15 @@ def quality_profile(
         events.groupBy("event_date", "event_id").agg(F.count("*").alias("copies"))
         .groupBy("event_date").agg(F.sum(F.col("copies") - 1).alias("duplicates"))
     )
-    return figures.join(ids.filter(F.col("event_date").isNotNull()), "event_date")
+    found = figures.join(ids.filter(F.col("event_date").isNotNull()), "event_date")
+    if products is None:
+        return found
+    sold = events.filter(F.col("product_id").isNotNull()).groupBy("event_date", "product_id").agg(F.count("*").alias("sold"))
+    known = products.select("product_id").filter(F.col("product_id").isNotNull()).distinct()
+    orphans = sold.join(known, "product_id", "left_anti").groupBy("event_date").agg(
+        F.sum("sold").alias("orphans"), F.count("*").alias("orphan_products")
+    )
+    return found.join(orphans, "event_date", "left").fillna(0, ["orphans", "orphan_products"])
 
 
 def _graded(rate: Column, limits: tuple[float, float]) -> Column:
@@ -88,7 +99,7 @@ def _check(
     return F.when(applies, row)
 
 
-def _checks(rules: Rules) -> list[Column]:
+def _checks(rules: Rules, with_products: bool = False) -> list[Column]:
     n, previous = F.col("n"), F.col("previous_n")
     has_rows = n > 0
     checks = [
@@ -132,6 +143,13 @@ def _checks(rules: Rules) -> list[Column]:
         "0 missing", missing, _text(missing, "/", purchases, " purchases missing amount"),
         has_rows & (purchases > 0),
     ))
+    if with_products:
+        orphans = F.col("orphans")
+        checks.append(_check(
+            "known_products", "consistency", _graded(ratio(orphans, n) * 100, rules.orphan_rate),
+            f"< {rules.orphan_rate[0]:g}%", percent_text(orphans, n, 2),
+            _text(orphans, " events of ", F.col("orphan_products"), " unknown products"), has_rows,
+        ))
     change = n - previous
     checks.append(_check(
         "volume_change", "freshness",
@@ -149,27 +167,28 @@ def quality_checks(
     roles: EventRoles = EventRoles(),
     table_name: str = "events",
     arrival: str | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Checks of one day, or of every calendar day from the first to the last.
 
-    A check that does not apply (no purchases, no day before) has no row.
+    A check that does not apply (no purchases, no day before, no product table) has no row.
     """
     if day is None:
-        days = with_missing_days(quality_profile(events, roles, arrival), "event_date")
+        days = with_missing_days(quality_profile(events, roles, arrival, products), "event_date")
     else:
         target = F.lit(day).cast("date")
         before = F.date_sub(target, 1)
         read = F.col("event_date").between(before, target)
         if arrival:
             read = read | (F.col("event_date").isNull() & F.col(arrival).between(before, target))
-        figures = quality_profile(events.filter(read), roles, arrival)
+        figures = quality_profile(events.filter(read), roles, arrival, products)
         asked = events.sparkSession.range(1).select(F.explode(F.array(before, target)).alias("event_date"))
         days = asked.join(figures, "event_date", "left")
     counted = days.withColumn("n", F.coalesce("n", F.lit(0)))
     judged = with_previous_day(counted, "event_date", ["n"]).withColumnRenamed("event_date", "check_date")
     if day is not None:
         judged = judged.filter(F.col("check_date") == F.lit(day).cast("date"))
-    each = judged.select("check_date", F.explode(F.array_compact(F.array(*_checks(rules)))).alias("c"))
+    each = judged.select("check_date", F.explode(F.array_compact(F.array(*_checks(rules, products is not None)))).alias("c"))
     return each.select("check_date", F.lit(table_name).alias("table_name"), "c.*")
 
 

@@ -96,6 +96,24 @@ def window_counts(events: DataFrame, size: str = "1 minute", watermark: str | No
     return _with_bounds(counted)
 
 
+def beating_counts(
+    events: DataFrame, beats: DataFrame, size: str = "1 minute", watermark: str | None = None, grace: str = "2 minutes"
+) -> DataFrame:
+    """Window counts that close in silence too: heartbeats move the watermark and count as no event.
+
+    A heartbeat carries the current time, and is set back by the `grace` that events may be on their way. A
+    window that holds heartbeats only has a count of 0.
+    """
+    back = F.col("event_timestamp") - F.expr(f"INTERVAL {grace}")
+    both = events.select("event_timestamp", F.lit(True).alias("is_event")).unionByName(
+        beats.select(back.alias("event_timestamp"), F.lit(False).alias("is_event"))
+    )
+    counted = _watermarked(both, watermark).groupBy(F.window("event_timestamp", size)).agg(
+        F.count_if("is_event").alias("event_count")
+    )
+    return _with_bounds(counted)
+
+
 def window_type_counts(events: DataFrame, size: str = "5 minutes", watermark: str | None = None) -> DataFrame:
     counted = _watermarked(events, watermark).groupBy(F.window("event_timestamp", size), "event_type").agg(
         F.count("*").alias("event_count")
@@ -118,6 +136,53 @@ def top_products(product_counts: DataFrame, k: int = 10) -> DataFrame:
     return product_counts.withColumn("rank", F.row_number().over(busiest)).filter(F.col("rank") <= k)
 
 
+def _visit_figures(roles: EventRoles) -> dict[str, Column]:
+    kind = F.col("event_type")
+    return {
+        "event_count": F.count("*"),
+        "view_count": F.count_if(kind == roles.view),
+        "cart_count": F.count_if(kind == roles.cart),
+        "purchase_count": F.count_if(kind == roles.purchase),
+        "revenue": F.sum(F.when(kind == roles.purchase, F.col("total_amount"))),
+    }
+
+
+def session_windows(
+    events: DataFrame, gap_seconds: int = 1800, key: str = "user_id", roles: EventRoles = EventRoles(),
+    watermark: str | None = None,
+) -> DataFrame:
+    """Visits: events of a user with less than the gap between them; a visit ends a gap after its last event.
+
+    A stream merges visits in its state and emits each once the watermark has passed its end. A batch first
+    counts events per user and stretch of a gap, as all events of such a stretch belong together; what is
+    put in order per user is at most one row per stretch, however many events there are. Rows without a
+    user or a time belong to no visit.
+    """
+    figures = _visit_figures(roles)
+    kept = events.filter(F.col(key).isNotNull() & F.col("event_timestamp").isNotNull())
+    if events.isStreaming:
+        span = F.session_window("event_timestamp", f"{gap_seconds} seconds")
+        found = _watermarked(kept, watermark).groupBy(span, key).agg(*[c.alias(n) for n, c in figures.items()])
+        return found.select(
+            key, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), *figures
+        )
+    stretch = F.floor(F.unix_seconds("event_timestamp") / gap_seconds)
+    parts = kept.groupBy(key, stretch.alias("_stretch")).agg(
+        F.min("event_timestamp").alias("_first"), F.max("event_timestamp").alias("_last"),
+        *[c.alias(n) for n, c in figures.items()],
+    )
+    in_order = W.partitionBy(key).orderBy("_stretch")
+    gap = F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    before = F.lag("_last").over(in_order)
+    numbered = parts.withColumn("_starts", F.when(F.col("_first") < before + gap, 0).otherwise(1)).withColumn(
+        "_visit", F.sum("_starts").over(in_order)
+    )
+    return numbered.groupBy(key, "_visit").agg(
+        F.min("_first").alias("session_start"), (F.max("_last") + gap).alias("session_end"),
+        *[F.sum(n).alias(n) for n in figures],
+    ).drop("_visit")
+
+
 def with_audit(metrics: DataFrame) -> DataFrame:
     """Add the write time and the day that the table is partitioned by."""
     return metrics.withColumns({

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +99,21 @@ def run_searches(store: TableStore, day: str) -> None:
     })
 
 
+def _bring_up_to_date(store: TableStore, weeks: list[date]) -> None:
+    """The user-weeks of these weeks anew: one job reads and writes them all, other weeks are not read."""
+    parts = store.by_partition()
+    in_weeks = F.col("event_date").isin([week + timedelta(days=i) for week in weeks for i in range(7)])
+    seen = cohort.user_weeks(parts.read("events").filter(in_weeks), store.settings.roles).persist()
+    try:
+        parts.overwrite_partitions(seen, "user_weeks")
+        there = {row["activity_week"] for row in seen.select("activity_week").distinct().collect()}
+        for week in sorted(set(weeks) - there):  # no row is left
+            parts.overwrite_partition(seen.limit(0), "user_weeks", "activity_week", week.isoformat())
+    finally:
+        seen.unpersist()
+    store.spark.catalog.refreshTable(store.full_name("user_weeks"))
+
+
 def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame:
     """Retention as of the day.
 
@@ -120,10 +135,9 @@ def run_cohorts(store: TableStore, day: str, rebuild: bool = False) -> DataFrame
         either = days.alias("a").join(known.alias("b"), "event_date", "full")
         same = F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.changed").eqNullSafe(F.col("b.changed"))
         week = F.date_trunc("week", "event_date").cast("date").alias("week")
-        for row in either.filter(~same).select(week).distinct().orderBy("week").collect():
-            in_week = F.col("event_date").between(F.lit(row["week"]), F.lit(row["week"] + timedelta(days=6)))
-            seen = cohort.user_weeks(events.filter(in_week), roles)
-            store.overwrite_partition(seen, "user_weeks", "activity_week", row["week"].isoformat())
+        weeks = [row["week"] for row in either.filter(~same).select(week).distinct().collect()]
+        if weeks:
+            _bring_up_to_date(store, weeks)
     store.overwrite(days, "cohort_days")
     active = store.read("user_weeks").filter(F.col("first_day") <= target)
     store.overwrite(

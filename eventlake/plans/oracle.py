@@ -255,6 +255,21 @@ FAULTY_CHECKS = CHECKS.replace(ENR, FAULTY).replace(
     "CAST(event_timestamp AS DATE) <> event_date", "CAST(event_timestamp AS DATE) <> arrival_date"
 )
 
+# Products 3, 32, 61, ... are not listed.
+ORPHAN = "product_id IS NOT NULL AND (product_id % 29 = 3 OR product_id NOT IN (SELECT p_partkey FROM part))"
+FAULTY_CHECKS += f""",
+orphaned AS (
+  SELECT event_date AS check_date, count(*) AS n, count(*) FILTER ({ORPHAN}) AS orphans,
+    count(DISTINCT CASE WHEN {ORPHAN} THEN product_id END) AS unknown
+  FROM enr WHERE event_date IS NOT NULL GROUP BY 1),
+all_checks AS (
+  SELECT * FROM checks UNION ALL
+  SELECT check_date, 'events', 'known_products', 'consistency',
+    CASE WHEN 100.0 * orphans / n < 0.1 THEN 'PASS' WHEN 100.0 * orphans / n < 1 THEN 'WARN' ELSE 'FAIL' END, '< 0.1%',
+    {_percent_text("orphans", "n", 2)}, orphans || ' events of ' || unknown || ' unknown products'
+  FROM orphaned)
+"""
+
 SESS = """
 sess AS (
   SELECT o_orderkey AS k, 'sess_' || o_orderkey AS session_id, 'u_' || o_custkey AS user_id,
@@ -408,6 +423,40 @@ pd AS (
 """
 STREAM_METRICS = _windows("ingested", "5 minutes")
 
+
+def _followed(source: str) -> str:
+    return f"""
+      SELECT v.user_id, v.product_id, v.event_id AS first_id, p.event_id AS then_id, v.event_timestamp AS first_at,
+        p.event_timestamp AS then_at, epoch_us(p.event_timestamp) - epoch_us(v.event_timestamp) AS micros_between
+      FROM {source} v JOIN {source} p ON v.user_id = p.user_id AND v.product_id = p.product_id
+        AND v.event_type = 'view' AND p.event_type = 'purchase'
+        AND p.event_timestamp BETWEEN v.event_timestamp AND v.event_timestamp + INTERVAL '7 days'"""
+
+
+def _visits(source: str, revenue: str) -> str:
+    return f"""
+      marked AS (
+        SELECT *, CASE WHEN event_timestamp < lag(event_timestamp) OVER w + INTERVAL '12 hours' THEN 0 ELSE 1 END AS starts
+        FROM {source} WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)),
+      visits AS (
+        SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS visit FROM marked)
+      SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL '12 hours' AS session_end,
+        count(*) AS event_count, {VIEW} AS view_count, {CART} AS cart_count, {BUY} AS purchase_count, {revenue} AS revenue
+      FROM visits GROUP BY user_id, visit"""
+
+
+# Each distinct word with the nearest word of the product names.
+REPAIRS = """
+terms AS (
+  SELECT term, count(*) AS weight FROM (SELECT unnest(regexp_split_to_array(lower(p_name), '[^\\pL\\pN]+')) AS term FROM part)
+  WHERE term <> '' GROUP BY 1),
+asked_words AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(query), '\\s+')) AS word FROM (SELECT DISTINCT query FROM asked)),
+repairs AS (
+  SELECT word, term, CAST(levenshtein(word, term) AS INTEGER) AS distance FROM asked_words, terms
+  WHERE word <> '' AND levenshtein(word, term) <= CASE WHEN length(word) < 3 THEN 0 WHEN length(word) < 6 THEN 1 ELSE 2 END
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY levenshtein(word, term), weight DESC, term) = 1)
+"""
+
 SQL = {
     "ingest_events": f"WITH {INGESTED_EVENTS} SELECT * FROM ingested",
     "ingest_sessions": f"WITH {SESS} {SESSIONS}",
@@ -451,6 +500,39 @@ SQL = {
       SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM enr""",
     "event_product_join_salted": f"""WITH {ENR}
       SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM enr""",
+    "event_product_join_bucketed": f"""WITH {ENR}
+      SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM enr""",
+    "revenue_rollup": f"""WITH {EV},
+      counted AS (SELECT product_id, count(*) AS events, {BUY} AS purchases, coalesce(sum(total_amount), 0) AS revenue
+        FROM ev GROUP BY 1),
+      listed AS (SELECT p_partkey AS product_id, p_type AS category, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand
+        FROM part WHERE p_partkey % 29 <> 3)
+      SELECT category, brand, GROUPING_ID(category, brand) AS level, CAST(sum(events) AS BIGINT) AS events,
+        CAST(sum(purchases) AS BIGINT) AS purchases, CAST(sum(revenue) AS DOUBLE) AS revenue
+      FROM counted LEFT JOIN listed USING (product_id) GROUP BY ROLLUP (category, brand)""",
+    "view_to_purchase": f"WITH {EV} {_followed('ev')}",
+    "purchase_last_view": f"""WITH {EV},
+      views AS (SELECT user_id, event_timestamp AS viewed_at, max(event_id) AS view_id, arg_max(product_id, event_id) AS viewed_product_id
+        FROM ev WHERE event_type = 'view' GROUP BY ALL),
+      bought AS (SELECT * FROM ev WHERE event_type = 'purchase')
+      SELECT event_id, bought.user_id, product_id, event_timestamp, view_id, viewed_product_id, viewed_at
+      FROM bought ASOF LEFT JOIN views ON bought.user_id = views.user_id AND bought.event_timestamp >= views.viewed_at""",
+    "event_campaigns": f"""WITH {EV},
+      begun AS (SELECT 'camp_' || p_partkey AS campaign_id, p_partkey % 4 AS segment, p_partkey AS k,
+        TIMESTAMP '2024-01-01' + to_seconds((p_partkey * 7 % 720) * 3600 + p_partkey % 60 * 60) AS starts_at FROM part),
+      campaigns AS (SELECT * EXCLUDE (k), starts_at + to_hours(CASE WHEN k % 50 = 0 THEN 480 ELSE k % 37 END) AS ends_at FROM begun)
+      SELECT campaign_id, segment, starts_at, ends_at, count(*) AS events, {BUY} AS purchases,
+        CAST(sum(total_amount) AS DOUBLE) AS revenue
+      FROM ev JOIN campaigns ON segment = product_id % 4 AND event_timestamp >= starts_at AND event_timestamp < ends_at
+      GROUP BY ALL""",
+    "sketched_users_daily": f"""WITH {EV}
+      SELECT event_date AS day, count(*) AS event_count, count(DISTINCT user_id) AS exact_users, true AS within_error
+      FROM ev GROUP BY 1""",
+    "sketched_users_kept": f"""WITH {EV},
+      seen AS (SELECT DISTINCT CAST(date_trunc('week', event_timestamp) AS DATE) AS week, user_id FROM ev)
+      SELECT a.week, count(*) AS exact_in_both, true AS within_error
+      FROM seen a JOIN seen b ON b.week = a.week + 7 AND a.user_id = b.user_id GROUP BY 1""",
+    "session_windows": f"WITH {EV}, {_visits('ev', 'CAST(sum(total_amount) AS DOUBLE)')}",
     "metrics_5min": f"WITH {EV}, w AS ({_windows('ev', '5 minutes')}) SELECT {METRIC_COLUMNS} FROM w",
     "metrics_category_5min": f"""WITH {ENR}, w AS ({_windows('enr', '5 minutes', 'category')})
       SELECT {CATEGORY_COLUMNS} FROM w""",
@@ -517,7 +599,7 @@ SQL = {
           AND b.keyword_type = 'negative'""",
     "quality_profile": f"WITH {PROFILE} SELECT * FROM profile",
     "quality_checks": f"WITH {CHECKS} SELECT * FROM checks",
-    "quality_checks_faulty": f"WITH {FAULTY_CHECKS} SELECT * FROM checks",
+    "quality_checks_faulty": f"WITH {FAULTY_CHECKS} SELECT * FROM all_checks",
     "ingest_rejected": """
       SELECT CASE WHEN event_id % 97 = 0 THEN 'malformed' WHEN event_id % 89 = 0 THEN 'no key' ELSE 'no time' END
         AS reason, count(*) AS n, min(event_id) AS first_event
@@ -552,6 +634,12 @@ SQL = {
     "popular_searches": f"""WITH {SEARCH}
       SELECT query_norm, count(*) AS searches FROM searches GROUP BY 1
       ORDER BY searches DESC, query_norm LIMIT 20""",
+    "search_repairs": f"WITH {SEARCH}, {REPAIRS} SELECT * FROM repairs",
+    "popular_searches_repaired": f"""WITH {SEARCH}, {REPAIRS},
+      repaired AS (SELECT query, string_agg(coalesce(repairs.term, w), ' ' ORDER BY place) AS query_norm
+        FROM word LEFT JOIN repairs ON repairs.word = w GROUP BY 1)
+      SELECT query_norm, count(*) AS searches FROM asked JOIN repaired USING (query) GROUP BY 1
+      ORDER BY searches DESC, query_norm LIMIT 20""",
     "serving_current_window": f"""WITH {EV}, w AS ({_windows('ev', '5 minutes')})
       SELECT window_start, total_events, total_revenue, unique_users, purchase_count
       FROM w ORDER BY window_start DESC LIMIT 1""",
@@ -612,6 +700,15 @@ SQL = {
       filled AS (SELECT cal.window_start, cal.window_start + INTERVAL '5 minutes' AS window_end,
         coalesce(event_count, 0) AS event_count FROM cal LEFT JOIN c USING (window_start))
       {_threshold('filled', 4, 1, 1.0, 1.0)}""",
+    "stream_purchase_outages": f"""WITH {EV}, every AS (
+        SELECT time_bucket(INTERVAL '5 minutes', event_timestamp) AS window_start,
+          time_bucket(INTERVAL '5 minutes', event_timestamp) + INTERVAL '5 minutes' AS window_end, {BUY} AS event_count
+        FROM ev GROUP BY ALL)
+      {_threshold('every', 10, 1, 1.0, 1.0, where=CLOSED)}""",
+    "stream_view_to_purchase": f"WITH {INGESTED_EVENTS} {_followed('ingested')}",
+    "stream_session_windows": f"""WITH {INGESTED_EVENTS}, {_visits('ingested', 'CAST(sum(total_amount) AS BIGINT)')}
+      HAVING max(event_timestamp) + INTERVAL '12 hours' <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'""",
+    "stream_ingest_distinct": f"WITH {INGESTED_EVENTS} SELECT * FROM ingested",
     "stream_rolling_alerts": f"WITH {EV}, {ROLLING} {ROLLING_ALERTS} {CLOSED}",
     "stream_top_products_daily": f"""WITH {INGESTED_EVENTS},
       ev AS (SELECT * FROM ingested), c AS ({_counts('1 day', ', product_id')})

@@ -15,11 +15,12 @@ from eventlake.config import Settings, Thresholds, scratch_path
 from eventlake.functions import text
 from eventlake.operators import (
     anomalies, cohort, daily, joins, layout, messages, quality, reviews, searches, serving, sessions,
-    windows,
+    sketches, spelling, timejoins, windows,
 )
 from eventlake.plans import daily as nightly
-from eventlake.plans.replay import replay, replay_batches, table_stream
+from eventlake.plans.replay import finish, replay, replay_batches, table_stream
 from eventlake.sources import samples
+from eventlake.sources.streams import json_lines_source, read_stream
 from eventlake.sources.tables import TableStore
 from eventlake.streaming import jobs, sinks
 
@@ -180,6 +181,110 @@ def event_product_join_salted(spark, sf):
     return joins.salted_join(_events(spark, sf), _products(spark, sf), "product_id", hot_rows=50)
 
 
+@register
+def event_product_join_bucketed(spark, sf):
+    """Both tables are kept in buckets by the product; the join of the buckets has no exchange."""
+    return joins.bucketed_join(*_bucketed(spark, sf), "product_id")
+
+
+@cache
+def _bucketed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Written once per session."""
+    place = scratch_path(spark, "buckets")
+    name = place[-32:]
+    for table, rows in (("events", _events(spark, sf)), ("products", _products(spark, sf))):
+        layout.write_bucketed(rows, f"{table}_{name}", "product_id", 8, f"{place}/{table}")
+    return spark.read.table(f"events_{name}"), spark.read.table(f"products_{name}")
+
+
+@register
+def revenue_rollup(spark, sf):
+    """By category and brand, by category, and in total."""
+    counted = daily.product_days(_events(spark, sf), samples.ROLES, keys=("product_id",))
+    products = samples.branded_products(samples.table(spark, sf, "part"))
+    named = joins.join_dimension(counted, products.select("product_id", "category", "brand"), "product_id", hot_rows=None)
+    return daily.revenue_rollup(named)
+
+
+# --- joins over time -----------------------------------------------------------
+
+WEEK_SECONDS = 7 * 24 * HOUR
+
+
+def _of_kind(events: DataFrame, kind: str) -> DataFrame:
+    return events.filter(F.col("event_type") == kind)
+
+
+@register
+def view_to_purchase(spark, sf):
+    """Views of a product that its user bought within a week."""
+    events = _events(spark, sf)
+    views, bought = (_of_kind(events, kind) for kind in (samples.ROLES.view, samples.ROLES.purchase))
+    return timejoins.followed_within(views, bought, ("user_id", "product_id"), WEEK_SECONDS)
+
+
+@register
+def purchase_last_view(spark, sf):
+    """Each purchase with what its user viewed last before it."""
+    events = _events(spark, sf)
+    bought = _of_kind(events, samples.ROLES.purchase).select("event_id", "user_id", "product_id", "event_timestamp")
+    views = _of_kind(events, samples.ROLES.view).select("event_id", "user_id", "product_id", "event_timestamp")
+    found = timejoins.last_before(bought, views, "user_id", 24 * HOUR)
+    return found.select(
+        "event_id", "user_id", "product_id", "event_timestamp", F.col("mark.event_id").alias("view_id"),
+        F.col("mark.product_id").alias("viewed_product_id"), F.col("mark.event_timestamp").alias("viewed_at"),
+    )
+
+
+@register
+def event_campaigns(spark, sf):
+    """Events of a campaign's segment while it ran, counted per campaign."""
+    events = _events(spark, sf).withColumn("segment", F.col("product_id") % 4)
+    met = timejoins.in_intervals(events, samples.campaigns(samples.table(spark, sf, "part")), "starts_at", "ends_at", ("segment",))
+    bought = F.col("event_type") == samples.ROLES.purchase
+    return met.groupBy("campaign_id", "segment", "starts_at", "ends_at").agg(
+        F.count("*").alias("events"), F.count_if(bought).alias("purchases"), F.sum("total_amount").alias("revenue")
+    )
+
+
+# --- distinct counts that add up -----------------------------------------------
+
+
+@cache
+def _stored_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Five-minute windows with their sketches, written once per session; all else is made from them."""
+    path = scratch_path(spark, "sketches")
+    sketches.window_sketches(_events(spark, sf)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _near(estimate, exact):
+    """Within three standard errors, or one for counts so small that this is less than one."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), 3 * sketches.RELATIVE_ERROR * F.col(exact))
+
+
+@register
+def sketched_users_daily(spark, sf):
+    """Users per day from stored windows, held against the exact count."""
+    by_day = sketches.merged(_stored_sketches(spark, sf), F.to_date("window_start"), "day")
+    exact = _events(spark, sf).groupBy(F.col("event_date").alias("day")).agg(F.count_distinct("user_id").alias("exact_users"))
+    found = sketches.estimated(by_day).join(exact, "day")
+    return found.select("day", "event_count", "exact_users", _near("unique_users", "exact_users").alias("within_error"))
+
+
+@register
+def sketched_users_kept(spark, sf):
+    """Users seen in a week and in the next, from stored windows, held against the exact figures."""
+    week = F.date_trunc("week", "window_start").cast("date")
+    found = sketches.kept_from_week_to_week(sketches.merged(_stored_sketches(spark, sf), week, "week"))
+    seen = _events(spark, sf).select(F.date_trunc("week", "event_timestamp").cast("date").alias("week"), "user_id").distinct()
+    both = seen.join(seen.select(F.date_sub("week", 7).alias("week"), "user_id"), ["week", "user_id"])
+    exact = both.groupBy("week").agg(F.count("*").alias("exact_in_both"))
+    return found.join(exact, "week").select(
+        "week", "exact_in_both", _near("users_in_both", "exact_in_both").alias("within_error"),
+    )
+
+
 # --- windows and alerts ------------------------------------------------------
 
 
@@ -221,6 +326,12 @@ def outage_alerts(spark, sf):
     return anomalies.threshold_alerts(filled, Thresholds(high=4, low=1, mean=1.0, stddev=1.0))
 
 
+@register
+def session_windows(spark, sf):
+    """Visits of users, parted by twelve hours without an event."""
+    return windows.session_windows(_events(spark, sf), 12 * HOUR, roles=samples.ROLES)
+
+
 @register
 def rolling_alerts(spark, sf):
     return anomalies.rolling_alerts(_hourly_counts(spark, sf), **ROLLING)
@@ -360,7 +471,10 @@ def quality_checks(spark, sf):
 @register
 def quality_checks_faulty(spark, sf):
     """Rows that carry faults: every check finds something."""
-    return quality.quality_checks(samples.faulty_events(_enriched(spark, sf)), roles=samples.ROLES, arrival="arrival_date")
+    return quality.quality_checks(
+        samples.faulty_events(_enriched(spark, sf)), roles=samples.ROLES, arrival="arrival_date",
+        products=samples.branded_products(samples.table(spark, sf, "part")),
+    )
 
 
 @register
@@ -407,6 +521,26 @@ def popular_searches(spark, sf):
     return searches.popular_searches(_searches(spark, sf))
 
 
+def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.vocabulary(samples.table(spark, sf, "part"), "p_name")
+
+
+@register
+def search_repairs(spark, sf):
+    """Distinct words of the searches that a word of the product names is near to."""
+    asked = _searches(spark, sf).select(F.explode(F.split(F.lower("query"), r"\s+")).alias("word"))
+    return spelling.repaired_words(asked, spelling.deletion_index(_vocabulary(spark, sf)))
+
+
+@register
+def popular_searches_repaired(spark, sf):
+    """The most frequent searches; distinct queries are repaired once, by the words of all product names."""
+    counted = _searches(spark, sf).groupBy("query").agg(F.count("*").alias("searches"))
+    known = spelling.repaired_queries(counted, spelling.deletion_index(_vocabulary(spark, sf)))
+    found = counted.join(known, "query").groupBy("query_norm").agg(F.sum("searches").alias("searches"))
+    return found.orderBy(F.desc("searches"), "query_norm").limit(20)
+
+
 # --- serving -----------------------------------------------------------------
 
 
@@ -617,6 +751,52 @@ def stream_outage_alerts(spark, sf):
     )
 
 
+@register
+def stream_purchase_outages(spark, sf):
+    """Five minutes without a purchase while other events go on: these are the heartbeat."""
+    times = jobs.metric_events(_event_messages(spark, sf))
+    beats = jobs.event_times(_event_messages(spark, sf))
+    counts = windows.beating_counts(
+        _of_kind(times, samples.ROLES.purchase), beats, "5 minutes", jobs.ALERT_WATERMARK, "0 minutes"
+    )
+    return replay_batches(
+        counts, "purchase-outages",
+        lambda run: sinks.multi_sink(lambda batch, i: sinks.path_sink(f"{run}/rows")(
+            anomalies.threshold_alerts(batch, Thresholds(high=10, low=1, mean=1.0, stddev=1.0)), i)), ALERT_SCHEMA,
+    )
+
+
+@register
+def stream_view_to_purchase(spark, sf):
+    times = jobs.metric_events(_event_messages(spark, sf)).select("event_id", "event_type", "user_id", "product_id", "event_timestamp")
+    again = jobs.metric_events(_event_messages(spark, sf)).select("event_id", "event_type", "user_id", "product_id", "event_timestamp")
+    views, bought = _of_kind(times, samples.ROLES.view), _of_kind(again, samples.ROLES.purchase)
+    found = timejoins.followed_within(views, bought, ("user_id", "product_id"), WEEK_SECONDS, jobs.METRICS_WATERMARK)
+    return replay(found, "view-to-purchase")
+
+
+@register
+def stream_session_windows(spark, sf):
+    found = windows.session_windows(_metric_stream(spark, sf), 12 * HOUR, roles=samples.ROLES, watermark=jobs.METRICS_WATERMARK)
+    return replay(found, "session-windows")
+
+
+@register
+def stream_ingest_distinct(spark, sf):
+    """Messages sent twice: within a batch, in a later one, and after a restart from the checkpoint."""
+    run = scratch_path(spark, "distinct")
+    sent = samples.event_messages(samples.table(spark, sf, "events"), "event_id AS number")
+    source = json_lines_source(f"{run}/topic", files_per_batch=2)
+    parts = ("number % 3 = 0 OR number % 5 = 0", "number % 3 <> 0 OR number % 7 = 0")
+    for which in parts:
+        # a third of the messages stand twice in one file
+        twice = sent.filter(which).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("number") % 3 == 0).cast("int"))))
+        twice.repartition(4, "number").select("value").write.mode("append").text(f"{run}/topic")
+        rows = jobs.distinct_events(jobs.parsed_events(read_stream(spark, source)), "60 days")
+        finish(sinks.append_to_path(rows, f"{run}/rows", f"{run}/checkpoint", trigger="once"))
+    return spark.read.schema(rows.schema).parquet(f"{run}/rows")
+
+
 @register
 def stream_rolling_alerts(spark, sf):
     return replay_batches(

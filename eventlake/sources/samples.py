@@ -106,6 +106,23 @@ def event_messages(raw: DataFrame, *beside: str) -> DataFrame:
     return raw.select(*map(F.expr, beside), F.to_json(body).alias("value"))
 
 
+def campaigns(parts: DataFrame) -> DataFrame:
+    """One campaign per product for some hours of January 2024; every fiftieth lasts for weeks, some end at once."""
+    key = F.col("p_partkey")
+    start = F.timestamp_seconds(F.lit(1_704_067_200) + (key * 7 % 720) * 3600 + key % 60 * 60)
+    hours = F.when(key % 50 == 0, 24 * 20).otherwise(key % 37)
+    return parts.select(
+        F.concat(F.lit("camp_"), key).alias("campaign_id"), (key % 4).alias("segment"), start.alias("starts_at"),
+        F.timestamp_seconds(F.unix_seconds(start) + hours * 3600).alias("ends_at"),
+    )
+
+
+def branded_products(parts: DataFrame) -> DataFrame:
+    """Products of which some have no brand, and some are not listed at all."""
+    known = products(parts).filter("product_id % 29 <> 3")
+    return known.withColumn("brand", F.when(F.col("product_id") % 7 != 0, F.col("brand")))
+
+
 def faulty_event_messages(raw: DataFrame) -> DataFrame:
     """Event messages with faults that follow from the event's number: cut off, without key, without time."""
     value = (

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,15 @@ def json_lines_source(path: str, files_per_batch: int | None = None) -> Source:
     return Source("text", options, path)
 
 
+def heartbeat_source(rows_per_second: int = 1) -> Source:
+    """The current time, again and again. After a stop the missed seconds come first."""
+    return Source("rate", {"rowsPerSecond": str(rows_per_second)})
+
+
+def read_heartbeats(spark: SparkSession, source: Source) -> DataFrame:
+    return read_stream(spark, source).select(F.col("timestamp").alias("event_timestamp"))
+
+
 def read_stream(spark: SparkSession, source: Source) -> DataFrame:
     reader = spark.readStream.format(source.format).options(**source.options)
     if source.schema:

@@ -47,6 +47,27 @@ class TableStore:
     def overwrite_day(self, df: DataFrame, name: str, column: str, day: str) -> None:
         self.overwrite_partition(df, name, column, day)
 
+    def overwrite_partitions(self, df: DataFrame, name: str) -> None:
+        """Replace every partition that the rows have a row for, in one job; the others stay (see `by_partition`)."""
+        rows = df.select(*self.columns(name))
+        if self.settings.provider == "iceberg":
+            rows.writeTo(self.full_name(name)).overwritePartitions()
+        else:
+            rows.write.insertInto(self.full_name(name), overwrite=True)
+
+    def by_partition(self) -> TableStore:
+        """The same tables in a session of their own, in which an overwrite replaces single partitions.
+
+        The mode belongs to a session, and jobs beside this one rely on the other.
+        """
+        session = self.spark.newSession()
+        for key, value in (
+            ("spark.sql.session.timeZone", self.spark.conf.get("spark.sql.session.timeZone")),
+            ("spark.sql.sources.partitionOverwriteMode", "dynamic"),
+        ):
+            session.conf.set(key, value)
+        return TableStore(session, self.settings)
+
     def overwrite(self, df: DataFrame, name: str) -> None:
         """Replace the whole table."""
         select = df.select(*self.columns(name))

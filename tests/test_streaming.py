@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from eventlake.config import Settings, Thresholds
-from eventlake.operators import anomalies, windows
-from eventlake.sources.streams import json_lines_source, read_stream
+from eventlake.operators import anomalies, timejoins, windows
+from eventlake.sources.streams import Source, json_lines_source, read_stream
 from eventlake.sources.tables import TableStore
 from eventlake.streaming import jobs, sinks
 
@@ -262,3 +262,116 @@ def test_rejected_messages_are_kept_with_their_reason(spark, feed, lake):
 def test_unknown_job(spark, feed, lake):
     with pytest.raises(ValueError, match="unknown job"):
         jobs.start(spark, "nothing", lake, feed.source(), "once")
+
+
+def test_silence_raises_an_alert_before_any_event_comes(spark, feed, lake):
+    """Ten minutes without an event: only the clock goes on."""
+    feed.add(*[message(i, f"10:00:{i % 60:02}") for i in range(300)])
+    clock = Source("rate-micro-batch", {
+        "rowsPerBatch": "6", "startTimestamp": "1704103200000", "advanceMillisPerBatch": "60000",  # 10:00 on that day
+    })
+    query = jobs.start(spark, "alerts", lake, feed.source(), None, heartbeat=clock, grace="1 minute")
+    try:
+        deadline = time.monotonic() + 120
+        found = []
+        while len(found) < 10 and time.monotonic() < deadline:
+            time.sleep(1)
+            spark.catalog.refreshTable(TableStore(spark, lake).full_name("anomaly_alerts"))
+            found = rows_of(TableStore(spark, lake).read("anomaly_alerts").filter("event_count = 0"), "window_start", "anomaly_type")
+    finally:
+        query.stop()
+    assert len(found) >= 10 and {r[1] for r in found} == {"Traffic Drop"}
+    # from the minute after the events on, none left out and none judged twice; none from before the start
+    minutes = sorted(r[0].minute + 60 * r[0].hour for r in found)
+    assert minutes == list(range(601, 601 + len(minutes)))
+
+
+def test_heartbeat_and_distinct_are_for_their_jobs_only(spark, feed, lake):
+    with pytest.raises(ValueError, match="heartbeat"):
+        jobs.start(spark, "metrics", lake, feed.source(), "once", heartbeat=feed.source())
+    with pytest.raises(ValueError, match="repeats"):
+        jobs.start(spark, "metrics", lake, feed.source(), "once", distinct="1 hour")
+
+
+def test_messages_sent_again_are_kept_once(spark, feed, lake):
+    def run_distinct():
+        query = jobs.start(spark, "events", lake, feed.source(), "once", distinct="1 hour")
+        query.awaitTermination()
+        return query
+
+    feed.add(message(1, "10:00:00"), message(1, "10:00:00"), message(2, "10:01:00"))
+    feed.add(message(1, "10:00:00"), message(3, "10:10:00"))
+    run_distinct()
+    feed.add(message(3, "10:10:00"), message(2, "10:01:00"), message(4, "10:20:00"))  # after a restart
+    run_distinct()
+    found = TableStore(spark, lake).read("events")
+    assert rows_of(found, "event_id") == [("ev_1",), ("ev_2",), ("ev_3",), ("ev_4",)]
+    # an hour later the keys are forgotten
+    feed.add(message(5, "13:00:00"))
+    feed.add(message(6, "13:00:01"))
+    query = run_distinct()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+
+
+def test_state_of_the_interval_join_is_bounded(spark, feed, tmp_path):
+    for minute in range(0, 60, 5):
+        feed.add(message(minute, f"10:{minute:02}:00", user="u"), message(100 + minute, f"10:{minute:02}:30", "purchase", 5, user="u"))
+    events = jobs.metric_events(read_stream(spark, feed.source()))
+    again = jobs.metric_events(read_stream(spark, feed.source()))
+    found = timejoins.followed_within(
+        events.filter("event_type = 'view'"), again.filter("event_type = 'purchase'"), ("user_id",), 60, "1 minute"
+    )
+    out = str(tmp_path / "pairs")
+    query = sinks.append_to_path(found, out, str(tmp_path / "cp"), trigger="once")
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == 12
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) <= 8  # of 24 events and their copies
+
+
+def test_visits_in_a_stream_equal_those_of_a_batch(spark, feed, tmp_path):
+    for minute in (0, 20, 55, 59):
+        feed.add(message(minute, f"10:{minute:02}:00", user="u"), message(100 + minute, f"10:{minute:02}:30", "purchase", 5, user="v"))
+    feed.add(message(999, "14:00:00", user="w"))
+    events = jobs.metric_events(read_stream(spark, feed.source()))
+    out = str(tmp_path / "visits")
+    sinks.append_to_path(windows.session_windows(events, 1800, watermark="1 minute"), out, str(tmp_path / "cp"), trigger="once").awaitTermination()
+    batch = windows.session_windows(jobs.metric_events(spark.read.text(str(feed.path))), 1800).filter("user_id <> 'w'")
+    columns = ("user_id", "session_start", "session_end", "event_count", "revenue")
+    assert rows_of(spark.read.parquet(out), *columns) == rows_of(batch, *columns)
+    assert batch.count() == 4
+
+
+def minute_rows(spark, minutes, day=1):
+    """Closed windows of one batch from (minute after ten, events)."""
+    rows = [(f"2024-01-{day:02}T{10 + m // 60}:{m % 60:02}:00", n) for m, n in minutes]
+    start = F.col("at").cast("timestamp")
+    return spark.createDataFrame(rows, "at STRING, event_count LONG").select(
+        start.alias("window_start"), (start + F.expr("INTERVAL 1 MINUTE")).alias("window_end"), "event_count"
+    )
+
+
+def test_silent_minutes_are_history_and_old_days_are_removed(spark, tmp_path):
+    out, history = str(tmp_path / "alerts"), str(tmp_path / "history")
+    limits = {"lookback_seconds": 3600, "min_history": 5, "sigmas": 2.0}
+    sink = jobs.rolling_alert_sink(history, sinks.path_sink(out), size_seconds=60, **limits)
+    batches = [[(m, 50 + m % 2) for m in range(30)], [(90, 50)], [(91, 51)]]  # an hour of silence after the first
+    for batch_id, minutes in enumerate(batches):
+        for _ in range(2):  # delivered twice
+            sink(minute_rows(spark, minutes), batch_id)
+    # after an hour of no events, of which the history knows, fifty at once are a spike
+    spikes = rows_of(spark.read.parquet(out).filter("window_start >= '2024-01-01 11:30:00'"), "window_start", "anomaly_type")
+    assert [(s[0].minute, s[1]) for s in spikes] == [(30, "High Traffic Spike"), (31, "High Traffic Spike")]
+    kept = spark.read.parquet(history)
+    assert kept.select("window_start").distinct().count() == kept.count() == 92
+    for day in (2, 3, 5):
+        sink(minute_rows(spark, [(0, 50)], day), 40 + day)
+    kept = sorted(p.name for p in (tmp_path / "history").glob("day=*"))
+    assert kept[-1] == "day=2024-01-05" and len(kept) <= 3
+
+
+def test_lost_state_of_the_alert_job_is_none(spark, tmp_path):
+    out = str(tmp_path / "alerts")
+    sink = jobs.threshold_alert_sink(str(tmp_path / "state"), sinks.path_sink(out), Thresholds(), 60)
+    sink(minute_rows(spark, [(7, 1)]), 5)
+    assert rows_of(spark.read.parquet(out), "event_count") == [(1,)]
