@@ -28,9 +28,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage is cut, lost executors cost nothing."""
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The same, and its path, for tables that are removed when the next one has taken their place."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def fold_is(key: str, modulus: int, remainder: int) -> Column:
@@ -97,37 +102,66 @@ class _Rows(dict):
 class WordPool:
     """A worker's memory of what each word stands for: a run of numbers.
 
-    `compute` gives the runs of a list of new words, one behind the other, and their lengths. When
-    over `limit` words are held, all are forgotten.
+    `compute` gives the runs of a list of new words, one behind the other, and their lengths. When over
+    `limit` words or `most_bytes` are held, the half of the words that were asked for most is kept and the
+    rest is forgotten, to be computed again when it comes again.
     """
 
-    def __init__(self, compute, dtype, limit: int = 1_000_000):
-        self.compute, self.dtype, self.limit = compute, dtype, limit
+    ENTRY = 150  # bytes of a word's object and its place in the dictionary, besides its letters
+
+    def __init__(self, compute, dtype, limit: int = 1_000_000, most_bytes: int = 1 << 40):
+        self.compute, self.dtype, self.limit, self.most_bytes = compute, dtype, limit, most_bytes
         self.clear()
 
     def clear(self) -> None:
         self._rows = _Rows()
-        self.values = np.zeros(1 << 20, self.dtype)
-        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.values = np.zeros(1 << 16, self.dtype)
+        self.starts, self.lengths, self.asked = (np.zeros(1 << 14, np.int32) for _ in range(3))
+        self.used = self.held = 0
+
+    @staticmethod
+    def _grown(array: np.ndarray, least: int) -> np.ndarray:
+        """Room for `least` elements and a quarter more."""
+        out = np.zeros(least + least // 4, array.dtype)
+        out[: len(array)] = array
+        return out
+
+    def _forget(self) -> None:
+        count = len(self._rows)
+        kept = np.sort(np.argsort(-self.asked[:count], kind="stable")[: count // 2])
+        lengths, asked = self.lengths[kept], self.asked[kept] // 2
+        values = self.values[gather_runs(self.starts[kept], lengths)]
+        words = list(self._rows)
+        self.clear()
+        self._add([words[i] for i in kept.tolist()], values, lengths)
+        self.asked[: len(kept)] = asked
+
+    def _add(self, words: list, flat: np.ndarray, lengths: np.ndarray) -> None:
+        """Runs of words that are last in the dictionary, or not yet in it."""
+        for word in words:
+            self._rows[word]
+        self._rows.fresh = []
+        first, last = len(self._rows) - len(words), len(self._rows)
+        if self.used + len(flat) > len(self.values):
+            self.values = self._grown(self.values, self.used + len(flat))
+        if last > len(self.starts):
+            self.starts, self.lengths, self.asked = (self._grown(x, last) for x in (self.starts, self.lengths, self.asked))
+        self.values[self.used : self.used + len(flat)] = flat
+        self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first:last] = lengths
+        self.used += len(flat)
+        self.held += sum(map(len, words)) + self.ENTRY * len(words)
 
     def rows(self, words: list) -> np.ndarray:
         """The row of every word, good until the next call."""
-        if len(self._rows) > self.limit:
-            self.clear()
+        if len(self._rows) > self.limit or self.held > self.most_bytes:
+            self._forget()
         rows = np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words))
         fresh, self._rows.fresh = self._rows.fresh, []
         if fresh:
-            flat, lengths = self.compute(fresh)
-            first, last = len(self._rows) - len(fresh), len(self._rows)
-            while self.used + len(flat) > len(self.values):
-                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-            while last > len(self.starts):
-                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-            self.values[self.used : self.used + len(flat)] = flat
-            self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[first:last] = lengths
-            self.used += len(flat)
+            self._add(fresh, *self.compute(fresh))
+        if len(rows):
+            self.asked[: len(self._rows)] += np.bincount(rows, minlength=len(self._rows)).astype(np.int32)
         return rows
 
     def runs(self, words: list) -> np.ndarray:
@@ -140,7 +174,7 @@ def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of all elements of the runs (start, length), run after run."""
     total = int(lengths.sum())
     own = np.zeros(len(lengths), np.int64)
-    np.cumsum(lengths[:-1], out=own[1:])
+    np.cumsum(lengths[:-1], out=own[1:], dtype=np.int64)
     return np.arange(total) + np.repeat(starts - own, lengths)
 
 

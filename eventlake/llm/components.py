@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import written
+from eventlake.config import remove
+from eventlake.llm.common import written_at
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -17,10 +18,12 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     shared folder. The number of rounds grows with the logarithm of the longest path.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = written(edges, "links")
+    edges, path = written_at(edges, "links")
     state = _state(edges)
     for _ in range(rounds):
-        edges = written(_small_star(_large_star(edges)), "links")
+        edges, after = written_at(_small_star(_large_star(edges)), "links")
+        remove(links.sparkSession, path)  # nothing reads the round before any more
+        path = after
         before, state = state, _state(edges)
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

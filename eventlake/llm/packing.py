@@ -25,6 +25,7 @@ from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -38,14 +39,14 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 class WordEncoder:
     """Ids of texts by a lower-casing tokenizer that drops white space and never crosses it.
 
-    Words are encoded once per worker and kept; a text is the run of its words' ids. The tokenizer
-    also never merges letters with other characters, so the letters of a word and the punctuation
-    behind them are looked up apart when a new word is met.
+    A text is the run of its words' ids. The distinct words of a batch are looked up once each. The
+    tokenizer also never merges letters with other characters, so the letters of a word and the
+    punctuation behind them are looked up apart; what is found is kept per worker, up to a number of parts.
     """
 
     TAIL = b".,!?;:|*%$#&"
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,7 +55,6 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.parts = WordPool(self._encode_parts, np.uint32, limit)
-        self.pool = WordPool(self._learn, np.uint32, limit)
 
     def _split(self, word: bytes) -> tuple[bytes, bytes]:
         """Letters and the punctuation that ends the word, if it can be cut there."""
@@ -91,27 +91,35 @@ class WordEncoder:
         out[~of_letters] = np.fromiter(chain.from_iterable(other), np.uint32)
         return out, lengths
 
-    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [self._split(w) for w in words]
-        rows = self.parts.rows([p for pair in cut for p in pair if p])
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one behind the other, and how many each has."""
+        cut = [[p for p in self._split(w) if p] for w in words]
+        rows = self.parts.rows(list(chain.from_iterable(cut)))
         sizes = self.parts.lengths[rows]
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *((1 if not b else 2) for _, b in cut)])]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
         return self.parts.values[gather_runs(self.parts.starts[rows], sizes)], np.diff(ends)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text of any length."""
-        return np.concatenate([self.pool.runs(block.split()) for block in blocks(text.encode())])
+        return np.concatenate([self._encode_column(pa.array([b.decode()]))[0] for b in blocks(text.encode())])
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; new words of all of them are encoded together."""
+        """Ids of each text; the distinct words of all of them are encoded together."""
         if sum(map(len, texts)) > 4 << 20:
             return [self.encode(t) for t in texts]
-        words = [t.encode().split() for t in texts]
-        rows = self.pool.rows(list(chain.from_iterable(words)))
-        lengths = self.pool.lengths[rows]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, words)])]
-        flat = self.pool.values[gather_runs(self.pool.starts[rows], lengths)]
-        return [flat[i:j] for i, j in zip(ends, ends[1:])]
+        return self._encode_column(pa.array(texts, pa.string()))
+
+    def _encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        flat, lengths = self._encode_words(coded.dictionary.cast(pa.binary()).to_pylist())
+        starts = np.cumsum(lengths) - lengths
+        of_word = coded.indices.to_numpy()
+        sizes = lengths[of_word]
+        ids = flat[gather_runs(starts[of_word], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])]
+        return [ids[i:j] for i, j in zip(ends, ends[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}
