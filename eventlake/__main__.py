@@ -66,11 +66,12 @@ def _compare_layouts(spark, store: TableStore, path: str, rows: int) -> None:
     store.create("benchmark_results")
     store.append(timings, "benchmark_results")
     timings.show(20, truncate=False)
-    for kind in layout.LAYOUTS:
-        table = spark.read.parquet(f"{path}/{kind.name}")
-        days = (F.lit(parameters["day_from"]).cast("timestamp"), F.lit(parameters["day_to"]).cast("timestamp"))
-        touched = layout.files_touched(table, "event_timestamp", *days)
-        touched.select(F.lit(kind.name).alias("table_name"), "*").show(truncate=False)
+    days = tuple(F.lit(parameters[name]).cast("timestamp") for name in ("day_from", "day_to"))
+    product = (F.lit(parameters["product"]),) * 2
+    touched = layout.layout_files(spark, path, {"time_range": ("event_timestamp", *days), "product_lookup": ("product_id", *product)})
+    store.create("benchmark_files")
+    store.append(touched, "benchmark_files")
+    touched.show(truncate=False)
     layout.layout_report(timings).show(truncate=False)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -183,3 +184,14 @@ def files_touched(table: DataFrame, column: str, low: object, high: object) -> D
         F.sum("file_size").alias("bytes"),
         F.coalesce(F.sum(F.when(meets, F.col("file_size"))), F.lit(0)).alias("bytes_touched"),
     )
+
+
+def layout_files(spark: SparkSession, path: str, filters: Mapping[str, tuple], layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
+    """Files and bytes that each filter (query name -> column, low, high) touches on each layout, as stored with the timings."""
+    found = [
+        files_touched(spark.read.parquet(f"{path}/{layout.name}"), *bounds).select(
+            F.current_timestamp().alias("run_timestamp"), F.lit(query).alias("query_name"), F.lit(layout.name).alias("table_name"), "*"
+        )
+        for query, bounds in filters.items() for layout in layouts
+    ]
+    return reduce(DataFrame.unionByName, found)

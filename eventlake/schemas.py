@@ -275,6 +275,10 @@ TABLES = {
         """run_timestamp TIMESTAMP, query_name STRING, table_name STRING,
         execution_time_seconds DOUBLE, load_time_seconds DOUBLE""",
     ),
+    "benchmark_files": Table(
+        """run_timestamp TIMESTAMP, query_name STRING, table_name STRING,
+        files LONG, files_touched LONG, bytes LONG, bytes_touched LONG""",
+    ),
 }
 
 
