@@ -5,8 +5,9 @@ the matching quantile) of its widest dimension, until every leaf is one shard an
 bytes. Medians are found for all nodes of a level at once: weights are added up per node and bin of
 its dimension, the bin with the median is binned again, and only these few sums reach the driver.
 Where one value of a dimension is heavier than the tolerance, rows with that value are cut by a hash
-of the text, so that equal texts stay together; a group of equal texts is cut, by a hash of the id,
-only where it alone would throw the shards out of balance by more than `group_tolerance`.
+of the text, so that equal texts stay together; a group of equal texts is cut, by a hash of the number
+that each row is written with, only where it alone would throw the shards out of balance by more than
+`group_tolerance`. So rows that are equal in everything can be cut too.
 
 Defined results: a null text has the size of its overhead alone and the checksum of the empty text;
 null and repeated doc_ids are dealt like any others; an empty table gives no row; with fewer rows
@@ -68,17 +69,17 @@ class Node:
 
 
 def metadata(documents: DataFrame) -> DataFrame:
-    """doc_id, size, checksum, the dimensions of the tree and two hashes that break ties."""
+    """doc_id, size, checksum, the dimensions of the tree, a number per row and two hashes that break ties."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text)
     spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return documents.select(
-        "doc_id", (size + OVERHEAD).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+    return documents.withColumn("row", F.monotonically_increasing_id()).select(
+        "doc_id", "row", (size + OVERHEAD).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.log2(size + OVERHEAD).alias("log_size"),
         (size / F.greatest(F.length(text), F.lit(1))).alias("bytes_per_char"),
         (spaces / F.greatest(size, F.lit(1))).alias("spaces"),
         F.shiftrightunsigned(F.xxhash64(text), 11).cast("double").alias("text_hash"),
-        F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double").alias("id_hash"),
+        F.shiftrightunsigned(F.xxhash64("row"), 11).cast("double").alias("row_hash"),
     )
 
 
@@ -102,7 +103,7 @@ def tree(rows: DataFrame, shards: int, tolerance: float = 0.001, group_tolerance
                 node.cut = Cut([], DIMENSIONS[0], 0.0)
             else:
                 widest = max(DIMENSIONS, key=lambda d: (row[f"max_{d}"] - row[f"min_{d}"]) / extent[d])
-                node.keys = [widest, "text_hash", "id_hash"]
+                node.keys = [widest, "text_hash", "row_hash"]
                 node.low, node.high = row[f"min_{widest}"], row[f"max_{widest}"]
                 node.target = row["total"] * half / node.shards
         while active := [n for n in open_ if n.cut is None]:
@@ -165,17 +166,17 @@ def shard(documents: DataFrame, shards: int = 24, tolerance: float = 0.001, grou
     Slots are numbered in parts of about `slot_rows` rows, each of which starts where the parts
     before it in the shard end, so no task holds a shard.
     """
-    rows = written(metadata(documents), "metadata")
+    rows = written(metadata(documents.select("doc_id", "text")), "metadata")
     total = rows.count()
     parts = max(1, -(-total // (shards * slot_rows)))
     placed = rows.select(
-        "doc_id", "size", "text_crc32", tree(rows, shards, tolerance, group_tolerance).number().cast("int").alias("shard"),
-        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)).alias("part"),
+        "doc_id", "row", "size", "text_crc32", tree(rows, shards, tolerance, group_tolerance).number().cast("int").alias("shard"),
+        F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"),
     )
     counts = placed.groupBy("shard", "part").count()
     until = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("shard", "part", F.coalesce(F.sum("count").over(until), F.lit(0)).alias("begin"))
-    inside = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size", "row")
     numbered = placed.withColumn("at", F.row_number().over(inside) - 1)
     return numbered.join(begins, ["shard", "part"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("begin") + F.col("at")).cast("long").alias("slot")

@@ -49,6 +49,53 @@ def test_recall_and_exact_scores(spark, settings):
     assert hits / (10 * len(got)) >= 0.9
 
 
+def test_recall_on_the_whole_table(spark):
+    """The registered query with its own parameters, against brute force over all its queries."""
+    folder = SAMPLE_DIR.replace("sf0.001", "sf0.1")
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    vectors = {r["vec_id"]: np.array(r["embedding"], np.float64) for r in rows if r["embedding"] is not None}
+    ids, matrix = np.array(list(vectors)), np.array(list(vectors.values()))
+    got = defaultdict(set)
+    for r in queries.op5_neighbours(spark, folder).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    assert set(got) == {i for i in vectors if i % 20 == 0}
+    hits = 0
+    for query, found in got.items():
+        score = matrix @ vectors[query]
+        order = np.lexsort((ids, -score))
+        hits += len(found & set([i for i in ids[order].tolist() if i != query][:20]))
+    assert hits / (20 * len(got)) >= 0.9
+
+
+def test_rows_are_copied_to_the_portions_that_probe_them_only(spark, monkeypatch):
+    """Twice the rows and queries: about twice the rows that meet in cells, not four times."""
+    met = []
+    scan = neighbours.written
+
+    def noted(df, label):
+        out = scan(df, label)
+        if label == "portions":
+            met.append(out.agg(F.sum("portions")).first()[0])
+        return out
+
+    monkeypatch.setattr(neighbours, "written", noted)
+    rng = np.random.default_rng(4)
+    settings = neighbours.Settings(list_rows=50, cell_rows=100, query_rows=8, trial_queries=20)
+    for n in (1000, 2000):
+        centres = rng.normal(size=(n // 50, 16)) * 4
+        found = np.float32(centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 16)) * 0.1)
+        df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(found)], VECTOR)
+        neighbours.search(df, df.where("vec_id % 20 = 0"), k=5, settings=settings).count()
+    assert met[1] <= 3 * met[0]
+
+
+def test_ties_and_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0], 0)] + [(i, [0.5, 0.0], 0) for i in (9, 3, 7, 5)] + [(7, [0.5, 0.0], 0), (20, [0.5, 1.0], 0), (20, [0.5, 1.0], 0)]
+    df = spark.createDataFrame(rows, VECTOR)
+    got = [tuple(r) for r in neighbours.search(df, df.where("vec_id = 0"), k=3).collect()]
+    assert sorted(got) == [(0, 1, 3, 0.5), (0, 2, 5, 0.5), (0, 3, 7, 0.5)]
+
+
 def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 0), (20, [0.0, 2.0], 0), (7, [1.0, 1.0], 0)], VECTOR)
     rows = neighbours.search(df, df.where("vec_id % 20 = 0")).collect()
@@ -86,6 +133,19 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
     assert sum(of[20_000 + i] == of[20_001 + i] for i in range(0, 60, 2)) >= 29
 
 
+def test_rows_equal_in_everything_are_cut(spark):
+    """A third of all rows have the same id and text, others no id and the same text."""
+    rows = [(5, "again " * 20)] * 2000 + [(None, "none " * 10)] * 1000 + [(10 + i, "x" * (i % 200)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    found = sharding.shard(df, shards=24, slot_rows=100).collect()
+    check_shards(found, 24)
+    held = Counter()
+    for r in found:
+        held[r["shard"]] += r["size"]
+    mean = sum(held.values()) / 24
+    assert len(found) == 6000 and len(held) == 24 and max(held.values()) < 1.03 * mean and min(held.values()) > 0.97 * mean
+
+
 def test_shards_of_odd_rows(spark):
     rows = sharding.shard(odd_documents(spark), shards=24).collect()
     check_shards(rows, 24)
