@@ -70,5 +70,25 @@ FROM ranked JOIN subroots s USING (g) JOIN to_root f USING (row_id) JOIN tops t
 """
 
 
+# All pairs of a label; a component is what can be reached over links.
+SQL["op1_vector_links"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least_of.b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(least_of.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least_of ON least_of.a = vec_id
+"""
+
+
 def all_sql() -> dict[str, str]:
     return dict(SQL)

@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
-from cases import ODD_TEXTS, documents, no_documents, odd_documents
+from cases import ODD_TEXTS, documents, no_documents, odd_documents, same_as_sql
 from pyspark.sql import functions as F
 
 from eventlake.llm import simhash, vector_links
@@ -138,3 +138,22 @@ def test_every_group_keeps_one(spark):
     rows = [(None, first), (None, first), (None, second), (5, third), (5, fourth), (9, fourth.upper())]
     found = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(documents(spark, rows)).collect())
     assert found == sorted([(0, first), (0, second), (5, third), (5, fourth)])
+
+
+def test_pivots_of_clustered_vectors_leave_few_pairs():
+    """Two hundred clear clusters: under a twentieth of all pairs is compared, at any size of the table."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(200, 64))
+    x = vector_links._directions(centres[rng.integers(0, 200, 3000)] + rng.normal(size=(3000, 64)) * 0.05)
+    reach = float(np.sqrt(2 - 2 * 0.98)) + 1e-7
+    pivots = vector_links._pivots(x, 256, reach, 3.0)
+    far = np.sqrt(np.maximum(2 - 2 * x @ pivots.T, 0))
+    member = far <= far.min(axis=1, keepdims=True) + 2 * reach
+    home = np.bincount(far.argmin(axis=1), minlength=len(pivots))
+    assert (home * member.sum(axis=0)).sum() < 0.05 * len(x) ** 2 and member.sum(axis=1).mean() <= 3
+    # directions without clusters have no pivots that save anything
+    assert len(vector_links._pivots(vector_links._directions(rng.normal(size=(2000, 64))), 256, reach, 3.0)) == 1
+
+
+def test_vector_links_equal_their_sql_twin(spark):
+    same_as_sql(spark, "op1_vector_links")
