@@ -43,6 +43,7 @@ class Settings:
     recall: float = 0.97
     cell_rows: int = 8192
     query_rows: int = 4096
+    broadcast_cells: int = 1_000_000
     block: int = 16
     doubt: float = 2.1
     rounds: int = 8
@@ -185,16 +186,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "e
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # a row per list
     _lay_cells(index, sizes, s)
     shared = spark.sparkContext.broadcast(index)  # bounded by `most_lists` centroids
-    portions = max(1, -(-asked.count() // s.query_rows))
-
-    stored = listed.withColumn("portion", F.explode(F.sequence(F.lit(0), F.lit(portions - 1))))
 
     def deal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
         for b in batches:
             own, ids = b.column("list").to_numpy(), b.column("vec_id").to_numpy()
             cell = ix.cell_of[own] + ids % ix.parts[own]
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), *(b.column(n) for n in ("portion", "list", "vec_id", "v"))], names=["cell", "portion", "list", "vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), *(b.column(n) for n in ("list", "vec_id", "v"))], names=["cell", "list", "vec_id", "v"])
 
     def deal_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
@@ -208,13 +206,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, vector: str = "e
                 at.append(np.full(len(met), row))
                 cell.append(met)
             at, cell = np.concatenate(at), np.concatenate(cell).astype(np.int32)
-            taken = b.select(["portion", "vec_id", "v"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), *taken.columns], names=["cell", "portion", "vec_id", "v"])
+            taken = b.select(["vec_id", "v"]).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), *taken.columns], names=["cell", "vec_id", "v"])
 
     kind = dict(plain.dtypes)["v"]
-    left = stored.mapInArrow(deal_rows, f"cell int, portion int, list int, vec_id long, v {kind}")
-    right = asked.withColumn("portion", F.pmod(F.xxhash64("vec_id"), F.lit(portions)).cast("int")).mapInArrow(
-        deal_queries, f"cell int, portion int, vec_id long, v {kind}"
+    probing = written(asked.mapInArrow(deal_queries, f"cell int, vec_id long, v {kind}"), "probing")
+    # a cell is dealt into as many portions as the queries that probe it fill, so its rows are copied for no others
+    portions = written(probing.groupBy("cell").agg(F.ceil(F.count("*") / s.query_rows).cast("int").alias("portions")), "portions")
+    if portions.count() <= s.broadcast_cells:
+        portions = F.broadcast(portions)
+    left = listed.mapInArrow(deal_rows, f"cell int, list int, vec_id long, v {kind}").join(portions, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), "list", "vec_id", "v"
+    )
+    right = probing.join(portions, "cell").select(
+        "cell", F.pmod(F.xxhash64("vec_id"), F.col("portions")).cast("int").alias("portion"), "vec_id", "v"
     )
 
     def compare(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
