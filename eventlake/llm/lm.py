@@ -22,11 +22,12 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +50,10 @@ class Settings:
     warm_documents: int = 1500
     warm_bytes: int = 100_000
     every: int = 1
-    train_lanes: int = 64
-    train_window: int = 32
-    rate: float = 0.05
+    train_lanes: int = 256
+    train_window: int = 16
+    train_stretch: int = 512
+    rate: float = 0.12
     lanes: int = 256
     window: int = 64
     held_words: int = 250_000
@@ -87,6 +89,15 @@ def _tail(token: bytes, tails: int) -> int:
     return zlib.crc32(token[-2:]) % tails
 
 
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The tokens of all texts but their ends, the text of each, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = split.flatten()
+    real = pc.not_equal(flat, "")  # what stands before, behind or instead of all words
+    owner = np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())[real.to_numpy(zero_copy_only=False)]
+    return flat.filter(real), owner, np.bincount(owner, minlength=len(texts))
+
+
 def token_counts(documents: DataFrame, held_words: int) -> DataFrame:
     """token (the end is empty) and c, over all rows; counted per task before the shuffle."""
 
@@ -101,9 +112,10 @@ def token_counts(documents: DataFrame, held_words: int) -> DataFrame:
             return made
 
         for batch in small_batches(batches, "text", 2 << 20):
-            for text in batch.column("text").to_pylist():
-                for part in tokens(text):
-                    counted.update(part)
+            words, _, _ = _words(batch.column("text"))
+            found = words.value_counts()
+            counted.update(dict(zip(found.field("values").cast(pa.binary()).to_pylist(), found.field("counts").to_pylist())))
+            counted[END] += batch.num_rows
             if len(counted) > held_words:
                 yield flush()
         yield flush()
@@ -122,8 +134,13 @@ def _head_layout(known: list[tuple[bytes, int]], s: Settings) -> tuple[list[byte
     return words, Layout(len(words), cuts, s.tails, words.index(END))
 
 
-def fit(documents: DataFrame, learn: Column, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
-    """The model, and the written table of all token counts."""
+def fit(
+    documents: DataFrame, learn: Column, settings: Settings = Settings(), symbols_of: Callable[[Model], DataFrame] | None = None
+) -> tuple[Model, DataFrame]:
+    """The model, and the written table of all token counts.
+
+    `symbols_of` gives the `encoded` documents for a model, where they are used for more than training.
+    """
     s, spark = settings, documents.sparkSession
     training = documents.select("doc_id", "text", learn.alias("learn")).where("learn")
     counts = written(token_counts(training, s.held_words), "token_counts")
@@ -165,12 +182,24 @@ def fit(documents: DataFrame, learn: Column, settings: Settings = Settings()) ->
         _Known(zip(names, range(len(names)))), symbols, known_counts, np.log10(tail_n + tail_v + 1),
     )
     if model.tokens:
-        ended = of_known.get(END, 0)
-        model.network = _warm(training, model, ended)
-        model.network, model.trained = _averaged(training, model)
+        model.network = _warm(training, model, of_known.get(END, 0))
+        model.network, model.trained = _averaged(encoded(training, model, F.lit(True)) if symbols_of is None else symbols_of(model), model)
     return model, counts
 
 
+def fit_and_score(documents: DataFrame, learn: Column, *keep: Column, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
+    """The model of the documents that `learn` names, and the scores of all; texts are read and encoded once."""
+    tables = []
+
+    def symbols_of(model: Model) -> DataFrame:
+        tables.append(encoded(documents, model, learn, *keep))
+        return tables[0]
+
+    model, counts = fit(documents, learn, settings, symbols_of)
+    rows = tables[0] if tables else encoded(documents, model, learn, *keep)
+    return model, scored(rows, model, counts)
+
+
 class _Reader:
     """Texts as symbols."""
 
@@ -199,7 +228,7 @@ def _warm(training: DataFrame, model: Model, total: int) -> Network:
     s = model.settings
     sample = training.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= s.warm_bytes)
     texts = [r["text"] for r in drawn(sample, "doc_id", s.warm_documents, total).collect()]
-    reader, trainer = _Reader(model), Trainer(model.network.copy(), s.train_lanes, s.train_window, s.rate)
+    reader, trainer = _Reader(model), Trainer(model.network.copy(), s.train_lanes, s.train_window, s.rate, s.train_stretch)
     order = np.random.default_rng(s.seed).permutation(len(texts))
     for at in range(0, len(order), 300):
         trainer.feed([reader.text(texts[i]) for i in order[at : at + 300]])
@@ -207,22 +236,22 @@ def _warm(training: DataFrame, model: Model, total: int) -> Network:
     return trainer.net
 
 
-def _averaged(training: DataFrame, model: Model) -> tuple[Network, int]:
+def _averaged(rows: DataFrame, model: Model) -> tuple[Network, int]:
     """Every partition trains on from the warm network; the mean of all, weighted by their tokens, and these."""
-    s, spark = model.settings, training.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    chosen = training.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(s.every)) == 0)
+    s, spark = model.settings, rows.sparkSession
+    shared = spark.sparkContext.broadcast(model.network)
+    chosen = rows.where("learn").where(F.pmod(F.xxhash64("row", F.lit("train")), F.lit(s.every)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        reader, trainer = _Reader(m), Trainer(m.network.copy(), s.train_lanes, s.train_window, s.rate * 0.4)
-        for batch in small_batches(batches, "text", 1 << 20):
-            trainer.feed([reader.text(t) for t in batch.column("text").to_pylist()])
+        trainer = Trainer(shared.value.copy(), s.train_lanes, s.train_window, s.rate * 0.5, s.train_stretch)
+        for batch in batches:
+            for part in _parts(batch, "symbols", 500_000):
+                trainer.feed(part)
         trainer.feed([], last=True)
         values = trainer.net.flat().astype("<f4").tobytes() if trainer.tokens else b""
         yield pa.RecordBatch.from_arrays([pa.array([values], pa.binary()), pa.array([trainer.tokens], pa.int64())], names=["values", "n"])
 
-    trained = chosen.select("text").mapInArrow(run, "values binary, n long").where("n > 0")
+    trained = chosen.select("symbols").mapInArrow(run, "values binary, n long").where("n > 0")
 
     def weighted(row) -> tuple:
         return np.frombuffer(row["values"], "<f4").astype(np.float64) * row["n"], row["n"]
@@ -234,74 +263,118 @@ def _averaged(training: DataFrame, model: Model) -> tuple[Network, int]:
     return (model.network.with_flat(values / n) if n else model.network), n
 
 
-def score(documents: DataFrame, model: Model, counts: DataFrame, *keep: Column) -> DataFrame:
-    """doc_id, columns to keep, n_tokens, n_known, base_score and score of every row."""
-    s, spark = model.settings, documents.sparkSession
+def _parts(batch: pa.RecordBatch, name: str, most: int) -> Iterator[list[np.ndarray]]:
+    """The lists of a column as arrays, some at a time: about `most` numbers, or one list."""
+    column = batch.column(batch.schema.get_field_index(name))
+    ends = column.offsets.to_numpy()
+    flat = column.values.to_numpy(zero_copy_only=False)
+    place = (ends[1:] - ends[0]) // most
+    cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(column)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield [flat[ends[i] : ends[i + 1]] for i in range(start, stop)]
+
+
+FOUND = ("n_tokens", "n_known", "all_logs", "score_logs", "rare")
+
+
+def encoded(documents: DataFrame, model: Model, learn: Column, *keep: Column) -> DataFrame:
+    """A written table of all rows: doc_id, columns to keep, learn, the symbols of the text, and what no network
+    is needed for: n_tokens, n_known, sums of logs, and the tokens whose counts are to be looked up."""
+    spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    plain = documents.select("doc_id", "text", *keep)
+    plain = documents.select("doc_id", *keep, F.coalesce(learn, F.lit(False)).alias("learn"), "text")
     kept = [f for f in plain.schema.fields if f.name != "text"]
     arrow = "row long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = f"{arrow}, n_tokens long, n_known long, all_logs double, score_logs double, rare array<string>"
+    schema = f"{arrow}, n_tokens long, n_known long, all_logs double, score_logs double, rare array<string>, symbols array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        reader, scorer = _Reader(m), Scorer(m.network, s.lanes, s.window)
-        words = m.network.layout.words
-        logs = np.log10(m.counts + 1.0) if len(m.counts) else np.zeros(1)
+        reader, words = _Reader(m), m.network.layout.words
+        counts = np.append(m.counts, 0)  # the last for tokens that are not among the known
+        logs = np.log10(counts + 1.0)
+        end_row = reader.known[END]
         number = TaskContext.get().partitionId() << 33
-        waiting: dict[int, list] = {}
-
-        def finished(done: list[tuple[int, float]]) -> pa.RecordBatch | None:
-            if not done:
-                return None
-            out = []
-            for i, found in done:
-                info = waiting.pop(i)
-                out.append((i, *info[0], info[1], info[2], info[3], info[4] + found / np.log(10), info[5]))
-            cols = list(zip(*out))
-            kinds = [pa.int64(), *types, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(c, t) for c, t in zip(cols, kinds)]
-            arrays.append(pa.array(cols[-1], pa.list_(pa.binary())).cast(pa.list_(pa.string())))
-            return pa.RecordBatch.from_arrays(arrays, names=["row", *(f.name for f in kept), "n_tokens", "n_known", "all_logs", "score_logs", "rare"])
-
-        types = None
         for batch in small_batches(batches, "text", 2 << 20):
-            types = [batch.schema.field(f.name).type for f in kept]
-            values = zip(*(batch.column(f.name).to_pylist() for f in kept))
-            texts = []
-            for text, value in zip(batch.column("text").to_pylist(), values):
-                parts, rare = [], []
-                n = known = 0
-                all_logs = score_logs = 0.0
-                for part in tokens(text):
-                    rows = reader.rows(part)
-                    found = reader.symbols(part, rows)
-                    parts.append(found)
-                    own = np.where(rows >= 0, logs[rows], 0.0)
-                    tail = found >= words
-                    n += len(part)
-                    known += int((m.counts[rows[rows >= 0]] > 0).sum()) if len(m.counts) else 0
-                    all_logs += float(own.sum())
-                    score_logs += float(own[tail].sum() - m.tail_logs[found[tail] - words].sum())
-                    rare += [part[i] for i in np.flatnonzero(rows < 0)]
-                waiting[number] = [value, n, known, all_logs, score_logs, rare]
-                texts.append((number, np.concatenate(parts)))
-                number += 1
-            made = finished(scorer.feed(texts))
-            if made:
-                yield made
-        made = finished(scorer.feed([], last=True))
-        if made:
-            yield made
-
-    rows = written(plain.mapInArrow(run, schema), "scores")
+            flat, owner, sizes = _words(batch.column(batch.schema.get_field_index("text")))
+            coded = flat.dictionary_encode()
+            distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+            # every distinct word is looked up once
+            rows_of = reader.rows(distinct)
+            symbols_of = reader.symbols(distinct, rows_of) if distinct else np.zeros(0, np.int64)
+            word = coded.indices.to_numpy()
+            rows, symbols = rows_of[word], symbols_of[word]
+            texts = batch.num_rows
+
+            def summed(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+                return np.bincount(of, values, texts).astype(np.float64)  # of no words at all it would be whole numbers
+
+            tail, rare = symbols >= words, rows < 0
+            n = sizes + 1
+            known = summed(counts[rows] > 0, owner).astype(np.int64) + int(counts[end_row] > 0)
+            all_logs = summed(logs[rows], owner) + logs[end_row]
+            score_logs = summed(logs[rows[tail]] - m.tail_logs[symbols[tail] - words], owner[tail])
+            ends = np.cumsum(n)
+            whole = np.full(int(ends[-1]), m.network.layout.end, np.int32)
+            whole[np.arange(len(symbols)) + owner] = symbols
+            rare_ends = np.cumsum(np.bincount(owner[rare], minlength=texts))
+            rare_words = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], rare_ends]), pa.int32()), coded.dictionary.take(pa.array(word[rare]))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(number, number + texts)), *(batch.column(batch.schema.get_field_index(f.name)) for f in kept),
+                    pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(all_logs), pa.array(score_logs), rare_words,
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(whole)),
+                ],
+                names=["row", *(f.name for f in kept), *FOUND, "symbols"],
+            )
+            number += texts
+
+    return written(plain.mapInArrow(run, schema), "symbols")
+
+
+def score(documents: DataFrame, model: Model, counts: DataFrame, *keep: Column) -> DataFrame:
+    """doc_id, columns to keep, n_tokens, n_known, base_score and score of every row."""
+    return scored(encoded(documents, model, F.lit(False), *keep), model, counts)
+
+
+def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """The scores of rows that are `encoded`."""
+    s, spark = model.settings, rows.sparkSession
+    shared = spark.sparkContext.broadcast(model.network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value, s.lanes, s.window)
+        waiting: dict[int, int] = {}  # rows by their number in this task
+        count = 0
+
+        def finished(done: list[tuple[int, float]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([waiting.pop(i) for i, _ in done], pa.int64()), pa.array([log for _, log in done], pa.float64())],
+                names=["row", "network_log"],
+            )
+
+        for batch in batches:
+            numbers = iter(batch.column(0).to_pylist())
+            for part in _parts(batch, "symbols", 500_000):
+                own = range(count, count + len(part))
+                waiting.update(zip(own, numbers))
+                count += len(part)
+                yield finished(scorer.feed(list(zip(own, part))))
+        yield finished(scorer.feed([], last=True))
+
+    judged = rows.select("row", "symbols").mapInArrow(run, "row long, network_log double")
     logs = F.log10(F.col("c") + 1.0)
     rare = rows.select("row", F.explode("rare").alias("token")).join(counts, "token").groupBy("row").agg(
         F.sum(logs).alias("rare_logs"), F.count("*").alias("rare_known")
     )
     divided = float(np.log10(model.tokens + model.distinct + 1))
     more = F.coalesce("rare_logs", F.lit(0.0))
-    return rows.join(rare, "row", "left").select(
-        *(F.col(f"`{f.name}`") for f in kept), "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        (F.col("all_logs") + more - F.col("n_tokens") * divided).alias("base_score"), (F.col("score_logs") + more).alias("score"),
+    kept = [c for c in rows.columns if c not in ("row", "learn", "rare", "symbols", "all_logs", "score_logs", "n_tokens", "n_known")]
+    known = rows.select("row", *kept, "n_tokens", "n_known", "all_logs", "score_logs")
+    return known.join(judged, "row").join(rare, "row", "left").select(
+        *kept, "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("all_logs") + more - F.col("n_tokens") * divided).alias("base_score"),
+        (F.col("score_logs") + F.col("network_log") / float(np.log(10)) + more).alias("score"),
     )

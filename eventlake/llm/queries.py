@@ -32,8 +32,7 @@ def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = fold_is("doc_id", 7, 2)
-    model, counts = lm.fit(documents, ~held_out)
-    scored = lm.score(documents, model, counts, held_out.alias("held_out"))
+    model, scored = lm.fit_and_score(documents, ~held_out, held_out.alias("held_out"))
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -98,7 +98,7 @@ class Lanes:
     def add(self, texts: Iterator[tuple[int, np.ndarray]]) -> None:
         """Texts are symbols with the end; each goes to the lane with the least to do."""
         for number, symbols in sorted(texts, key=lambda t: -len(t[1])):
-            block = np.empty((4, len(symbols)), np.int64)
+            block = np.empty((4, len(symbols)), np.int32)
             block[0, 0], block[0, 1:] = self.end, symbols[:-1]
             block[1], block[2] = symbols, number
             block[3], block[3, 0] = 0, 1
@@ -108,7 +108,7 @@ class Lanes:
 
     def windows(self, all_of_them: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(lanes in use, 4 x steps x lanes); without all_of_them only while most lanes are full."""
-        rows = [np.concatenate(w, axis=1) if w else np.zeros((4, 0), np.int64) for w in self.waiting]
+        rows = [np.concatenate(w, axis=1) if w else np.zeros((4, 0), np.int32) for w in self.waiting]
         at = np.zeros(self.count, np.int64)
         while (left := np.maximum(self.held - at, 0)).any():
             full = left >= self.window
@@ -116,91 +116,127 @@ class Lanes:
                 break
             steps = self.window if full.any() else int(left.max())
             used = np.flatnonzero(left > 0)
-            made = np.empty((4, steps, len(used)), np.int64)
-            for k, lane in enumerate(used):
+            made = np.empty((len(used), 4, steps), np.int32)
+            for k, lane in enumerate(used.tolist()):
                 part = rows[lane][:, at[lane] : at[lane] + steps]
                 n = part.shape[1]
-                made[:, :n, k] = part
-                made[:, n:, k] = np.array([[self.end], [-1], [-1], [1]])  # nothing to score
+                made[k, :, :n] = part
+                if n < steps:
+                    made[k, :, n:] = np.array([[self.end], [-1], [-1], [1]])  # nothing to score
+            made = np.ascontiguousarray(made.transpose(1, 2, 0))
             at[used] += steps
             yield used, made
         self.waiting = [[r[:, a:]] if r.shape[1] > a else [] for r, a in zip(rows, at)]
         self.held = np.maximum(self.held - at, 0)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(0.5) * (np.tanh(np.float32(0.5) * x) + np.float32(1))
-
-
 def run(net: Network, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool = False):
     """States after every step, from steps x lanes inputs; with `keep` also what gradients need."""
     hidden = net.hidden
-    x = net.inputs[inputs]
+    half = np.float32(0.5)
+    # the gates are 0.5 + 0.5 tanh(x / 2): what can be halved beforehand is
+    table = net.inputs.copy()
+    table[:, : 2 * hidden] *= half
+    gates = net.gates * half
+    x = table[inputs]
+    xg, xc = x[:, :, : 2 * hidden], x[:, :, 2 * hidden :]
     states = np.empty((*inputs.shape, hidden), np.float32)
     kept = []
     going = (1 - first).astype(np.float32)[:, :, None]
-    resets = first.any(axis=1)
+    resets = first.any(axis=1).tolist()
     h = state
     for t in range(len(inputs)):
         if resets[t]:
             h = h * going[t]
-        both = _sigmoid(x[t, :, : 2 * hidden] + h @ net.gates)
+        both = h @ gates
+        both += xg[t]
+        np.tanh(both, out=both)
+        both *= half
+        both += half
         z, r = both[:, :hidden], both[:, hidden:]
         rh = r * h
-        c = np.tanh(x[t, :, 2 * hidden :] + rh @ net.candidate)
+        c = rh @ net.candidate
+        c += xc[t]
+        np.tanh(c, out=c)
         if keep:
             kept.append((h, both, rh, c))
-        h = h + z * (c - h)
-        states[t] = h
+        new = np.subtract(c, h, out=states[t])
+        new *= z
+        new += h
+        h = new
     return states, kept, going
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def log_probs(net: Network, states: np.ndarray, outputs: np.ndarray, own: np.ndarray, gradients: dict | None = None, per: int = 1) -> np.ndarray:
-    """Natural log probability of every output symbol; fills `gradients` of the loss / `per` if given."""
-    n = len(outputs)
-    logs = _log_softmax(states @ net.class_weights.T + net.class_bias)
+    """Natural log probability of every output symbol; fills `gradients` of the loss / `per` if given.
+
+    Outputs are put in the order of their classes, so a class is a slice. Every exponential is taken once:
+    the gradient is what the probability is made of.
+    """
+    n, words = len(outputs), net.layout.words
     kind = own[outputs]
-    found = logs[np.arange(n), kind].astype(np.float64)
+    order = np.argsort(kind, kind="stable")
+    states, outputs, kind = states[order], outputs[order], kind[order]
+    every = np.arange(n)
+
+    def part(s: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray, rows: np.ndarray):
+        """Log probabilities of the wanted outputs, and the slope of the loss by every logit."""
+        def exponentials(row_by_row: bool):
+            x = s @ weights.T
+            x += bias
+            x -= x.max(axis=1, keepdims=True) if row_by_row else x.max()
+            chosen = x[rows, wanted]
+            np.exp(x, out=x)
+            return x, chosen, x @ np.ones(x.shape[1], np.float32)
+
+        # logits of most rows lie close together: then the largest of all keeps every exponential in range
+        x, chosen, sums = exponentials(False)
+        if sums.min() < 1e-25:
+            x, chosen, sums = exponentials(True)
+        logs = chosen - np.log(sums)
+        if gradients is None:
+            return logs, None
+        x *= (1 / (sums * np.float32(per)))[:, None]
+        x[rows, wanted] -= np.float32(1 / per)
+        return logs, x
+
+    logs, slope = part(states, net.class_weights, net.class_bias, kind, every)
+    found = logs.astype(np.float64)
     if gradients is not None:
-        slope = np.exp(logs)
-        slope[np.arange(n), kind] -= 1
-        slope /= per
         gradients["class_weights"], gradients["class_bias"] = slope.T @ states, slope.sum(axis=0)
         back = slope @ net.class_weights
         gradients["word_weights"], gradients["word_bias"] = np.zeros_like(net.word_weights), np.zeros_like(net.word_bias)
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(len(net.layout.class_starts) + 1))
-    bounds = np.append(net.layout.class_starts, net.layout.words)
+    starts = net.layout.class_starts
+    ends = np.searchsorted(kind, np.arange(len(starts) + 1)).tolist()
+    bounds = np.append(starts, words).tolist()
     for c, (a, b) in enumerate(zip(bounds, bounds[1:])):
-        at = order[ends[c] : ends[c + 1]]
-        if not len(at) or b - a == 1:
+        low, high = ends[c], ends[c + 1]
+        if low == high or b - a == 1:
             continue
-        s = states[at]
-        logs = _log_softmax(s @ net.word_weights[a:b].T + net.word_bias[a:b])
-        word = outputs[at] - a
-        found[at] += logs[np.arange(len(at)), word]
+        s = states[low:high]
+        logs, slope = part(s, net.word_weights[a:b], net.word_bias[a:b], outputs[low:high] - a, every[: high - low])
+        found[low:high] += logs
         if gradients is not None:
-            slope = np.exp(logs)
-            slope[np.arange(len(at)), word] -= 1
-            slope /= per
             gradients["word_weights"][a:b] = slope.T @ s
             gradients["word_bias"][a:b] = slope.sum(axis=0)
-            back[at] += slope @ net.word_weights[a:b]
+            back[low:high] += slope @ net.word_weights[a:b]
+    out = np.empty(n)
+    out[order] = found
     if gradients is not None:
-        gradients["states"] = back
-    return found
+        gradients["states"] = np.empty_like(back)
+        gradients["states"][order] = back
+    return out
 
 
 class Trainer:
-    """Truncated backpropagation: gradients stop at the window's beginning, the state does not."""
+    """Truncated backpropagation: gradients stop at the window's beginning, the state does not.
+
+    Long texts are dealt out in stretches, all of which are trained on; a stretch begins without a state. So
+    no lane goes on with one long text when the others have run out.
+    """
 
-    def __init__(self, net: Network, lanes: int, window: int, rate: float):
-        self.net, self.rate = net, rate
+    def __init__(self, net: Network, lanes: int, window: int, rate: float, stretch: int = 1024):
+        self.net, self.rate, self.stretch = net, rate, stretch
         self.lanes = Lanes(lanes, window, net.layout.end)
         self.state = np.zeros((lanes, net.hidden), np.float32)
         self.squares = {n: np.full_like(getattr(net, n), 1e-4) for n in NAMES}
@@ -208,7 +244,8 @@ class Trainer:
         self.tokens, self.loss = 0, 0.0
 
     def feed(self, texts: Iterator[np.ndarray], last: bool = False) -> None:
-        self.lanes.add((i, t) for i, t in enumerate(texts))
+        parts = (t[i : i + self.stretch] for t in texts for i in range(0, len(t), self.stretch))
+        self.lanes.add((i, t) for i, t in enumerate(parts))
         for used, made in self.lanes.windows(last):
             self._step(used, made)
 
@@ -226,29 +263,44 @@ class Trainer:
         outer[real] = grads.pop("states")
         outer = outer.reshape(states.shape)
         dx = np.empty((*inputs.shape, 3 * hidden), np.float32)
-        d_gates, d_candidate = np.zeros_like(net.gates), np.zeros_like(net.candidate)
+        candidate, gates = net.candidate.T.copy(), net.gates.T.copy()
         dh = np.zeros_like(self.state[used])
         for t in range(len(inputs) - 1, -1, -1):
             h, both, rh, c = kept[t]
             z, r = both[:, :hidden], both[:, hidden:]
-            dh = dh + outer[t]
-            dc = dh * z * (1 - c * c)
-            drh = dc @ net.candidate.T
-            da = np.concatenate([dh * (c - h), drh * h], axis=1) * both * (1 - both)
-            d_candidate += rh.T @ dc
-            d_gates += h.T @ da
-            dx[t, :, : 2 * hidden], dx[t, :, 2 * hidden :] = da, dc
-            dh = (dh * (1 - z) + drh * r + da @ net.gates.T) * going[t]
-        grads["gates"], grads["candidate"] = d_gates, d_candidate
+            da, dc = dx[t, :, : 2 * hidden], dx[t, :, 2 * hidden :]
+            dh += outer[t]
+            np.multiply(dh, z, out=dc)
+            dc *= 1 - c * c
+            drh = dc @ candidate
+            c -= h
+            np.multiply(dh, c, out=da[:, :hidden])
+            np.multiply(drh, h, out=da[:, hidden:])
+            da *= both
+            da *= 1 - both
+            dh -= dh * z
+            drh *= r
+            dh += drh
+            dh += da @ gates
+            if first[t].any():
+                dh *= going[t]
+        # sums over all steps at once
+        before = np.concatenate([k[0] for k in kept])
+        flat_dx = dx.reshape(-1, 3 * hidden)
+        grads["gates"] = before.T @ flat_dx[:, : 2 * hidden]
+        grads["candidate"] = np.concatenate([k[2] for k in kept]).T @ flat_dx[:, 2 * hidden :]
         flat = inputs.ravel()
         order = np.argsort(flat, kind="stable")
-        rows, begins = np.unique(flat[order], return_index=True)
-        summed = np.add.reduceat(dx.reshape(-1, 3 * hidden)[order], begins, axis=0)
-        self.squares["inputs"][rows] += summed**2
-        net.inputs[rows] -= self.rate * summed / np.sqrt(self.squares["inputs"][rows] + 1e-12)
+        listed = flat[order]
+        begins = np.flatnonzero(np.diff(listed, prepend=-1))
+        rows = listed[begins]
+        summed = np.add.reduceat(flat_dx[order], begins, axis=0)
+        squares = self.squares["inputs"][rows] + summed * summed
+        self.squares["inputs"][rows] = squares
+        net.inputs[rows] -= np.float32(self.rate) * summed / np.sqrt(squares + np.float32(1e-12))
         for n, g in grads.items():
             self.squares[n] += g * g
-            getattr(net, n)[...] -= self.rate * g / np.sqrt(self.squares[n])
+            getattr(net, n)[...] -= np.float32(self.rate) * g / np.sqrt(self.squares[n])
 
 
 class Scorer:
