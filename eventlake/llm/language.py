@@ -37,7 +37,8 @@ class Settings:
 
     About `per_language` rows with an id of each language, drawn by a hash of the id, and `rows` in
     all train the model;
-    `languages` bounds the languages told apart, the most frequent first. Texts over `sample_words`
+    All languages are told apart; over `languages` of them is an error, as the column then holds no
+    languages. Of rows that repeat an id one is drawn. Texts over `sample_words`
     are left out of that sample. Prediction has no bound. Of every row held back, at most `runs` runs of
     each of the `lengths` are scored; a cut is at least `spread` standard deviations below their mean.
     """
@@ -49,7 +50,7 @@ class Settings:
     rate: float = 1.0
     per_language: int = 1000
     rows: int = 6000
-    languages: int = 256
+    languages: int = 4096
     sample_words: int = 20_000
     calibration: float = 0.2
     lost: float = 0.001
@@ -200,10 +201,12 @@ def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings(
     """A model from the rows with text and language; None if there are none."""
     s = settings
     rows = documents.select("doc_id", "text", F.col(lang).cast("string").alias("y")).where("text IS NOT NULL AND y IS NOT NULL")
-    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(s.languages).collect()}
+    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().limit(s.languages + 1).collect()}
     if not counts:
         return None
-    each = min(s.per_language, s.rows // len(counts))
+    if len(counts) > s.languages:
+        raise ValueError(f"over {s.languages} languages: the column does not hold languages")
+    each = max(1, min(s.per_language, s.rows // len(counts)))
     share = F.create_map([F.lit(v) for y, n in counts.items() for v in (y, min(1.0, each / n))])
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     # about `each` rows per language, `rows` in all
@@ -211,10 +214,13 @@ def fit(documents: DataFrame, lang: str = "lang", settings: Settings = Settings(
         F.xxhash64("doc_id").alias("h"), "doc_id", "y", "text"
     )
 
+    # one row per id, chosen before the shuffle: a repeated id brings one text and not all
+    one = F.min(F.struct(F.xxhash64("text", "y").alias("k"), "h", "y", "text"))
+    chosen = chosen.groupBy("doc_id").agg(one.alias("one")).select("one.h", "doc_id", "one.y", "one.text")
     longest = s.lengths[-1] * s.runs
 
     def encode(batches):
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             out = []
             for h, doc_id, y, text in zip(*columns(batch, "h", "doc_id", "y", "text")):
                 words = letter_words(text)
@@ -246,7 +252,7 @@ def _predicted(documents: DataFrame, model: Model | None, schema, build) -> Data
 
     def run(batches):
         predictor = Predictor(shared.value) if shared.value else None
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             texts = batch.column("text").to_pylist()
             none = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
             yield build(batch, *(predictor.predict(texts) if predictor else none))

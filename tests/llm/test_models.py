@@ -222,3 +222,33 @@ def test_network_learns_from_every_training_document(spark, chatter):
     df, held = documents(spark, chatter + [(None, "w1 w2 w3")]), fold_is("doc_id", 7, 2)
     model, _ = lm.fit(df, ~held, replace(SMALL, every=lm.Settings().every))
     assert model.trained == model.tokens > 0
+
+
+def test_a_fifth_language_gets_its_own_markers_and_cut():
+    rng = np.random.default_rng(1)
+    names = ["aa", "bb", "cc", "dd", "ee"]
+    common = [[f"{names[i % 5]}{k}" for k in rng.integers(0, 30, 12)] + ["shared"] for i in range(500)]
+    languages = [names[i % 5] if i % 7 else None for i in range(500)]
+    s = toxicity.Settings()
+    markers = toxicity.learn_markers(common, languages, s)
+    assert sorted(markers) == names and all(w.startswith(lang) for lang, own in markers.items() for w in own)
+    assert [toxicity.guess_language(c, markers) for c in common] == [names[i % 5] for i in range(500)]
+    assert toxicity.guess_language(["unknown"], markers) == "other" == toxicity.guess_language(["x"], {})
+    logits = np.concatenate([rng.normal(0, 1, 50), rng.normal(9, 1, 50)])
+    cuts = toxicity._cuts(logits, np.repeat([0.0, 1.0], 50), ["ee"] * 100, s)
+    assert 2 < cuts["ee"] < 7
+
+
+def test_one_row_per_repeated_id_reaches_the_driver(spark):
+    rows = [(1, f"repeated text number {i}", "en") for i in range(400)] + [(10 + i, f"some words here {i}", "en") for i in range(100)]
+    df = documents(spark, rows)
+    labels = spark.createDataFrame([(1, 1), *((10 + i, i % 2) for i in range(100))], "doc_id LONG, toxic INT")
+    sample = toxicity._sample(df, labels, "toxic", toxicity.Settings())
+    assert sorted(sample["doc_id"]) == [1, *range(10, 110)]
+
+
+def test_more_languages_than_there_are_is_an_error(spark):
+    df = documents(spark, [(i, f"text {i}", f"lang{i}") for i in range(30)])
+    with pytest.raises(ValueError, match="languages"):
+        language.fit(df, settings=language.Settings(languages=20))
+    assert len(language.fit(df, settings=language.Settings(languages=30, rows=3000)).languages) > 20
