@@ -1,4 +1,4 @@
-"""Joins over time: an event that another follows, the newest event before, events within intervals.
+"""Joins over time: an event that another follows, the newest event before, events within intervals and their totals.
 
 None of them is a range join in the plan. Time is cut into bins that take part in an equi-join, and the exact
 bounds are verified on what meets in a bin.
@@ -6,7 +6,7 @@ bounds are verified on what meets in a bin.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -123,10 +123,54 @@ def in_intervals(
     ))
     placed = events.filter(F.col("event_timestamp").isNotNull()).withColumn("_place", F.explode(own))
     same = [F.col(f"e.{k}") == F.col(f"i.{k}") for k in keys]
-    met = placed.alias("e").join(pieces.alias("i"), [
+    # pieces are far more than Catalyst estimates from the intervals' size: never broadcast them
+    met = placed.alias("e").join(pieces.alias("i").hint("merge"), [
         *same, F.col("e._place.level") == F.col("i._piece.level"), F.col("e._place.bin") == F.col("i._piece.bin"),
         F.col("e.event_timestamp") >= F.col(f"i.{start}"), F.col("e.event_timestamp") < F.col(f"i.{end}"),
     ])
     return met.select(
         *(F.col(f"e.{c}") for c in events.columns), *(F.col(f"i.{c}") for c in intervals.columns if c not in keys)
     )
+
+
+def totals_in_intervals(
+    events: DataFrame, intervals: DataFrame, start: str, end: str, keys: Sequence[str], totals: Mapping[str, Column],
+    stretch_seconds: int = 3600,
+) -> DataFrame:
+    """Sums over the events that lie in each interval (start included, end not), keys being equal.
+
+    No event meets an interval: the sum over an interval is the sum over all events before its end less that over
+    all before its start. Events are added up per moment and stand in one line of time with the bounds, cut into
+    stretches per key. Within a stretch the sum is a running value, and what a stretch begins with is a running
+    value over one row per key and stretch. So the work grows with events plus intervals, not with their pairs.
+    `totals` are numbers of an event, whole or decimal, as differences of doubles are not exact; nulls add nothing.
+    Equal intervals are one row, with their events as often as it occurs; one without events has sums of 0.
+    Intervals with a null bound, or that end before they start, are left out.
+    """
+    own = [f"_{n}" for n in totals]
+    added = events.select(*keys, F.col("event_timestamp").alias("_at"), *(v.alias(n) for n, v in zip(own, totals.values())))
+    added = added.groupBy(*keys, "_at").agg(*(F.sum(n).alias(n) for n in own))
+    row = F.struct(*(F.col(c) for c in intervals.columns))
+    bound = F.explode(F.array(*(F.struct(F.col(c).alias("at"), F.lit(sign).alias("sign")) for c, sign in ((start, -1), (end, 1)))))
+    bounds = (
+        intervals.filter(F.col(start) < F.col(end)).select(*keys, row.alias("_interval"), bound.alias("_bound"))
+        .select(*keys, "_interval", F.col("_bound.at").alias("_at"), F.col("_bound.sign").alias("_sign"))
+    )
+    line = added.unionByName(bounds, allowMissingColumns=True).dropna(subset=[*keys, "_at"]).withColumn(
+        "_stretch", F.floor(F.unix_seconds("_at") / stretch_seconds)
+    )
+    before = W.partitionBy(*keys).orderBy("_stretch").rowsBetween(W.unboundedPreceding, -1)
+    carried = line.groupBy(*keys, "_stretch").agg(*(F.sum(n).alias(n) for n in own)).select(
+        *keys, "_stretch", *(F.sum(n).over(before).alias(f"{n}_carried") for n in own)
+    )
+    # bounds stand before the events of their moment
+    inside = W.partitionBy(*keys, "_stretch").orderBy("_at", F.col("_sign").isNull()).rowsBetween(W.unboundedPreceding, 0)
+    here = line.select(*keys, "_stretch", "_interval", "_sign", *(F.sum(n).over(inside).alias(n) for n in own)).filter("_sign IS NOT NULL")
+    none = F.lit(0)
+
+    def signed(n: str) -> Column:
+        so_far = F.coalesce(F.col(n), none) + F.coalesce(F.col(f"{n}_carried"), none)
+        return F.sum(F.when(F.col("_sign") > 0, so_far).otherwise(-so_far))
+
+    found = here.join(carried, [*keys, "_stretch"]).groupBy("_interval")
+    return found.agg(*(signed(n).alias(n) for n in own)).select("_interval.*", *(F.col(f"_{n}").alias(n) for n in totals))

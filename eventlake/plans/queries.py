@@ -240,11 +240,12 @@ def purchase_last_view(spark, sf):
 def event_campaigns(spark, sf):
     """Events of a campaign's segment while it ran, counted per campaign."""
     events = _events(spark, sf).withColumn("segment", F.col("product_id") % 4)
-    met = timejoins.in_intervals(events, samples.campaigns(samples.table(spark, sf, "part")), "starts_at", "ends_at", ("segment",))
-    bought = F.col("event_type") == samples.ROLES.purchase
-    return met.groupBy("campaign_id", "segment", "starts_at", "ends_at").agg(
-        F.count("*").alias("events"), F.count_if(bought).alias("purchases"), F.sum("total_amount").alias("revenue")
+    bought, amount = F.col("event_type") == samples.ROLES.purchase, F.col("total_amount")
+    counted = timejoins.totals_in_intervals(
+        events, samples.campaigns(samples.table(spark, sf, "part")), "starts_at", "ends_at", ("segment",),
+        {"events": F.lit(1), "purchases": bought.cast("int"), "revenue": amount, "amounts": amount.isNotNull().cast("int")},
     )
+    return counted.filter("events > 0").withColumn("revenue", F.when(F.col("amounts") > 0, F.col("revenue"))).drop("amounts")
 
 
 # --- distinct counts that add up -----------------------------------------------

@@ -99,6 +99,37 @@ def test_in_intervals_equals_all_pairs(spark, busy, bin_seconds, fan, levels):
     assert rows_of(found, "event_id", "name") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("stretch", [1, 3600, 10**7])
+def test_totals_in_intervals_equal_all_pairs(spark, busy, stretch):
+    draw = random.Random(7)
+    spans = [(f"c{i}", START + timedelta(seconds=draw.randrange(-86_400, 5 * 86_400)), draw.choice([0, -5, 1, 30, 4000, 90_000, 10**7])) for i in range(40)]
+    rows = [(n, a, a + timedelta(seconds=s), f"p{i % 2}") for i, (n, a, s) in enumerate(spans)]
+    events = busy.collect()
+    at = [e.event_timestamp for e in events if e.event_timestamp and e.product_id == "p0"]
+    rows += [("start", at[0], at[0] + timedelta(seconds=1), "p0"), ("end", at[1] - timedelta(hours=5), at[1], "p0"), ("c1", *rows[1][1:])]
+    rows += [("open", None, START, "p0"), ("never", START, None, "p0"), ("no key", START, START + timedelta(days=9), None)]
+    intervals = spark.createDataFrame(rows, "name STRING, a TIMESTAMP, b TIMESTAMP, product_id STRING")
+    sums = {"n": F.lit(1), "paid": F.col("total_amount")}
+    found = timejoins.totals_in_intervals(busy, intervals, "a", "b", ("product_id",), sums, stretch)
+    expected = {}
+    for n, a, b, p in rows:
+        met = [e for e in events if a and b and e.event_timestamp and e.product_id == p and a <= e.event_timestamp < b]
+        if p and a and b and a < b:
+            old = expected.get(n, (0, 0))
+            expected[n] = (old[0] + len(met), old[1] + sum(e.total_amount or 0 for e in met))
+    assert {r.name: (r.n, r.paid) for r in found.collect()} == expected
+
+
+def test_campaigns_meet_no_event(spark):
+    """Events and campaigns are rows of one line of time: no join of the two, and nothing of either is broadcast."""
+    plan = plan_of(registry.all_queries()["event_campaigns"](spark, SAMPLE_DIR))
+    assert "Union" in plan and "_piece" not in plan
+    pieces = timejoins.in_intervals(
+        spark.createDataFrame([(START,)], "event_timestamp TIMESTAMP"), spark.createDataFrame([(START, START + timedelta(days=400))], "a TIMESTAMP, b TIMESTAMP"), "a", "b"
+    )
+    assert "SortMergeJoin" in plan_of(pieces) and "Broadcast" not in plan_of(pieces)
+
+
 def test_long_intervals_have_few_pieces(spark):
     span = spark.createDataFrame([(0, 24 * 365 * 3)], "low LONG, high LONG")  # three years of hours
     pieces = span.select(F.explode(timejoins._pieces(F.col("low") + 5, F.col("high"), 16, 3)).alias("p"))
