@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -44,6 +45,7 @@ QUERIES = {
         SELECT category, count(*) AS n, sum(price) AS total FROM {table} GROUP BY category
     """,
 }
+UNSORTED_PARTITIONS = 200  # default of spark.shuffle.sort.bypassMergeThreshold
 START_SECONDS = 1_609_459_200  # 2021-01-01T00:00:00Z
 
 
@@ -76,22 +78,31 @@ def _time_statistics(spark: SparkSession) -> Iterator[None]:
 
 
 def write_layouts(
-    df: DataFrame, path: str, layouts: Iterable[Layout] = LAYOUTS, files: int | None = None
+    df: DataFrame, path: str, layouts: Iterable[Layout] = LAYOUTS, files: int | None = None,
+    file_rows: int = 500_000, most_rows: int = 1_500_000,
 ) -> dict[str, float]:
     """Write each layout under the path; returns the seconds each took.
 
     Sorted layouts are range partitioned first, so every file covers a narrow
     key range of its own and a filter on the keys skips the others. Rows with
     equal keys are told apart by a hash, so that a key with a large share of all
-    rows is cut into several files too.
+    rows is cut into several files too. Without `files`, a file holds about
+    `file_rows` rows whatever the session's number of partitions is, so that a
+    task sorts in its memory. Up to UNSORTED_PARTITIONS the writing side of the
+    shuffle sorts nothing; larger tables have larger files first, of `most_rows`
+    rows at most, and only then more of them.
     """
-    seconds = {}
+    seconds, layouts = {}, list(layouts)
+    ranges = files
+    if not ranges and any(layout.sort_keys for layout in layouts):
+        rows = df.count()
+        ranges = max(1, min(math.ceil(rows / file_rows), UNSORTED_PARTITIONS), math.ceil(rows / most_rows))
     for layout in layouts:
         out = df
         if layout.sort_keys:
-            spread = df.withColumn("_spread", row_hash(df))
-            parts = [*([files] if files else []), *layout.sort_keys, "_spread"]
-            out = spread.repartitionByRange(*parts).sortWithinPartitions(*layout.sort_keys).drop("_spread")
+            # two bytes cut a key finely enough, and no more than these are carried through the shuffle
+            spread = df.withColumn("_spread", F.shiftright(row_hash(df), 48).cast("smallint"))
+            out = spread.repartitionByRange(ranges, *layout.sort_keys, "_spread").sortWithinPartitions(*layout.sort_keys).drop("_spread")
         elif files:
             out = df.repartition(files)
         started = time.perf_counter()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import day, rows_of
@@ -204,3 +205,16 @@ def test_layouts(spark, tmp_path):
     report = layout.layout_report(timings)
     assert report.count() == 4
     assert report.filter("best_layout IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("column", ["product_id", "event_timestamp"])
+def test_sorted_files_keep_their_size(spark, tmp_path, column):
+    """As many files as the rows ask for, also of one key, whatever the number of partitions of the session."""
+    hot = layout.synthetic_events(spark, 20_000).withColumn(column, F.min(column).over(W.partitionBy()))
+    kinds = [layout.Layout("by_it", (column,))]
+    layout.write_layouts(hot, str(tmp_path), kinds, file_rows=1_000)
+    per_file = spark.read.parquet(f"{tmp_path}/by_it").groupBy("_metadata.file_path").count()
+    assert per_file.count() == 20
+    assert per_file.agg(F.max("count")).first()[0] < 3_000
+    layout.write_layouts(hot.limit(0), str(tmp_path), kinds)
+    assert spark.read.parquet(f"{tmp_path}/by_it").count() == 0
