@@ -173,27 +173,34 @@ def layout_report(timings: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> Da
     })
 
 
+def _meets(column: str, low: Column, high: Column) -> Column:
+    """Whether the value range of a file meets a range, as an aggregate over its rows.
+
+    Its minimum is at most `high` if any value is, and its maximum at least `low` likewise. Counts are aggregated by
+    hash, whereas a minimum of strings would have every row sorted by its file.
+    """
+    return (F.count_if(F.col(column) <= high) > 0) & (F.count_if(F.col(column) >= low) > 0)
+
+
 def rows_met(table: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
     """All rows, and the rows within the range among the files whose value range meets it."""
-    inside = F.col(column).between(low, high)
     per_file = table.groupBy("_metadata.file_path").agg(
-        F.min(column).alias("low"), F.max(column).alias("high"), F.count("*").alias("n"), F.count_if(inside).alias("meets")
+        _meets(column, low, high).alias("touched"), F.count("*").alias("n"),
+        F.count_if(F.col(column).between(low, high)).alias("meets"),
     )
-    touched = (F.col("low") <= high) & (F.col("high") >= low)
-    return per_file.agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(touched, F.col("meets"))), F.lit(0)).alias("meets"))
+    return per_file.agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("touched"), F.col("meets"))), F.lit(0)).alias("meets"))
 
 
 def files_touched(table: DataFrame, column: str, low: object, high: object) -> DataFrame:
     """Files and bytes whose value range meets the filter range, against all of them."""
     per_file = table.groupBy("_metadata.file_path", "_metadata.file_size").agg(
-        F.min(column).alias("low"), F.max(column).alias("high")
+        _meets(column, F.lit(low), F.lit(high)).alias("touched")
     )
-    meets = (F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low))
     return per_file.agg(
         F.count("*").alias("files"),
-        F.count_if(meets).alias("files_touched"),
+        F.count_if("touched").alias("files_touched"),
         F.sum("file_size").alias("bytes"),
-        F.coalesce(F.sum(F.when(meets, F.col("file_size"))), F.lit(0)).alias("bytes_touched"),
+        F.coalesce(F.sum(F.when(F.col("touched"), F.col("file_size"))), F.lit(0)).alias("bytes_touched"),
     )
 
 

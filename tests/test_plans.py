@@ -207,6 +207,21 @@ def test_layouts(spark, tmp_path):
     assert report.filter("best_layout IS NULL").count() == 0
 
 
+def test_layouts_by_string_are_not_sorted_by_file(spark, tmp_path):
+    df = layout.synthetic_events(spark, 4_000)
+    layout.write_layouts(df, str(tmp_path), files=4)
+    for kind in layout.LAYOUTS:
+        table = spark.read.parquet(f"{tmp_path}/{kind.name}")
+        met = layout.rows_met(table, "product_id", F.lit("42"), F.lit("42"))
+        for found in (met, layout.files_touched(table, "product_id", "42", "42")):
+            assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+        assert tuple(met.first()) == (4_000, df.filter("product_id = '42'").count())
+        per_file = table.groupBy("_metadata.file_path").agg(F.min("product_id").alias("low"), F.max("product_id").alias("high"))
+        for low, high in (("42", "42"), ("", "0"), ("zz", "zzz"), ("3", "30")):
+            touched = layout.files_touched(table, "product_id", low, high).first()
+            assert touched["files_touched"] == per_file.filter(f"low <= '{high}' AND high >= '{low}'").count()
+
+
 @pytest.mark.parametrize("column", ["product_id", "event_timestamp"])
 def test_sorted_files_keep_their_size(spark, tmp_path, column):
     """As many files as the rows ask for, also of one key, whatever the number of partitions of the session."""
