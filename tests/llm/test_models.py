@@ -247,6 +247,33 @@ def test_one_row_per_repeated_id_reaches_the_driver(spark):
     assert sorted(sample["doc_id"]) == [1, *range(10, 110)]
 
 
+def test_every_labelled_row_teaches_toxicity(spark):
+    """Words that no row of the warm-up holds are learnt, and markers are those of all rows."""
+    bad = [f"bad{chr(97 + i)}" for i in range(10)]
+    texts = {i: f"{bad[i % 10] if i % 2 else 'fine'} words here " + ("un deux" if i % 3 else "one two") for i in range(400)}
+    df = documents(spark, [(i, t, "fr" if i % 3 else "en") for i, t in texts.items()])
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id LONG, toxic INT")
+    s = toxicity.Settings(positives=2, negatives=2, pass_rate=0.1)
+    warm = {w for d in toxicity._sample(df, labels, "toxic", s)["doc_id"] for w in texts[d].split()}
+    model = toxicity.fit(df, labels, settings=s)
+    # odd ids hold only five of the ten words
+    assert len(warm & set(bad)) <= 2
+    assert all(model.table[toxicity._buckets(w, s)[0]].any() for w in {texts[i].split()[0] for i in range(1, 400, 2)})
+    assert model.markers == toxicity.learn_markers([t.split() for t in texts.values()], ["fr" if i % 3 else "en" for i in texts], s)
+    found = toxicity.score(df, model).join(labels, "doc_id").toPandas()
+    assert ((found["toxicity"] >= 0.5) == (found["toxic"] == 1)).mean() > 0.95
+
+
+def test_toxicity_trains_long_texts_by_chunks():
+    s = toxicity.Settings(buckets=1 << 10)
+    rng = np.random.default_rng(2)
+    trainer = toxicity._trainer(s, rng)
+    ids = rng.integers(0, s.buckets, (500, 3))
+    ids[[200, 201, 202, 497, 498, 499]] = -1
+    whole, parts = (toxicity._highest(trainer.model, ids, np.array([0, 203]), np.array([201, 295]), chunk) for chunk in (10_000, 64))
+    assert np.array_equal(whole[0], parts[0]) and np.allclose(whole[1], parts[1], atol=1e-5)
+
+
 def test_more_languages_than_there_are_is_an_error(spark):
     df = documents(spark, [(i, f"text {i}", f"lang{i}") for i in range(30)])
     with pytest.raises(ValueError, match="languages"):
