@@ -160,8 +160,7 @@ class WordPool:
         fresh, self._rows.fresh = self._rows.fresh, []
         if fresh:
             self._add(fresh, *self.compute(fresh))
-        if len(rows):
-            self.asked[: len(self._rows)] += np.bincount(rows, minlength=len(self._rows)).astype(np.int32)
+        np.add.at(self.asked, rows, 1)  # touches the words asked for only, not all that are held
         return rows
 
     def runs(self, words: list) -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -13,6 +14,7 @@ from cases import ODD_TEXTS, no_documents, odd_documents
 from tokenizers import Tokenizer
 
 from eventlake.llm import packing, piece_codec, token_counts
+from eventlake.llm.common import WordPool
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
@@ -140,3 +142,15 @@ def test_placement_is_least_sum_of_squares():
     assert all(sum(len(p.ids) for p in w) == 24 for w in full)
     rest = list(packer.finish())
     assert sum(sum(len(p.ids) for p in w) < 24 for w in rest) <= 1
+
+
+def test_a_lookup_does_not_touch_all_words_held():
+    pool = WordPool(lambda words: (np.ones(len(words), np.int32), np.ones(len(words), np.int64)), np.int32)
+    words = [f"w{i}" for i in range(100_000)]
+    pool.rows(words)
+    tracemalloc.start()
+    pool.rows(words[:10] + words[:5])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100_000
+    assert pool.asked[:12].tolist() == [3] * 5 + [2] * 5 + [1] * 2
