@@ -44,7 +44,7 @@ class WordEncoder:
     punctuation behind them are looked up apart; what is found is kept per worker, up to a number of parts.
     """
 
-    TAIL = b".,!?;:|*%$#&"
+    TAIL = ".,!?;:|*%$#&"
 
     def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,15 +56,21 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.parts = WordPool(self._encode_parts, np.uint32, limit)
 
-    def _split(self, word: bytes) -> tuple[bytes, bytes]:
-        """Letters and the punctuation that ends the word, if it can be cut there."""
-        if b"<|" in word:  # may hold a special token, which is matched as it stands
-            return word, b""
-        word = word.lower()  # A-Z only, which commutes with the tokenizer's own folding
-        core = word.rstrip(self.TAIL)
-        if core and len(core) < len(word) and core.decode()[-1].isalpha():
-            return core, word[len(core) :]
-        return word, b""
+    def _split(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
+        """Lower-cased words without the punctuation that ends them, where it can be cut off; where; and that."""
+        # A-Z only, which commutes with the tokenizer's own folding; a special token is matched as it stands
+        words = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))
+        cores = pc.ascii_rtrim(words, characters=self.TAIL)
+        size = pc.binary_length(cores)
+        at = np.flatnonzero(pc.less(size, pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        last = pc.utf8_slice_codeunits(cores.take(pa.array(at)), -1).dictionary_encode()
+        letter = np.fromiter(map(str.isalpha, last.dictionary.to_pylist()), bool, len(last.dictionary))
+        at = at[letter[last.indices.to_numpy()]]
+        at = at[~pc.match_substring(words.take(pa.array(at)), "<|").to_numpy(zero_copy_only=False)]
+        cut = np.zeros(len(words), bool)
+        cut[at] = True
+        tails = [w[n:] for w, n in zip(words.take(pa.array(at)).cast(pa.binary()).to_pylist(), size.take(pa.array(at)).to_pylist())]
+        return pc.if_else(pa.array(cut), cores, words), at, pa.array(tails, pa.binary()).cast(pa.string())
 
     @staticmethod
     def _is_letters(part: bytes) -> bool:
@@ -91,29 +97,32 @@ class WordEncoder:
         out[~of_letters] = np.fromiter(chain.from_iterable(other), np.uint32)
         return out, lengths
 
-    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one behind the other, and how many each has."""
-        cut = [[p for p in self._split(w) if p] for w in words]
-        rows = self.parts.rows(list(chain.from_iterable(cut)))
-        sizes = self.parts.lengths[rows]
-        ends = np.cumsum(sizes, dtype=np.int64)
-        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
-        return self.parts.values[gather_runs(self.parts.starts[rows], sizes)], np.diff(ends)
+        cores, at, tails = self._split(words)
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()  # many words share a core, and most a tail
+        found = self.parts.rows(parts.dictionary.cast(pa.binary()).to_pylist())
+        rows = found[parts.indices.to_numpy()]
+        starts, sizes = np.zeros((2, len(words), 2), np.int64)
+        for column, where, part in ((0, slice(None), rows[: len(words)]), (1, at, rows[len(words) :])):
+            starts[where, column], sizes[where, column] = self.parts.starts[part], self.parts.lengths[part]
+        return self.parts.values[gather_runs(starts.ravel(), sizes.ravel())], sizes.sum(axis=1)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text of any length."""
         return np.concatenate([self._encode_column(pa.array([b.decode()]))[0] for b in blocks(text.encode())])
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """Ids of each text; the distinct words of all of them are encoded together."""
-        if sum(map(len, texts)) > 4 << 20:
-            return [self.encode(t) for t in texts]
-        return self._encode_column(pa.array(texts, pa.string()))
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if (pc.sum(pc.binary_length(column)).as_py() or 0) > 4 << 20:
+            return [self.encode(t) for t in column.to_pylist()]
+        return self._encode_column(column)
 
     def _encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        flat, lengths = self._encode_words(coded.dictionary.cast(pa.binary()).to_pylist())
+        flat, lengths = self._encode_words(coded.dictionary)
         starts = np.cumsum(lengths) - lengths
         of_word = coded.indices.to_numpy()
         sizes = lengths[of_word]
@@ -235,7 +244,7 @@ def pack(documents: DataFrame, path: str, window: int = WINDOW, end_id: int = EN
             return made
 
         for batch in small_batches(batches, "text", 2 << 20):
-            encoded = encoder.encode_all([t or "" for t in batch.column("text").to_pylist()])
+            encoded = encoder.encode_all(pc.fill_null(batch.column("text"), ""))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 for pieces in packer.place(doc, np.append(ids, np.uint32(end_id))):
                     note(pieces)

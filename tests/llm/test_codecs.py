@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import sys
 import tracemalloc
 from collections import Counter
 
@@ -43,6 +44,24 @@ def test_word_ids_are_the_tokenizers():
     assert [own.encode(t).tolist() for t in texts] == expected
 
 
+def test_words_are_cut_by_column_not_one_by_one():
+    encoder = packing.WordEncoder(WORD)
+    texts = [" ".join(f"{kind}{'abcdefghij'[i % 10] * (i // 10 + 1)}{tail}" for i in range(200) for kind in ("W", "é", "") for tail in ("", ",", ".|", "!?")) for _ in range(3)]
+    expected = [Tokenizer.from_file(WORD).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode_all(texts)] == expected  # all parts are known from here on
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    again = encoder.encode_all(texts)
+    sys.setprofile(None)
+    assert [x.tolist() for x in again] == expected
+    assert calls < 1000  # of 2,400 distinct words
+
+
 def test_pieces_and_decoding_are_the_library_s(library):
     codec = piece_codec.codec_for(PIECE)
     for text in HARD + some_texts(2):
