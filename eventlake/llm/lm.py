@@ -21,7 +21,6 @@ repeated doc_ids are scored row by row; without training text all counts are 0.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -89,6 +88,13 @@ def _tail(token: bytes, tails: int) -> int:
     return zlib.crc32(token[-2:]) % tails
 
 
+def _tails(words: pa.Array, tails: int) -> np.ndarray:
+    """The same of every word; words share few endings."""
+    ends = pc.binary_slice(words.cast(pa.binary()), -2).dictionary_encode()
+    found = np.fromiter((_tail(e, tails) for e in ends.dictionary.to_pylist()), np.int64, len(ends.dictionary))
+    return found[ends.indices.to_numpy()]
+
+
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The tokens of all texts but their ends, the text of each, and how many each text has."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -102,23 +108,23 @@ def token_counts(documents: DataFrame, held_words: int) -> DataFrame:
     """token (the end is empty) and c, over all rows; counted per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counted: Counter = Counter()
+        held: list[tuple[pa.Array, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(list(counted), pa.binary()).cast(pa.string()), pa.array(list(counted.values()), pa.int64())], names=["token", "n"]
-            )
-            counted.clear()
-            return made
+            coded = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
+            sums = np.bincount(coded.indices.to_numpy(), np.concatenate([c for _, c in held]), len(coded.dictionary))
+            return pa.RecordBatch.from_arrays([coded.dictionary, pa.array(sums.astype(np.int64))], names=["token", "n"])
 
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text"):
             words, _, _ = _words(batch.column("text"))
             found = words.value_counts()
-            counted.update(dict(zip(found.field("values").cast(pa.binary()).to_pylist(), found.field("counts").to_pylist())))
-            counted[END] += batch.num_rows
-            if len(counted) > held_words:
+            ends = pa.array([END.decode()])
+            held += [(found.field("values"), found.field("counts").to_numpy()), (ends, np.array([batch.num_rows]))]
+            if sum(len(w) for w, _ in held) > held_words:
                 yield flush()
-        yield flush()
+                held.clear()
+        if held:
+            yield flush()
 
     return documents.select("text").mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
@@ -202,7 +208,6 @@ def fit_and_score(documents: DataFrame, learn: Column, *keep: Column, settings:
 
 class _Reader:
     """Texts as symbols."""
-
     def __init__(self, model: Model):
         self.model = model
         self.known = model.rows
@@ -290,33 +295,36 @@ def encoded(documents: DataFrame, model: Model, learn: Column, *keep: Column) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        reader, words = _Reader(m), m.network.layout.words
-        counts = np.append(m.counts, 0)  # the last for tokens that are not among the known
-        logs = np.log10(counts + 1.0)
-        end_row = reader.known[END]
+        words = m.network.layout.words
+        known_words = pa.array(list(m.rows), pa.binary())
+        symbols_known = np.append(m.symbols, -1)  # the last for tokens that are not among the known
+        counts = np.append(m.counts, 0)
+        logs, tail_logs = np.log10(counts + 1.0), np.append(np.zeros(words), m.tail_logs)
+        end_row = m.rows[END]
         number = TaskContext.get().partitionId() << 33
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text"):
             flat, owner, sizes = _words(batch.column(batch.schema.get_field_index("text")))
             coded = flat.dictionary_encode()
-            distinct = coded.dictionary.cast(pa.binary()).to_pylist()
             # every distinct word is looked up once
-            rows_of = reader.rows(distinct)
-            symbols_of = reader.symbols(distinct, rows_of) if distinct else np.zeros(0, np.int64)
+            rows = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.binary()), known_words), -1).to_numpy()
+            symbols = symbols_known[rows].astype(np.int32)
+            unknown = np.flatnonzero(rows < 0)
+            symbols[unknown] = words + _tails(coded.dictionary.take(pa.array(unknown)), m.settings.tails)
             word = coded.indices.to_numpy()
-            rows, symbols = rows_of[word], symbols_of[word]
             texts = batch.num_rows
 
-            def summed(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-                return np.bincount(of, values, texts).astype(np.float64)  # of no words at all it would be whole numbers
+            def summed(of_word: np.ndarray) -> np.ndarray:
+                """Sums over the words of each text, from a number for every distinct word."""
+                return np.bincount(owner, of_word[word], texts).astype(np.float64)  # of no words at all it would be whole numbers
 
-            tail, rare = symbols >= words, rows < 0
             n = sizes + 1
-            known = summed(counts[rows] > 0, owner).astype(np.int64) + int(counts[end_row] > 0)
-            all_logs = summed(logs[rows], owner) + logs[end_row]
-            score_logs = summed(logs[rows[tail]] - m.tail_logs[symbols[tail] - words], owner[tail])
+            known = summed(counts[rows] > 0).astype(np.int64) + int(counts[end_row] > 0)
+            all_logs = summed(logs[rows]) + logs[end_row]
+            score_logs = summed(np.where(symbols >= words, logs[rows] - tail_logs[symbols], 0.0))
             ends = np.cumsum(n)
             whole = np.full(int(ends[-1]), m.network.layout.end, np.int32)
-            whole[np.arange(len(symbols)) + owner] = symbols
+            whole[np.arange(len(word)) + owner] = symbols[word]
+            rare = (rows < 0)[word]
             rare_ends = np.cumsum(np.bincount(owner[rare], minlength=texts))
             rare_words = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], rare_ends]), pa.int32()), coded.dictionary.take(pa.array(word[rare]))

@@ -35,7 +35,8 @@ class Layout:
 
     def class_of(self) -> np.ndarray:
         sizes = np.diff(np.append(self.class_starts, self.words))
-        return np.concatenate([np.repeat(np.arange(len(sizes)), sizes), np.arange(len(sizes), self.classes)])
+        own = np.concatenate([np.repeat(np.arange(len(sizes)), sizes), np.arange(len(sizes), self.classes)])
+        return own.astype(np.min_scalar_type(self.classes))  # small numbers are sorted by counting
 
 
 @dataclass
@@ -108,7 +109,9 @@ class Lanes:
 
     def windows(self, all_of_them: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(lanes in use, 4 x steps x lanes); without all_of_them only while most lanes are full."""
-        rows = [np.concatenate(w, axis=1) if w else np.zeros((4, 0), np.int32) for w in self.waiting]
+        # lane after lane, and last what stands where a lane has run out: nothing to score
+        flat = np.concatenate([*(block for w in self.waiting for block in w), np.array([[self.end], [-1], [-1], [1]], np.int32)], axis=1)
+        base = np.cumsum(self.held) - self.held
         at = np.zeros(self.count, np.int64)
         while (left := np.maximum(self.held - at, 0)).any():
             full = left >= self.window
@@ -116,115 +119,110 @@ class Lanes:
                 break
             steps = self.window if full.any() else int(left.max())
             used = np.flatnonzero(left > 0)
-            made = np.empty((len(used), 4, steps), np.int32)
-            for k, lane in enumerate(used.tolist()):
-                part = rows[lane][:, at[lane] : at[lane] + steps]
-                n = part.shape[1]
-                made[k, :, :n] = part
-                if n < steps:
-                    made[k, :, n:] = np.array([[self.end], [-1], [-1], [1]])  # nothing to score
-            made = np.ascontiguousarray(made.transpose(1, 2, 0))
+            step = np.arange(steps)[:, None]
+            places = np.where(step < left[used], base[used] + at[used] + step, flat.shape[1] - 1)
             at[used] += steps
-            yield used, made
-        self.waiting = [[r[:, a:]] if r.shape[1] > a else [] for r, a in zip(rows, at)]
-        self.held = np.maximum(self.held - at, 0)
+            yield used, np.take(flat, places, axis=1)
+        at = np.minimum(at, self.held)
+        self.waiting = [[flat[:, b + a : b + h].copy()] if h > a else [] for b, a, h in zip(base, at, self.held)]
+        self.held = self.held - at
 
 
 def run(net: Network, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool = False):
-    """States after every step, from steps x lanes inputs; with `keep` also what gradients need."""
+    """States after every step, from steps x lanes inputs; with `keep` also what gradients need.
+
+    Inside, lanes come last: gates and candidate of all lanes then are whole blocks of memory.
+    """
     hidden = net.hidden
     half = np.float32(0.5)
-    # the gates are 0.5 + 0.5 tanh(x / 2): what can be halved beforehand is
-    table = net.inputs.copy()
-    table[:, : 2 * hidden] *= half
-    gates = net.gates * half
-    x = table[inputs]
-    xg, xc = x[:, :, : 2 * hidden], x[:, :, 2 * hidden :]
-    states = np.empty((*inputs.shape, hidden), np.float32)
-    kept = []
-    going = (1 - first).astype(np.float32)[:, :, None]
-    resets = first.any(axis=1).tolist()
-    h = state
+    gates, candidate = np.ascontiguousarray(net.gates.T), np.ascontiguousarray(net.candidate.T)
+    x = np.ascontiguousarray(np.take(net.inputs, inputs, axis=0).transpose(0, 2, 1))
+    states, resets = np.empty((len(inputs), hidden, inputs.shape[1]), np.float32), np.empty_like(x[:, :hidden])
+    going = (1 - first).astype(np.float32)[:, None, :]
+    begins = first.any(axis=1).tolist()
+    before = []
+    h = np.ascontiguousarray(state.T)
     for t in range(len(inputs)):
-        if resets[t]:
+        if begins[t]:
             h = h * going[t]
-        both = h @ gates
-        both += xg[t]
+        before.append(h)
+        both, c = x[t, : 2 * hidden], x[t, 2 * hidden :]
+        both += gates @ h
+        both *= half  # 0.5 + 0.5 tanh(x / 2)
         np.tanh(both, out=both)
         both *= half
         both += half
-        z, r = both[:, :hidden], both[:, hidden:]
-        rh = r * h
-        c = rh @ net.candidate
-        c += xc[t]
+        rh = np.multiply(both[hidden:], h, out=resets[t])
+        c += candidate @ rh
         np.tanh(c, out=c)
-        if keep:
-            kept.append((h, both, rh, c))
         new = np.subtract(c, h, out=states[t])
-        new *= z
+        new *= both[:hidden]
         new += h
         h = new
-    return states, kept, going
+    kept = (np.array(before), x[:, :hidden], x[:, hidden : 2 * hidden], resets, x[:, 2 * hidden :]) if keep else None
+    return states.transpose(0, 2, 1), kept, going
 
 
 def log_probs(net: Network, states: np.ndarray, outputs: np.ndarray, own: np.ndarray, gradients: dict | None = None, per: int = 1) -> np.ndarray:
     """Natural log probability of every output symbol; fills `gradients` of the loss / `per` if given.
 
     Outputs are put in the order of their classes, so a class is a slice. Every exponential is taken once:
-    the gradient is what the probability is made of.
+    the gradient is what the probability is made of. Logits are laid out with the outputs last, so what
+    belongs to an output is multiplied along whole rows; a bias is the weight of a state that is always 1.
     """
-    n, words = len(outputs), net.layout.words
+    n, words, hidden = len(outputs), net.layout.words, net.hidden
     kind = own[outputs]
     order = np.argsort(kind, kind="stable")
-    states, outputs, kind = states[order], outputs[order], kind[order]
-    every = np.arange(n)
-
-    def part(s: np.ndarray, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray, rows: np.ndarray):
-        """Log probabilities of the wanted outputs, and the slope of the loss by every logit."""
-        def exponentials(row_by_row: bool):
-            x = s @ weights.T
-            x += bias
-            x -= x.max(axis=1, keepdims=True) if row_by_row else x.max()
-            chosen = x[rows, wanted]
-            np.exp(x, out=x)
-            return x, chosen, x @ np.ones(x.shape[1], np.float32)
-
-        # logits of most rows lie close together: then the largest of all keeps every exponential in range
-        x, chosen, sums = exponentials(False)
-        if sums.min() < 1e-25:
-            x, chosen, sums = exponentials(True)
-        logs = chosen - np.log(sums)
-        if gradients is None:
-            return logs, None
-        x *= (1 / (sums * np.float32(per)))[:, None]
-        x[rows, wanted] -= np.float32(1 / per)
-        return logs, x
-
-    logs, slope = part(states, net.class_weights, net.class_bias, kind, every)
-    found = logs.astype(np.float64)
+    outputs, kind = outputs[order], kind[order]
+    s = np.ones((n, hidden + 1), np.float32)
+    s[:, :hidden] = states[order]
+    bounds = np.append(net.layout.class_starts, words)
+    ends = np.searchsorted(kind, np.arange(len(bounds), dtype=kind.dtype))
+    sizes = np.diff(ends)
+    every, listed = np.arange(n), ends[-1]  # those of word classes come first
+    # where a class's logits, row after row, hold that of the wanted word
+    within = kind[:listed]
+    wanted = (outputs[:listed] - bounds[within]) * sizes[within] + every[:listed] - ends[within]
+    class_weights = np.column_stack([net.class_weights, net.class_bias])
+    word_weights = np.column_stack([net.word_weights, net.word_bias])
+    parts = [(slice(0, n), class_weights, kind * np.int64(n) + every, None)]
+    for a, b, low, high in zip(bounds.tolist(), bounds[1:].tolist(), ends.tolist(), ends[1:].tolist()):
+        if low < high and b - a > 1:
+            parts.append((slice(low, high), word_weights[a:b], wanted[low:high], slice(a, b)))
     if gradients is not None:
-        gradients["class_weights"], gradients["class_bias"] = slope.T @ states, slope.sum(axis=0)
-        back = slope @ net.class_weights
-        gradients["word_weights"], gradients["word_bias"] = np.zeros_like(net.word_weights), np.zeros_like(net.word_bias)
-    starts = net.layout.class_starts
-    ends = np.searchsorted(kind, np.arange(len(starts) + 1)).tolist()
-    bounds = np.append(starts, words).tolist()
-    for c, (a, b) in enumerate(zip(bounds, bounds[1:])):
-        low, high = ends[c], ends[c + 1]
-        if low == high or b - a == 1:
+        class_slope, word_slope, back = None, np.zeros_like(word_weights), None
+    found = np.zeros(n)
+    ones = np.ones(max(len(w) for _, w, _, _ in parts), np.float32)
+    for rows, weights, at, slots in parts:
+        x = weights @ s[rows].T
+        # logits lie close together as a rule: then every exponential is in range as it is
+        for shifted in (False, True):
+            flat = x.reshape(-1)
+            chosen = flat[at]
+            with np.errstate(over="ignore"):
+                np.exp(x, out=x)
+            sums = ones[: len(x)] @ x
+            if shifted or (sums.min() > 1e-25 and sums.max() < 1e30):
+                break
+            x = weights @ s[rows].T
+            x -= x.max(axis=0)
+        found[rows] += chosen - np.log(sums)
+        if gradients is None:
             continue
-        s = states[low:high]
-        logs, slope = part(s, net.word_weights[a:b], net.word_bias[a:b], outputs[low:high] - a, every[: high - low])
-        found[low:high] += logs
-        if gradients is not None:
-            gradients["word_weights"][a:b] = slope.T @ s
-            gradients["word_bias"][a:b] = slope.sum(axis=0)
-            back[low:high] += slope @ net.word_weights[a:b]
+        x *= np.float32(1 / per) / sums
+        flat[at] -= np.float32(1 / per)
+        if slots is None:
+            class_slope, back = x @ s, x.T @ weights
+        else:
+            np.matmul(x, s[rows], out=word_slope[slots])
+            back[rows] += x.T @ weights
     out = np.empty(n)
     out[order] = found
     if gradients is not None:
-        gradients["states"] = np.empty_like(back)
-        gradients["states"][order] = back
+        gradients["class_weights"], gradients["class_bias"] = class_slope[:, :hidden], class_slope[:, hidden]
+        gradients["word_weights"], gradients["word_bias"] = word_slope[:, :hidden], word_slope[:, hidden]
+        gradients["states"] = np.empty((n, hidden), np.float32)
+        gradients["states"][order] = back[:, :hidden]
     return out
 
 
@@ -259,40 +257,38 @@ class Trainer:
         found = log_probs(net, states.reshape(-1, hidden)[real], outputs.ravel()[real], self.own, grads, self.lanes.count * self.lanes.window)
         self.tokens += len(real)
         self.loss -= found.sum()
-        outer = np.zeros((states.shape[0] * states.shape[1], hidden), np.float32)
+        outer = np.zeros((inputs.size, hidden), np.float32)
         outer[real] = grads.pop("states")
-        outer = outer.reshape(states.shape)
-        dx = np.empty((*inputs.shape, 3 * hidden), np.float32)
-        candidate, gates = net.candidate.T.copy(), net.gates.T.copy()
-        dh = np.zeros_like(self.state[used])
+        outer = np.ascontiguousarray(outer.reshape(states.shape).transpose(0, 2, 1))
+        # by what a step multiplies the gradient of its state, for all steps at once
+        before, z, r, rh, c = kept
+        stay = 1 - z
+        by_candidate = (1 - c * c) * z
+        by_update = (c - before) * z * stay
+        by_reset = before * r * (1 - r)
+        dx = np.empty((len(inputs), 3 * hidden, inputs.shape[1]), np.float32)
+        dh = np.zeros((hidden, inputs.shape[1]), np.float32)
         for t in range(len(inputs) - 1, -1, -1):
-            h, both, rh, c = kept[t]
-            z, r = both[:, :hidden], both[:, hidden:]
-            da, dc = dx[t, :, : 2 * hidden], dx[t, :, 2 * hidden :]
             dh += outer[t]
-            np.multiply(dh, z, out=dc)
-            dc *= 1 - c * c
-            drh = dc @ candidate
-            c -= h
-            np.multiply(dh, c, out=da[:, :hidden])
-            np.multiply(drh, h, out=da[:, hidden:])
-            da *= both
-            da *= 1 - both
-            dh -= dh * z
-            drh *= r
+            dc = np.multiply(dh, by_candidate[t], out=dx[t, 2 * hidden :])
+            drh = net.candidate @ dc
+            np.multiply(dh, by_update[t], out=dx[t, :hidden])
+            np.multiply(drh, by_reset[t], out=dx[t, hidden : 2 * hidden])
+            dh *= stay[t]
+            drh *= r[t]
             dh += drh
-            dh += da @ gates
+            dh += net.gates @ dx[t, : 2 * hidden]
             if first[t].any():
                 dh *= going[t]
         # sums over all steps at once
-        before = np.concatenate([k[0] for k in kept])
-        flat_dx = dx.reshape(-1, 3 * hidden)
-        grads["gates"] = before.T @ flat_dx[:, : 2 * hidden]
-        grads["candidate"] = np.concatenate([k[2] for k in kept]).T @ flat_dx[:, 2 * hidden :]
-        flat = inputs.ravel()
+        flat_dx = dx.transpose(0, 2, 1)
+        grads["gates"] = (before @ flat_dx[:, :, : 2 * hidden]).sum(axis=0)
+        grads["candidate"] = (rh @ flat_dx[:, :, 2 * hidden :]).sum(axis=0)
+        flat_dx = flat_dx.reshape(-1, 3 * hidden)
+        flat = inputs.ravel().astype(np.min_scalar_type(net.layout.symbols))
         order = np.argsort(flat, kind="stable")
         listed = flat[order]
-        begins = np.flatnonzero(np.diff(listed, prepend=-1))
+        begins = np.flatnonzero(np.append(True, listed[1:] != listed[:-1]))
         rows = listed[begins]
         summed = np.add.reduceat(flat_dx[order], begins, axis=0)
         squares = self.squares["inputs"][rows] + summed * summed
@@ -325,9 +321,15 @@ class Scorer:
             states, _, _ = run(self.net, inputs, first, self.state[used])
             self.state[used] = states[-1]
             real = np.flatnonzero(outputs.ravel() >= 0)
-            found = log_probs(self.net, states.reshape(-1, self.net.hidden)[real], outputs.ravel()[real], self.own)
-            which, place = np.unique(number.ravel()[real], return_inverse=True)
-            for i, total, n in zip(which.tolist(), np.bincount(place, weights=found).tolist(), np.bincount(place).tolist()):
+            logs = np.zeros(inputs.size)
+            logs[real] = log_probs(self.net, states.reshape(-1, self.net.hidden)[real], outputs.ravel()[real], self.own)
+            # a text stands in one lane without a gap
+            logs, which = (m.reshape(inputs.shape).T.ravel() for m in (logs, number))
+            begins = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+            lengths = np.diff(np.append(begins, len(which)))
+            for i, total, n in zip(which[begins].tolist(), np.add.reduceat(logs, begins).tolist(), lengths.tolist()):
+                if i < 0:
+                    continue
                 self.sums[i] += total
                 self.left[i] -= n
                 if not self.left[i]:

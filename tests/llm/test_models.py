@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import random
+import sys
 import zlib
 from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import ODD_TEXTS, documents, no_documents, odd_documents
 from pyspark.sql import functions as F
@@ -205,6 +207,59 @@ def test_gradients_equal_differences():
             assert abs(abs(slope) - got[at]) < 2e-3, (n, at)
 
 
+class Captured:
+    """Takes the function that a table would be mapped with."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def select(self, *columns):
+        return self
+
+    groupBy = agg = select
+
+
+def test_words_are_counted_by_column_not_one_by_one(spark):
+    texts = [" ".join(f"w{i * k % 7000}" for k in range(400)) for i in range(1, 40)] + [None, "", " A a\n"]
+    table = Captured()
+    lm.token_counts(table, 5000)
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[i : i + 14], pa.string())}) for i in range(0, len(texts), 14)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    made = list(table.run(iter(batches)))
+    sys.setprofile(None)
+    assert len(made) > 1 and calls < 2000  # of some 4,000 distinct words
+    found = Counter()
+    for batch in made:
+        found.update(dict(zip(*(c.to_pylist() for c in batch.columns))))
+    assert found == Counter(w for t in texts for w in [*(t or "").lower().split(), ""])
+
+
+def test_logits_far_apart_keep_their_probabilities():
+    layout = recurrent.Layout(6, np.array([0, 2]), 2, 1)
+    net = recurrent.start(layout, np.arange(1.0, 9.0), 4, 1)
+    net.class_bias[:] = [-300, 300, 0, 250]
+    net.word_bias[:] = [-200, -190, 200, 180, 0, -100]
+    states = np.random.default_rng(1).normal(0, 1, (8, 4)).astype(np.float32)
+    found = recurrent.log_probs(net, states, np.arange(8), layout.class_of())
+
+    def logs(weights, bias):
+        x = states.astype(float) @ weights.T.astype(float) + bias
+        top = x.max(axis=1, keepdims=True)
+        return x - top - np.log(np.exp(x - top).sum(axis=1, keepdims=True))
+
+    kinds, words = logs(net.class_weights, net.class_bias), [logs(net.word_weights[a:b], net.word_bias[a:b]) for a, b in ((0, 2), (2, 6))]
+    expected = [kinds[i, 0] + words[0][i, i] for i in (0, 1)] + [kinds[i, 1] + words[1][i, i - 2] for i in range(2, 6)]
+    expected += [kinds[6, 2], kinds[7, 3]]
+    assert np.allclose(found, expected, rtol=1e-5, atol=1e-4)
+
+
 def test_language_model_on_odd_rows(spark):
     df = odd_documents(spark)
     model, counts = lm.fit(df, ~fold_is("doc_id", 7, 2), SMALL)
