@@ -250,7 +250,7 @@ def _averaged(rows: DataFrame, model: Model) -> tuple[Network, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(shared.value.copy(), s.train_lanes, s.train_window, s.rate * 0.5, s.train_stretch)
         for batch in batches:
-            for part in _parts(batch, "symbols", 500_000):
+            for part in _parts(batch, "symbols", shared.value.layout, 500_000):
                 trainer.feed(part)
         trainer.feed([], last=True)
         values = trainer.net.flat().astype("<f4").tobytes() if trainer.tokens else b""
@@ -268,16 +268,25 @@ def _averaged(rows: DataFrame, model: Model) -> tuple[Network, int]:
     return (model.network.with_flat(values / n) if n else model.network), n
 
 
-def _parts(batch: pa.RecordBatch, name: str, most: int) -> Iterator[list[np.ndarray]]:
-    """The lists of a column as arrays, some at a time: about `most` numbers, or one list."""
-    column = batch.column(batch.schema.get_field_index(name))
-    ends = column.offsets.to_numpy()
-    flat = column.values.to_numpy(zero_copy_only=False)
+def _packed(symbols: np.ndarray, ends: np.ndarray, layout: Layout) -> pa.Array:
+    """The symbols of all texts as a binary column, in as few bytes a symbol as their number needs."""
+    own = symbols.astype(np.min_scalar_type(layout.symbols))
+    offsets = np.concatenate([[0], ends * own.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(own)])
+
+
+def _parts(batch: pa.RecordBatch, name: str, layout: Layout, most: int) -> Iterator[list[np.ndarray]]:
+    """The texts of a packed column as arrays, some at a time: about `most` symbols, or one text."""
+    column, kind = batch.column(batch.schema.get_field_index(name)), np.min_scalar_type(layout.symbols)
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(column) + 1, column.offset * 4) // kind.itemsize
+    flat = np.frombuffer(data, kind, ends[-1])
     place = (ends[1:] - ends[0]) // most
     cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(column)]
     for start, stop in zip(cuts, cuts[1:]):
-        if stop > start:
-            yield [flat[ends[i] : ends[i + 1]] for i in range(start, stop)]
+        yield [flat[ends[i] : ends[i + 1]] for i in range(start, stop)]
 
 
 FOUND = ("n_tokens", "n_known", "all_logs", "score_logs", "rare")
@@ -291,7 +300,7 @@ def encoded(documents: DataFrame, model: Model, learn: Column, *keep: Column) ->
     plain = documents.select("doc_id", *keep, F.coalesce(learn, F.lit(False)).alias("learn"), "text")
     kept = [f for f in plain.schema.fields if f.name != "text"]
     arrow = "row long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = f"{arrow}, n_tokens long, n_known long, all_logs double, score_logs double, rare array<string>, symbols array<int>"
+    schema = f"{arrow}, n_tokens long, n_known long, all_logs double, score_logs double, rare array<string>, symbols binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -333,7 +342,7 @@ def encoded(documents: DataFrame, model: Model, learn: Column, *keep: Column) ->
                 [
                     pa.array(np.arange(number, number + texts)), *(batch.column(batch.schema.get_field_index(f.name)) for f in kept),
                     pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(all_logs), pa.array(score_logs), rare_words,
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(whole)),
+                    _packed(whole, ends, m.network.layout),
                 ],
                 names=["row", *(f.name for f in kept), *FOUND, "symbols"],
             )
@@ -365,7 +374,7 @@ def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
         for batch in batches:
             numbers = iter(batch.column(0).to_pylist())
-            for part in _parts(batch, "symbols", 500_000):
+            for part in _parts(batch, "symbols", shared.value.layout, 500_000):
                 own = range(count, count + len(part))
                 waiting.update(zip(own, numbers))
                 count += len(part)

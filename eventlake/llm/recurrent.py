@@ -98,14 +98,21 @@ class Lanes:
 
     def add(self, texts: Iterator[tuple[int, np.ndarray]]) -> None:
         """Texts are symbols with the end; each goes to the lane with the least to do."""
-        for number, symbols in sorted(texts, key=lambda t: -len(t[1])):
-            block = np.empty((4, len(symbols)), np.int32)
-            block[0, 0], block[0, 1:] = self.end, symbols[:-1]
-            block[1], block[2] = symbols, number
-            block[3], block[3, 0] = 0, 1
+        ordered = sorted(texts, key=lambda t: -len(t[1]))
+        if not ordered:
+            return
+        sizes = np.array([len(symbols) for _, symbols in ordered])
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        block = np.zeros((4, int(ends[-1])), np.int32)
+        np.concatenate([symbols for _, symbols in ordered], out=block[1], casting="same_kind")
+        block[0, 1:] = block[1, :-1]
+        block[0, begins], block[3, begins] = self.end, 1
+        block[2] = np.repeat([number for number, _ in ordered], sizes)
+        for begin, end in zip(begins.tolist(), ends.tolist()):
             lane = int(self.held.argmin())
-            self.waiting[lane].append(block)
-            self.held[lane] += len(symbols)
+            self.waiting[lane].append(block[:, begin:end])
+            self.held[lane] += end - begin
 
     def windows(self, all_of_them: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(lanes in use, 4 x steps x lanes); without all_of_them only while most lanes are full."""
@@ -131,36 +138,48 @@ class Lanes:
 def run(net: Network, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, keep: bool = False):
     """States after every step, from steps x lanes inputs; with `keep` also what gradients need.
 
-    Inside, lanes come last: gates and candidate of all lanes then are whole blocks of memory.
+    Update gate, reset gate and candidate of a step each are a lanes x hidden block of memory, like the
+    state, so nothing is turned over. The logistic function takes one exponential, and tanh x is
+    2 logistic(2 x) - 1.
     """
-    hidden = net.hidden
-    half = np.float32(0.5)
-    gates, candidate = np.ascontiguousarray(net.gates.T), np.ascontiguousarray(net.candidate.T)
-    x = np.ascontiguousarray(np.take(net.inputs, inputs, axis=0).transpose(0, 2, 1))
-    states, resets = np.empty((len(inputs), hidden, inputs.shape[1]), np.float32), np.empty_like(x[:, :hidden])
-    going = (1 - first).astype(np.float32)[:, None, :]
+    hidden, (steps, lanes) = net.hidden, inputs.shape
+    table, places = net.inputs.reshape(-1, hidden), inputs[:, None] * 3 + np.arange(3)[:, None]
+    gates = np.ascontiguousarray(-net.gates.reshape(hidden, 2, hidden).transpose(1, 0, 2))
+    candidate = -2 * net.candidate
+    one, two = np.float32(1), np.float32(2)
+    states = np.empty((steps, lanes, hidden), np.float32)
+    held = steps if keep else 1
+    x, resets = np.empty((held, 3, lanes, hidden), table.dtype), np.empty((held, lanes, hidden), table.dtype)
+    by_gates, by_candidate = np.empty((2, lanes, hidden), table.dtype), np.empty((lanes, hidden), table.dtype)
+    going = (1 - first).astype(np.float32)[:, :, None]
     begins = first.any(axis=1).tolist()
-    before = []
-    h = np.ascontiguousarray(state.T)
-    for t in range(len(inputs)):
-        if begins[t]:
-            h = h * going[t]
-        before.append(h)
-        both, c = x[t, : 2 * hidden], x[t, 2 * hidden :]
-        both += gates @ h
-        both *= half  # 0.5 + 0.5 tanh(x / 2)
-        np.tanh(both, out=both)
-        both *= half
-        both += half
-        rh = np.multiply(both[hidden:], h, out=resets[t])
-        c += candidate @ rh
-        np.tanh(c, out=c)
-        new = np.subtract(c, h, out=states[t])
-        new *= both[:hidden]
-        new += h
-        h = new
-    kept = (np.array(before), x[:, :hidden], x[:, hidden : 2 * hidden], resets, x[:, 2 * hidden :]) if keep else None
-    return states.transpose(0, 2, 1), kept, going
+    h = state
+    with np.errstate(over="ignore"):  # the logistic function is then 0, as it should be
+        for t in range(steps):
+            if begins[t]:
+                h = h * going[t]
+            own = np.take(table, places[t], axis=0, out=x[t % held], mode="clip")
+            both, c = own[:2], own[2]
+            np.subtract(np.matmul(h, gates, out=by_gates), both, out=both)
+            np.exp(both, out=both)
+            both += one
+            np.reciprocal(both, out=both)
+            rh = np.multiply(both[1], h, out=resets[t % held])
+            c += c
+            np.subtract(np.matmul(rh, candidate, out=by_candidate), c, out=c)
+            np.exp(c, out=c)
+            c += one
+            np.divide(two, c, out=c)
+            c -= one
+            new = np.subtract(c, h, out=states[t])
+            new *= both[0]
+            new += h
+            h = new
+    if not keep:
+        return states, None, going
+    before = np.concatenate([state[None], states[:-1]])
+    before *= going
+    return states, (before, x[:, 0], x[:, 1], resets, x[:, 2]), going
 
 
 def log_probs(net: Network, states: np.ndarray, outputs: np.ndarray, own: np.ndarray, gradients: dict | None = None, per: int = 1) -> np.ndarray:
@@ -168,14 +187,13 @@ def log_probs(net: Network, states: np.ndarray, outputs: np.ndarray, own: np.nda
 
     Outputs are put in the order of their classes, so a class is a slice. Every exponential is taken once:
     the gradient is what the probability is made of. Logits are laid out with the outputs last, so what
-    belongs to an output is multiplied along whole rows; a bias is the weight of a state that is always 1.
+    belongs to an output is multiplied along whole rows.
     """
-    n, words, hidden = len(outputs), net.layout.words, net.hidden
+    n, words = len(outputs), net.layout.words
     kind = own[outputs]
     order = np.argsort(kind, kind="stable")
     outputs, kind = outputs[order], kind[order]
-    s = np.ones((n, hidden + 1), np.float32)
-    s[:, :hidden] = states[order]
+    s = np.take(states, order, axis=0)
     bounds = np.append(net.layout.class_starts, words)
     ends = np.searchsorted(kind, np.arange(len(bounds), dtype=kind.dtype))
     sizes = np.diff(ends)
@@ -183,46 +201,46 @@ def log_probs(net: Network, states: np.ndarray, outputs: np.ndarray, own: np.nda
     # where a class's logits, row after row, hold that of the wanted word
     within = kind[:listed]
     wanted = (outputs[:listed] - bounds[within]) * sizes[within] + every[:listed] - ends[within]
-    class_weights = np.column_stack([net.class_weights, net.class_bias])
-    word_weights = np.column_stack([net.word_weights, net.word_bias])
-    parts = [(slice(0, n), class_weights, kind * np.int64(n) + every, None)]
+    # what each output's class, and its word in the class, add up to, and their logits
+    sums, chosen = np.ones((2, n), states.dtype), np.zeros((2, n), states.dtype)
+    parts = [(0, slice(0, n), net.class_weights, net.class_bias[:, None], kind * np.int64(n) + every, None)]
     for a, b, low, high in zip(bounds.tolist(), bounds[1:].tolist(), ends.tolist(), ends[1:].tolist()):
         if low < high and b - a > 1:
-            parts.append((slice(low, high), word_weights[a:b], wanted[low:high], slice(a, b)))
-    if gradients is not None:
-        class_slope, word_slope, back = None, np.zeros_like(word_weights), None
-    found = np.zeros(n)
-    ones = np.ones(max(len(w) for _, w, _, _ in parts), np.float32)
-    for rows, weights, at, slots in parts:
-        x = weights @ s[rows].T
-        # logits lie close together as a rule: then every exponential is in range as it is
-        for shifted in (False, True):
-            flat = x.reshape(-1)
-            chosen = flat[at]
-            with np.errstate(over="ignore"):
+            parts.append((1, slice(low, high), net.word_weights[a:b], net.word_bias[a:b, None], wanted[low:high], slice(a, b)))
+    ones, each = np.ones(max(n, words, net.layout.classes), states.dtype), np.float32(1 / per)
+    # logits lie close together as a rule: then every exponential is in range as it is
+    for shifted in (False, True):
+        if gradients is not None:
+            word_slope, word_bias = np.zeros_like(net.word_weights), np.zeros_like(net.word_bias)
+        with np.errstate(**({} if shifted else {"over": "ignore", "invalid": "ignore", "divide": "ignore"})):
+            for level, rows, weights, bias, at, slots in parts:
+                own_states = s[rows]
+                x = weights @ own_states.T
+                x += bias
+                if shifted:
+                    x -= x.max(axis=0)
+                flat = x.reshape(-1)
+                chosen[level, rows] = flat[at]
                 np.exp(x, out=x)
-            sums = ones[: len(x)] @ x
-            if shifted or (sums.min() > 1e-25 and sums.max() < 1e30):
-                break
-            x = weights @ s[rows].T
-            x -= x.max(axis=0)
-        found[rows] += chosen - np.log(sums)
-        if gradients is None:
-            continue
-        x *= np.float32(1 / per) / sums
-        flat[at] -= np.float32(1 / per)
-        if slots is None:
-            class_slope, back = x @ s, x.T @ weights
-        else:
-            np.matmul(x, s[rows], out=word_slope[slots])
-            back[rows] += x.T @ weights
+                total = np.matmul(ones[: len(x)], x, out=sums[level, rows])
+                if gradients is None:
+                    continue
+                x *= each / total
+                flat[at] -= each
+                if slots is None:
+                    class_slope, class_bias, back = x @ own_states, x @ ones[:n], x.T @ weights
+                else:
+                    np.matmul(x, own_states, out=word_slope[slots])
+                    np.matmul(x, ones[: x.shape[1]], out=word_bias[slots])
+                    back[rows] += x.T @ weights
+        if sums.min() > 1e-25 and sums.max() < 1e30:
+            break
     out = np.empty(n)
-    out[order] = found
+    out[order] = (chosen - np.log(sums)).sum(axis=0, dtype=np.float64)
     if gradients is not None:
-        gradients["class_weights"], gradients["class_bias"] = class_slope[:, :hidden], class_slope[:, hidden]
-        gradients["word_weights"], gradients["word_bias"] = word_slope[:, :hidden], word_slope[:, hidden]
-        gradients["states"] = np.empty((n, hidden), np.float32)
-        gradients["states"][order] = back[:, :hidden]
+        gradients |= {"class_weights": class_slope, "class_bias": class_bias, "word_weights": word_slope, "word_bias": word_bias}
+        gradients["states"] = np.empty_like(s)
+        gradients["states"][order] = back
     return out
 
 
@@ -259,38 +277,43 @@ class Trainer:
         self.loss -= found.sum()
         outer = np.zeros((inputs.size, hidden), np.float32)
         outer[real] = grads.pop("states")
-        outer = np.ascontiguousarray(outer.reshape(states.shape).transpose(0, 2, 1))
+        outer = outer.reshape(states.shape)
         # by what a step multiplies the gradient of its state, for all steps at once
         before, z, r, rh, c = kept
         stay = 1 - z
         by_candidate = (1 - c * c) * z
         by_update = (c - before) * z * stay
         by_reset = before * r * (1 - r)
-        dx = np.empty((len(inputs), 3 * hidden, inputs.shape[1]), np.float32)
-        dh = np.zeros((hidden, inputs.shape[1]), np.float32)
+        dx = np.empty((3, *states.shape), np.float32)
+        dh = np.zeros((inputs.shape[1], hidden), np.float32)
+        gates, candidate = np.ascontiguousarray(net.gates.reshape(hidden, 2, hidden).transpose(1, 2, 0)), np.ascontiguousarray(net.candidate.T)
+        begins = first.any(axis=1).tolist()
         for t in range(len(inputs) - 1, -1, -1):
             dh += outer[t]
-            dc = np.multiply(dh, by_candidate[t], out=dx[t, 2 * hidden :])
-            drh = net.candidate @ dc
-            np.multiply(dh, by_update[t], out=dx[t, :hidden])
-            np.multiply(drh, by_reset[t], out=dx[t, hidden : 2 * hidden])
+            dc = np.multiply(dh, by_candidate[t], out=dx[2, t])
+            drh = dc @ candidate
+            np.multiply(dh, by_update[t], out=dx[0, t])
+            np.multiply(drh, by_reset[t], out=dx[1, t])
             dh *= stay[t]
             drh *= r[t]
             dh += drh
-            dh += net.gates @ dx[t, : 2 * hidden]
-            if first[t].any():
+            for by_gate in dx[:2, t] @ gates:
+                dh += by_gate
+            if begins[t]:
                 dh *= going[t]
         # sums over all steps at once
-        flat_dx = dx.transpose(0, 2, 1)
-        grads["gates"] = (before @ flat_dx[:, :, : 2 * hidden]).sum(axis=0)
-        grads["candidate"] = (rh @ flat_dx[:, :, 2 * hidden :]).sum(axis=0)
-        flat_dx = flat_dx.reshape(-1, 3 * hidden)
+        dx = dx.reshape(3, -1, hidden)
+        was = before.reshape(-1, hidden).T
+        grads["gates"] = np.concatenate([was @ dx[0], was @ dx[1]], axis=1)
+        grads["candidate"] = rh.reshape(-1, hidden).T @ dx[2]
         flat = inputs.ravel().astype(np.min_scalar_type(net.layout.symbols))
         order = np.argsort(flat, kind="stable")
         listed = flat[order]
         begins = np.flatnonzero(np.append(True, listed[1:] != listed[:-1]))
         rows = listed[begins]
-        summed = np.add.reduceat(flat_dx[order], begins, axis=0)
+        pair = np.complex64 if hidden % 2 == 0 else np.float32  # two numbers are added at a time
+        summed = [np.add.reduceat(np.take(part, order, axis=0).view(pair), begins, axis=0).view(np.float32) for part in dx]
+        summed = np.concatenate(summed, axis=1)
         squares = self.squares["inputs"][rows] + summed * summed
         self.squares["inputs"][rows] = squares
         net.inputs[rows] -= np.float32(self.rate) * summed / np.sqrt(squares + np.float32(1e-12))

@@ -260,6 +260,47 @@ def test_logits_far_apart_keep_their_probabilities():
     assert np.allclose(found, expected, rtol=1e-5, atol=1e-4)
 
 
+def test_states_are_those_of_a_plain_cell_and_lie_in_rows():
+    layout = recurrent.Layout(6, np.array([0, 2]), 2, 1)
+    net = recurrent.start(layout, np.arange(1.0, 9.0), 4, 1)
+    net.inputs[5], net.inputs[6] = 300, -300  # saturated, without a warning
+    rng = np.random.default_rng(1)
+    inputs, first = rng.integers(0, 8, (9, 5)), (rng.random((9, 5)) < 0.2).astype(int)
+    start = rng.normal(0, 1, (5, 4)).astype(np.float32)
+    with np.errstate(all="raise", under="ignore"):
+        found, kept, _ = recurrent.run(net, inputs, first, start, keep=True)
+        alone, _, _ = recurrent.run(net, inputs, first, start)
+    assert (found == alone).all()
+    assert found.flags.c_contiguous and kept[0].flags.c_contiguous and kept[3].flags.c_contiguous  # nothing is turned over
+    h = start.astype(float)
+    for t in range(9):
+        h = h * (1 - first[t])[:, None]
+        assert np.allclose(kept[0][t], h, atol=1e-5)
+        x = net.inputs[inputs[t]].astype(float)
+        z, r = np.split(0.5 + 0.5 * np.tanh((x[:, :8] + h @ net.gates) / 2), 2, axis=1)
+        c = np.tanh(x[:, 8:] + (r * h) @ net.candidate)
+        h = h + z * (c - h)
+        assert np.allclose(found[t], h, atol=1e-5)
+
+
+def test_symbols_are_stored_in_few_bytes(spark, chatter):
+    df = documents(spark, chatter + [(240, None), (241, "")])
+    model, _ = lm.fit(df, F.lit(True), SMALL)
+    rows = lm.encoded(df, model, F.lit(True)).collect()
+    reader, texts = lm._Reader(model), dict(chatter) | {240: None, 241: ""}
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert list(r["symbols"]) == reader.text(texts[r["doc_id"]]).tolist() and len(r["symbols"]) == r["n_tokens"]
+    layout = recurrent.Layout(2000, np.array([0, 5]), 24, 1)
+    lists = [np.arange(5), np.array([1]), np.arange(2023, 1000, -1)]
+    packed = lm._packed(np.concatenate(lists), np.cumsum([len(x) for x in lists]), layout)
+    batch = pa.RecordBatch.from_arrays([packed], names=["symbols"])
+    assert packed.nbytes < 2 * 1029 + 100
+    for cut, most in ((batch, 10**6), (batch, 3), (batch.slice(1), 3), (batch.slice(3), 3)):
+        parts = [x.tolist() for part in lm._parts(cut, "symbols", layout, most) for x in part]
+        assert parts == [x.tolist() for x in lists[3 - cut.num_rows :]]
+
+
 def test_language_model_on_odd_rows(spark):
     df = odd_documents(spark)
     model, counts = lm.fit(df, ~fold_is("doc_id", 7, 2), SMALL)
